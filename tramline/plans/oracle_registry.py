@@ -15,3 +15,6 @@ ORACLE["route_performance"] = o.with_ctes(o.MARTS["route_performance"],
 ORACLE["hourly_service"] = o.with_ctes(o.MARTS["hourly_service"],
                                        ["stg_vehicle_positions", "stg_trip_updates", "stg_weather"])
 ORACLE["alert_impact"] = o.with_ctes(o.MARTS["alert_impact"], ["stg_alerts", "stg_routes"])
+
+for _name in o.EXTRA:
+    ORACLE[_name] = o.extra_sql(_name)

@@ -113,3 +113,205 @@ def q_alert_impact(spark, d):
     """MOD-9: JOIN-2, JOIN-4, G-19..21, G-27."""
     return marts.fct_alert_impact(_stg_alerts(spark, d), _stg_routes(spark, d)).drop(
         "planned_duration")
+
+
+# --- ad-hoc reports -------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from tramline.operators import sinks, upsert  # noqa: E402
+from tramline.plans import adhoc  # noqa: E402
+from tramline.session import scratch_dir  # noqa: E402
+from tramline.sources import feeds, gtfs  # noqa: E402
+
+
+@query("fleet_curve")
+def q_fleet_curve(spark, d):
+    """MOD-10: distinct active vehicles per UTC hour."""
+    return adhoc.fleet_curve(_stg_positions(spark, d))
+
+
+@query("effect_share")
+def q_effect_share(spark, d):
+    """MOD-10, AGG-16: active alerts by effect with their share."""
+    return adhoc.effect_share(_stg_alerts(spark, d))
+
+
+@query("gps_dropout")
+def q_gps_dropout(spark, d):
+    """MOD-10, DQ-6: share of positions without a GPS fix."""
+    return adhoc.gps_dropout(td.positions(spark, d))
+
+
+@query("mean_delay")
+def q_mean_delay(spark, d):
+    """MOD-10: mean arrival delay."""
+    return adhoc.mean_delay(td.trip_updates(spark, d))
+
+
+# --- feed flattening ----------------------------------------------------------------
+@query("flatten_positions")
+def q_flatten_positions(spark, d):
+    """SRC-1, SRC-11: nested vehicle snapshots -> landed rows."""
+    return feeds.flatten_vehicle_positions(td.vehicle_feed(spark, d))
+
+
+@query("flatten_trip_updates")
+def q_flatten_trip_updates(spark, d):
+    """SRC-2, FN-24, PRJ-3: nested trip snapshots -> one row per stop update."""
+    return feeds.flatten_trip_updates(td.trip_feed(spark, d))
+
+
+@query("flatten_alerts")
+def q_flatten_alerts(spark, d):
+    """SRC-3, FN-20..23: nested alert snapshots -> one row per informed entity."""
+    return feeds.flatten_alerts(td.alert_feed(spark, d))
+
+
+@query("flatten_weather")
+def q_flatten_weather(spark, d):
+    """SRC-4: weather JSON records written, read back with a schema, flattened."""
+    path = scratch_dir(spark, "weather-json")
+    td.weather_records(spark, d).write.mode("overwrite").option(
+        "timestampNTZFormat", feeds.JSON_NTZ_FORMAT).json(path)
+    return feeds.flatten_weather(feeds.read_weather_json(spark, path))
+
+
+@query("row_id")
+def q_row_id(spark, d):
+    """SRC-11: snapshot row ids are unique (rows vs distinct ids)."""
+    flat = feeds.flatten_vehicle_positions(td.vehicle_feed(spark, d))
+    return flat.agg(F.count(F.lit(1)).alias("row_count"),
+                    F.count_distinct("id").alias("distinct_ids"))
+
+
+# --- reference CSV ------------------------------------------------------------------
+@query("csv_reference")
+def q_csv_reference(spark, d):
+    """SRC-5, SRC-7, SRC-9: timetable files written as CSV, loaded back by
+    header (absent files skipped), stamped with loaded_at."""
+    root = scratch_dir(spark, "gtfs")
+    gtfs.write_csv(td.stops(spark, d).drop("loaded_at"), f"{root}/stops.txt")
+    gtfs.write_csv(td.routes(spark, d).drop("loaded_at"), f"{root}/routes.txt")
+    tables, skipped = gtfs.load_feed(spark, root, loaded_at=td.LOADED_AT)
+    assert "trips.txt" in skipped and "gtfs_stops" in tables
+    return tables["gtfs_stops"]
+
+
+@query("csv_bulk")
+def q_csv_bulk(spark, d):
+    """SRC-6: large-file CSV rules (unquoted blank -> null, quoted blank -> '')."""
+    root = scratch_dir(spark, "gtfs-bulk")
+    gtfs.write_csv(td.stop_times(spark, d), f"{root}/stop_times.txt")
+    tables, _ = gtfs.load_feed(spark, root, loaded_at=td.LOADED_AT)
+    return tables["gtfs_stop_times"]
+
+
+# --- sinks and maintenance ----------------------------------------------------------
+SPLIT = "2024-01-16 00:00:00"  # batch 1 = before, batch 2 = from this time on
+
+
+def _split(df, col="fetched_at"):
+    t = F.to_timestamp_ntz(F.lit(SPLIT))
+    return df.where(F.col(col) < t), df.where(F.col(col) >= t)
+
+
+@query("append_snapshots")
+def q_append_snapshots(spark, d):
+    """SRC-8: two snapshot batches appended, partitioned by fetch date."""
+    path = scratch_dir(spark, "positions")
+    for batch in _split(td.positions(spark, d)):
+        sinks.append_snapshot(batch, path)
+    return sinks.read_landed(spark, path)
+
+
+OLD_ALERT_COLUMNS = [c for c in
+                     ("id", "alert_id", "cause", "effect", "severity_level", "header_text",
+                      "description_text", "url", "active_period_start", "active_period_end",
+                      "informed_route_id", "informed_stop_id", "informed_trip_id", "fetched_at")]
+
+
+@query("evolve_schema")
+def q_evolve_schema(spark, d):
+    """SRC-10: old-layout batch (no hash/first/last/times) then new layout in
+    one table; read merged, times_seen defaulting to 1."""
+    path = scratch_dir(spark, "alerts-evolving")
+    old, new = _split(td.alerts(spark, d))
+    sinks.append_snapshot(old.select(*OLD_ALERT_COLUMNS), path)
+    sinks.append_snapshot(new, path)
+    return sinks.evolve(sinks.read_landed(spark, path), {"times_seen": 1})
+
+
+@query("full_refresh")
+def q_full_refresh(spark, d):
+    """SRC-9: two full loads of a reference table; readers see the newest."""
+    path = scratch_dir(spark, "gtfs-stops")
+    sinks.full_refresh(td.stops(spark, d).drop("loaded_at"), path, "2024-01-01 00:00:00", 1)
+    sinks.full_refresh(td.stops(spark, d).drop("loaded_at"), path, td.RELOADED_AT, 2)
+    return sinks.read_current(spark, path)
+
+
+@query("row_counts")
+def q_row_counts(spark, d):
+    """SRC-14, SET-1: row counts of the landed and reference tables."""
+    return sinks.row_counts({
+        "positions": td.positions(spark, d), "trip_updates": td.trip_updates(spark, d),
+        "alerts": td.alerts(spark, d), "weather": td.weather(spark, d),
+        "routes": td.routes(spark, d), "stops": td.stops(spark, d), "trips": td.trips(spark, d),
+    })
+
+
+@query("keyed_layout_join")
+def q_keyed_layout_join(spark, d):
+    """SRC-17: trip updates and trips stored bucketed by trip_id, joined
+    without a shuffle."""
+    root = scratch_dir(spark, "keyed")
+    tag = root.rstrip("/").rsplit("-", 1)[-1]
+    tu = sinks.write_keyed_layout(td.trip_updates(spark, d), f"tl_trip_updates_{tag}",
+                                  f"{root}/trip_updates", "trip_id")
+    tr = sinks.write_keyed_layout(td.trips(spark, d), f"tl_trips_{tag}", f"{root}/trips",
+                                  "trip_id")
+    return tu.join(tr.select("trip_id", "route_id"), "trip_id", "left").select(
+        "id", "trip_id", "stop_sequence", tr["route_id"])
+
+
+@query("alert_upsert")
+def q_alert_upsert(spark, d):
+    """SRC-12, AGG-15: batch 1 then batch 2 upserted into the bucketed fold table."""
+    store = sinks.AlertFoldTable(spark, scratch_dir(spark, "alert-state"), buckets=16)
+    for batch in _split(td.alerts(spark, d)):
+        store.upsert(batch)
+    return store.read()
+
+
+@query("upsert_outcome")
+def q_upsert_outcome(spark, d):
+    """SRC-13: rows of batch 2 inserted vs refreshing keys of batch 1."""
+    first, second = _split(td.alerts(spark, d))
+    return upsert.upsert_outcome(first, second)
+
+
+@query("content_hash")
+def q_content_hash(spark, d):
+    """FN-20, SRC-15: legacy rows lose their fingerprint; the backfill restores it."""
+    a = td.alerts(spark, d)
+    a = a.withColumn("content_hash", F.when(F.col("first_seen_at").isNotNull(),
+                                            F.col("content_hash")))
+    return upsert.backfill_hashes(a).select("id", "content_hash")
+
+
+@query("collapse_duplicates")
+def q_collapse_duplicates(spark, d):
+    """SRC-16: one survivor per key with first/last fetch and row count."""
+    return upsert.collapse_duplicates(td.alerts(spark, d))
+
+
+@query("survivor_update")
+def q_survivor_update(spark, d):
+    """JOIN-5: survivors annotated through an update-from-join."""
+    return upsert.survivor_update(td.alerts(spark, d))
+
+
+@query("anti_join_dedup")
+def q_anti_join_dedup(spark, d):
+    """JOIN-6: rows the dedup deletes (anti join on the survivor ids)."""
+    return upsert.duplicate_rows(td.alerts(spark, d))

@@ -152,6 +152,10 @@ def flatten_weather(feed: DataFrame) -> DataFrame:
     )
 
 
+JSON_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
 def read_weather_json(spark, path: str) -> DataFrame:
     """Read landed weather JSON records with a fixed schema (no inference)."""
-    return spark.read.schema(WEATHER_FEED).json(path)
+    return (spark.read.schema(WEATHER_FEED).option("timestampNTZFormat", JSON_NTZ_FORMAT)
+            .json(path))

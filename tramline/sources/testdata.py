@@ -30,6 +30,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 # FIXED VALUES shared with the oracle SQL.
 LOADED_AT = "2024-01-01 00:00:00"
+RELOADED_AT = "2024-01-02 03:04:05"
 SNAPSHOT_BASE_EPOCH = 1_704_067_200  # 2024-01-01T00:00:00Z, first nested snapshot
 ROUTE_SUFFIXES = ["U", "E", "X"]  # by route number % 3
 TRIP_ROUTES = 60  # trips use route numbers 0..59
@@ -51,7 +52,10 @@ def route_id_of(n: Column) -> Column:
 
 
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").withColumn("k", k_of())
+    return _positions(table(spark, sf_dir, "events").withColumn("k", k_of()))
+
+
+def _positions(e: DataFrame, *extra: str) -> DataFrame:
     k, v = F.col("k"), F.col("value")
     return e.select(
         F.col("event_id").alias("id"),
@@ -66,6 +70,7 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k.cast("double") * F.lit(3.6)).alias("bearing"),
         utc_seconds("ts").alias("gps_timestamp"),
         F.col("ts").alias("fetched_at"),
+        *extra,
     )
 
 
@@ -205,3 +210,167 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id", "alert_id", "content_hash", *ALERT_CONTENT, "informed_route_id", "informed_stop_id",
         "informed_trip_id", "first_seen_at", "last_seen_at", "times_seen", "fetched_at",
     )
+
+
+# --- nested snapshots for the flatten operators --------------------------------
+# Snapshots hold a bounded number of entities (consecutive ids), so no group
+# grows with the table.
+VEHICLE_SNAPSHOT = 20  # events per vehicle snapshot, 5 minutes apart
+TRIP_SNAPSHOT = 20  # orders per trip snapshot, 5 minutes apart
+ALERT_SNAPSHOT = 25  # events per alert snapshot, 15 minutes apart
+
+
+def _snapshot_time(group: Column, step_seconds: int) -> Column:
+    return epoch_to_utc(F.lit(SNAPSHOT_BASE_EPOCH) + group * step_seconds)
+
+
+def _nest(rows: DataFrame, group: Column, order: Column, entity: Column, step: int) -> DataFrame:
+    """Collect entities of each bounded group into one snapshot, in ``order``."""
+    g = rows.select(group.alias("g"), F.struct(order.alias("o"), entity.alias("e")).alias("x"))
+    snaps = g.groupBy("g").agg(F.sort_array(F.collect_list("x")).alias("xs"))
+    return snaps.select(
+        _snapshot_time(F.col("g"), step).alias("fetched_at"),
+        F.transform("xs", lambda x: x["e"]).alias("entity"),
+    )
+
+
+def _null(type_name: str) -> Column:
+    return F.lit(None).cast(type_name)
+
+
+def vehicle_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One vehicle snapshot per 20 consecutive events; every 17th k has no vehicle,
+    every 10th k no trip descriptor."""
+    p = _positions(table(spark, sf_dir, "events").withColumn("k", k_of()), "k", "event_type")
+    k = F.col("k")
+    trip = F.when(k % 10 != 0, F.struct(
+        k.cast("string").alias("trip_id"), F.col("event_type").alias("route_id"),
+        _null("string").alias("start_time"), F.col("trip_start_date").alias("start_date")))
+    vehicle = F.when(k % 17 != 0, F.struct(
+        F.struct(F.col("vehicle_id").alias("id"), F.col("vehicle_label").alias("label"),
+                 _null("string").alias("license_plate"),
+                 _null("int").alias("wheelchair_accessible")).alias("vehicle"),
+        trip.alias("trip"),
+        F.struct("latitude", "longitude", "bearing").alias("position"),
+        F.col("gps_timestamp").alias("timestamp")))
+    entity = F.struct(F.col("id").cast("string").alias("id"), vehicle.alias("vehicle"))
+    return _nest(p, (F.col("id") / VEHICLE_SNAPSHOT).cast("long"), F.col("id"), entity, 300)
+
+
+def trip_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One trip update per order carrying its lines as stop-time updates;
+    20 consecutive orders per snapshot."""
+    li = table(spark, sf_dir, "lineitem")
+    delay = _delay(F.col("l_quantity"))
+    stu = F.struct(
+        F.col("l_linenumber").alias("stop_sequence"),
+        F.struct(delay.alias("delay")).alias("arrival"),
+        F.when(F.col("l_returnflag") != "N", F.struct((delay + 30).alias("delay"))).alias(
+            "departure"),
+    )
+    per_order = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(
+        "l_linenumber", "l_partkey", "l_suppkey", stu.alias("stu")))).alias("lines"))
+    o = table(spark, sf_dir, "orders").join(
+        per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    tu = F.struct(
+        F.struct(F.col("o_orderkey").cast("string").alias("trip_id"),
+                 _null("string").alias("route_id"), _null("string").alias("start_time"),
+                 F.date_format("o_orderdate", "yyyyMMdd").alias("start_date")).alias("trip"),
+        F.struct(F.col("o_custkey").cast("string").alias("id"), _null("string").alias("label"),
+                 _null("string").alias("license_plate"),
+                 (F.col("o_custkey") % 4).cast("int").alias("wheelchair_accessible")).alias(
+            "vehicle"),
+        utc_seconds("o_orderdate").alias("timestamp"),
+        F.coalesce(F.transform("lines", lambda x: x["stu"]),
+                   F.array().cast("array<struct<stop_sequence:int,arrival:struct<delay:int>,"
+                                  "departure:struct<delay:int>>>")).alias("stop_time_update"),
+    )
+    entity = F.struct(F.col("o_orderkey").cast("string").alias("id"), tu.alias("trip_update"))
+    return _nest(o, (F.col("o_orderkey") / TRIP_SNAPSHOT).cast("long"), F.col("o_orderkey"),
+                 entity, 300)
+
+
+def _translations(*pairs) -> Column:
+    return F.array(*[F.struct(t.alias("text"), F.lit(lang).alias("language")) for t, lang in pairs])
+
+
+def alert_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One alert entity per event; 25 consecutive events per snapshot. Covers
+    preferred language second / only English / no translation, no period,
+    two periods, unset enums, and entity lists of 0, 1 and 2 members."""
+    e = table(spark, sf_dir, "events").withColumn("k", k_of())
+    k, et = F.col("k"), F.col("event_type")
+    start = utc_seconds(F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    end = start + k * 3600
+    tr_type = "array<struct<text:string,language:string>>"
+    header = (F.when(k % 3 == 0, _translations((F.concat(F.lit("EN "), et), "en"), (et, "it")))
+              .when(k % 3 == 1, _translations((et, "en")))
+              .otherwise(F.array().cast(tr_type)))
+    period_t = "array<struct<start:bigint,end:bigint>>"
+    periods = (F.when(k % 5 == 0, F.array().cast(period_t))
+               .when(k % 5 == 1, F.array(F.struct(start.alias("start"), end.alias("end")),
+                                         F.struct((start + 86400).alias("start"),
+                                                  (end + 86400).alias("end"))))
+               .otherwise(F.array(F.struct(start.alias("start"), end.alias("end")))))
+
+    def ie(route=None, stop=None, trip=None) -> Column:
+        return F.struct(
+            (route if route is not None else _null("string")).alias("route_id"),
+            (stop if stop is not None else _null("string")).alias("stop_id"),
+            (F.struct(trip.alias("trip_id")) if trip is not None
+             else _null("struct<trip_id:string>")).alias("trip"))
+
+    route = route_id_of(k % TRIP_ROUTES)
+    entities = (F.when(k % 4 == 0, F.array(ie(route=route)))
+                .when(k % 4 == 1, F.array(ie(stop=k.cast("string")), ie(route=route)))
+                .when(k % 4 == 2, F.array(ie(trip=k.cast("string"))))
+                .otherwise(F.array().cast(
+                    "array<struct<route_id:string,stop_id:string,trip:struct<trip_id:string>>>")))
+    alert = F.struct(
+        F.when(k % 9 != 0, k % 12 + 1).alias("cause"),
+        (k % 11 + 1).alias("effect"),
+        F.when(k % 7 != 0, k % 4 + 1).alias("severity_level"),
+        F.struct(header.alias("translation")).alias("header_text"),
+        F.when(k % 2 == 1, F.struct(_translations((F.concat(F.lit("about "), et), "it"))
+                                    .alias("translation"))).alias("description_text"),
+        _null(f"struct<translation:{tr_type}>").alias("url"),
+        periods.alias("active_period"),
+        entities.alias("informed_entity"),
+    )
+    entity = F.struct(F.col("user_id").cast("string").alias("id"), alert.alias("alert"))
+    return _nest(e, (F.col("event_id") / ALERT_SNAPSHOT).cast("long"), F.col("event_id"), entity,
+                 900)
+
+
+def weather_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather API records (one per event fetch) in the JSON source shape."""
+    w = weather(spark, sf_dir)
+    return w.select(
+        "fetched_at",
+        F.struct(
+            F.date_format("observed_at", "yyyy-MM-dd'T'HH:mm").alias("time"),
+            F.col("temperature_c").alias("temperature_2m"),
+            F.col("precipitation_mm").alias("precipitation"),
+            F.col("wind_speed_kmh").alias("wind_speed_10m"),
+            F.col("weather_code").alias("weather_code"),
+        ).alias("current"),
+    )
+
+
+def stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A large timetable file: one stop time per line item. Times are null
+    (written unquoted-empty) for flag N and '' (quoted-empty) for flag R;
+    headsigns carry quotes and commas."""
+    li = table(spark, sf_dir, "lineitem")
+    flag = F.col("l_returnflag")
+    t = F.concat(F.lpad(F.col("l_linenumber").cast("string"), 2, "0"), F.lit(":00:00"))
+    time_ = F.when(flag == "N", _null("string")).when(flag == "R", F.lit("")).otherwise(t)
+    return li.select(
+        F.col("l_orderkey").cast("string").alias("trip_id"),
+        time_.alias("arrival_time"),
+        time_.alias("departure_time"),
+        F.col("l_partkey").cast("string").alias("stop_id"),
+        F.col("l_linenumber").cast("string").alias("stop_sequence"),
+        F.concat(F.lit('stop "'), F.col("l_suppkey").cast("string"), F.lit('", platform ')
+                 , F.col("l_linestatus")).alias("stop_headsign"),
+    )
