@@ -18,3 +18,11 @@ ORACLE["alert_impact"] = o.with_ctes(o.MARTS["alert_impact"], ["stg_alerts", "st
 
 for _name in o.EXTRA:
     ORACLE[_name] = o.extra_sql(_name)
+
+from tramline.operators.quality import SUITE  # noqa: E402
+
+ORACLE["dq_not_null"] = o.suite_sql([c for c in SUITE if c.test == "not_null"])
+ORACLE["dq_unique"] = o.suite_sql([c for c in SUITE if c.test == "unique"])
+ORACLE["dq_accepted_values"] = o.suite_sql([c for c in SUITE if c.test == "accepted_values"])
+ORACLE["dq_suite"] = o.suite_sql(SUITE)
+ORACLE["sparse_hours"] = o.with_model_ctes(o.SPARSE_SQL, ["fct_hourly_service"])

@@ -315,3 +315,52 @@ def q_survivor_update(spark, d):
 def q_anti_join_dedup(spark, d):
     """JOIN-6: rows the dedup deletes (anti join on the survivor ids)."""
     return upsert.duplicate_rows(td.alerts(spark, d))
+
+
+# --- data quality -------------------------------------------------------------------
+from tramline.operators import quality  # noqa: E402
+
+
+def _all_models(spark, d):
+    tu, routes, alerts = _stg_trip_updates(spark, d), _stg_routes(spark, d), _stg_alerts(spark, d)
+    pos, wx = _stg_positions(spark, d), _stg_weather(spark, d)
+    return {
+        "stg_vehicle_positions": pos, "stg_weather": wx, "stg_trip_updates": tu,
+        "stg_alerts": alerts, "stg_routes": routes, "stg_stops": _stg_stops(spark, d),
+        "fct_route_performance": marts.fct_route_performance(tu, routes),
+        "fct_hourly_service": marts.fct_hourly_service(pos, tu, wx,
+                                                       sparse_threshold=SPARSE_THRESHOLD),
+        "fct_alert_impact": marts.fct_alert_impact(alerts, routes),
+    }
+
+
+@query("dq_not_null")
+def q_dq_not_null(spark, d):
+    """DQ-1: the 30 not-null checks."""
+    return quality.run_suite(_all_models(spark, d), tests=["not_null"])
+
+
+@query("dq_unique")
+def q_dq_unique(spark, d):
+    """DQ-2: the 6 uniqueness checks."""
+    return quality.run_suite(_all_models(spark, d), tests=["unique"])
+
+
+@query("dq_accepted_values")
+def q_dq_accepted_values(spark, d):
+    """DQ-3: the 3 accepted-values checks."""
+    return quality.run_suite(_all_models(spark, d), tests=["accepted_values"])
+
+
+@query("dq_suite")
+def q_dq_suite(spark, d):
+    """DQ-4: all 39 checks in one result table."""
+    return quality.run_suite(_all_models(spark, d))
+
+
+@query("sparse_hours")
+def q_sparse_hours(spark, d):
+    """DQ-5: hours with fewer position reports than the threshold."""
+    h = marts.fct_hourly_service(_stg_positions(spark, d), _stg_trip_updates(spark, d),
+                                 _stg_weather(spark, d), sparse_threshold=SPARSE_THRESHOLD)
+    return h.where(F.col("is_sparse_hour")).select("hour_bucket", "position_reports")
