@@ -1,4 +1,11 @@
-"""Fact-to-dimension joins with a checked broadcast (JOIN-1, JOIN-2)."""
+"""Fact-to-dimension joins with a checked broadcast (JOIN-1, JOIN-2).
+
+By default the planner decides: Catalyst broadcasts a side only when its
+size estimate is under ``spark.sql.autoBroadcastJoinThreshold`` and plans a
+shuffle join otherwise; AQE re-checks with the real sizes of shuffled
+sides at run time. That check costs nothing. ``max_broadcast_rows=<n>``
+forces a broadcast behind an explicit row bound instead (one small job).
+"""
 
 from __future__ import annotations
 
@@ -25,12 +32,13 @@ def join_dimension(
     dim: DataFrame,
     on,
     how: str = "inner",
-    max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
-    """Join a fact to a dimension, broadcasting the dimension only behind a
-    row-count bound; beyond it the join is left to the planner (shuffle join,
-    re-planned by AQE at run time). ``max_broadcast_rows=None`` skips the
-    check and leaves everything to the planner.
+    """Join a fact to a dimension.
+
+    ``max_broadcast_rows=None``: the planner's size-checked choice (above).
+    ``max_broadcast_rows=n``: broadcast the dimension if it provably has at
+    most ``n`` rows, else leave the join to the planner.
     """
     if max_broadcast_rows is not None and has_at_most(dim, max_broadcast_rows):
         dim = F.broadcast(dim)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tramline.functions.numeric import pct, round_half_away, round_half_even, round_numeric
 from tramline.functions.time import day_name, day_of_week, hour_bucket, hour_of, seconds_between
-from tramline.operators.joins import DEFAULT_BROADCAST_ROWS, join_dimension
+from tramline.operators.joins import join_dimension
 
 # Punctuality band (seconds) and the sparse-hour threshold (position reports).
 ON_TIME_SECONDS = 60
@@ -39,7 +39,7 @@ def fct_route_performance(
     stg_trip_updates: DataFrame,
     stg_routes: DataFrame,
     approx: bool = False,
-    max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """One row per route: counts, mean/median/p90/stddev, extremes, shares (MOD-7).
 
@@ -168,7 +168,7 @@ def alert_stop_counts(stg_alerts: DataFrame) -> DataFrame:
 def fct_alert_impact(
     stg_alerts: DataFrame,
     stg_routes: DataFrame,
-    max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Route-level alerts with route labels and stops affected (MOD-9).
 

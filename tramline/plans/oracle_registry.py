@@ -17,7 +17,9 @@ ORACLE["hourly_service"] = o.with_ctes(o.MARTS["hourly_service"],
 ORACLE["alert_impact"] = o.with_ctes(o.MARTS["alert_impact"], ["stg_alerts", "stg_routes"])
 
 for _name in o.EXTRA:
-    ORACLE[_name] = o.extra_sql(_name)
+    if _name in o.EXTRA_DEPS:
+        ORACLE[_name] = o.extra_sql(_name)
+ORACLE["named_models"] = o.named_models_sql()
 
 from tramline.operators.quality import SUITE  # noqa: E402
 

@@ -454,3 +454,28 @@ def q_stream_replay(spark, d):
                    lambda s: jobs.dedup_stream(feeds.flatten_vehicle_positions(s), ["id"]),
                    jobs.append_to_files)
     return spark.read.parquet(sink)
+
+
+# --- named models -------------------------------------------------------------------
+from tramline.plans.catalog import ModelCatalog, default_models  # noqa: E402
+
+
+def testdata_catalog(spark, d, sparse_threshold: int = SPARSE_THRESHOLD) -> ModelCatalog:
+    sources = {
+        "raw_vehicle_positions": td.positions(spark, d), "raw_weather": td.weather(spark, d),
+        "raw_trip_updates": td.trip_updates(spark, d), "raw_alerts": td.alerts(spark, d),
+        "gtfs_routes": td.routes(spark, d), "gtfs_stops": td.stops(spark, d),
+        "gtfs_trips": td.trips(spark, d),
+    }
+    return ModelCatalog(spark, sources,
+                        default_models(as_of=AS_OF, sparse_threshold=sparse_threshold))
+
+
+@query("named_models")
+def q_named_models(spark, d):
+    """SRC-18: models referenced by name and queried through SQL views."""
+    cat = testdata_catalog(spark, d)
+    cat.register_views(["fct_route_performance", "stg_routes"])
+    return spark.sql(
+        "SELECT p.route_id, r.route_mode, p.observations, p.median_delay_seconds "
+        "FROM fct_route_performance p JOIN stg_routes r ON p.route_id = r.route_id")

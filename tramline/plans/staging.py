@@ -20,7 +20,7 @@ from tramline.functions.time import (
     to_local,
     within,
 )
-from tramline.operators.joins import DEFAULT_BROADCAST_ROWS, join_dimension
+from tramline.operators.joins import join_dimension
 from tramline.operators.windows import keep_latest, observation_history
 
 # Keys of the prediction history (G-2: not the service date).
@@ -82,7 +82,7 @@ def stg_trip_updates(
     tz: str = LOCAL_TZ,
     keys=HISTORY_KEYS,
     order=("fetched_at", "id"),
-    max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Every stop-level observation with its history metrics (MOD-3).
 
