@@ -92,6 +92,13 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def line_id() -> Column:
+    """Unique line id: order, line number, part, supplier and quantity packed in
+    one BIGINT (part < 10**6, supplier < 10**4, quantity < 64)."""
+    return ((((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1_000_000 + F.col("l_partkey"))
+             * 10_000 + F.col("l_suppkey")) * 64 + F.col("l_quantity").cast("long"))
+
+
 def _delay(quantity: Column) -> Column:
     return ((quantity - 25) * 20).cast("int")
 
@@ -100,8 +107,7 @@ def trip_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     arrival = _delay(F.col("l_quantity"))
     return li.select(
-        ((((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1_000_000 + F.col("l_partkey"))
-          * 100_000) + F.col("l_suppkey")).alias("id"),
+        line_id().alias("id"),
         F.col("l_orderkey").cast("string").alias("trip_id"),
         F.lit("").alias("route_id"),
         F.lit("").alias("trip_start_time"),
@@ -269,7 +275,7 @@ def trip_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
             "departure"),
     )
     per_order = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(
-        "l_linenumber", "l_partkey", "l_suppkey", stu.alias("stu")))).alias("lines"))
+        "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", stu.alias("stu")))).alias("lines"))
     o = table(spark, sf_dir, "orders").join(
         per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     tu = F.struct(
