@@ -136,3 +136,21 @@ def test_hourly_service_joins_from_fleet(spark):
     assert all(r.delay_observations is None for r in out)  # G-22: no delay hours share fleet hours
     assert {r.is_sparse_hour for r in out} == {True, False}
     assert h.where(F.col("is_weekend")).count() == 2
+
+
+def test_history_hot_key_split_matches_single_window(spark):
+    from tramline.operators.windows import observation_history
+    base = T("2024-06-01 00:00:00")
+    data = [(1000 + i, "HOT", 2, (i * 7) % 50 - 20 if i % 9 else None,
+             base + dt.timedelta(minutes=(i * 13) % 97)) for i in range(300)]
+    data += [(5000 + i, f"K{i % 4}", 1, i, base + dt.timedelta(minutes=i)) for i in range(40)]
+    data += [(9000, "HOT", 2, 5, None), (9001, "HOT", 2, 6, None)]  # null times sort last
+    df = spark.createDataFrame(data, "id long, trip_id string, stop_sequence int, d int, "
+                                     "fetched_at timestamp_ntz")
+    args = (["trip_id", "stop_sequence"], ["fetched_at", "id"], "d")
+    simple = observation_history(df, *args, hot_key_rows=None)
+    split = observation_history(df, *args, hot_key_rows=50, max_splits=8)
+    assert rows(split) == rows(simple)
+    hot = split.where("trip_id = 'HOT'")
+    assert hot.agg(F.max("observation_number")).first()[0] == 302
+    assert hot.where("fetched_at IS NULL").agg(F.min("recency_rank")).first()[0] == 1

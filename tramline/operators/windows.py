@@ -16,12 +16,116 @@ def _asc(cols: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in cols]
 
 
+# A key with more rows than this is split into time ranges (see below).
+HOT_KEY_ROWS = 5_000_000
+# At most this many keys can be hot: the threshold rises to rows / MAX_HOT_KEYS,
+# which bounds the broadcast table of split points.
+MAX_HOT_KEYS = 100_000
+# Time ranges per hot key.
+MAX_SPLITS = 64
+
+
+def _history_window(df, keys, order, value, prefix):
+    w = Window.partitionBy(*keys).orderBy(*_asc(order))
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # one select: every expression shares the window's single exchange and sort
+    return df.select(
+        "*",
+        F.row_number().over(w).alias(f"{prefix}observation_number"),
+        F.count(F.lit(1)).over(whole).alias(f"{prefix}total_observations"),
+        F.lag(value).over(w).alias(f"{prefix}previous_value"),
+        F.first(value, ignorenulls=False).over(whole).alias(f"{prefix}first_value"),
+    )
+
+
+def _order_rank(order: Sequence[str]) -> Column:
+    """A struct that sorts like ``order`` ascending with nulls last."""
+    parts = []
+    for c in order:
+        parts += [F.col(c).isNull(), F.col(c)]
+    return F.struct(*parts)
+
+
+def _ordinal(col: str) -> Column:
+    """Order value as a number (timestamps as microseconds) for quantiles."""
+    return F.unix_micros(F.col(col).cast("timestamp"))
+
+
+def _split_history(df, keys, order, value, prefix, threshold, max_splits):
+    """History metrics with hot keys split into ranges of the first order column.
+
+    1. split points: approximate quantiles of the order value per hot key
+       (a partial aggregation over the hot keys' rows only);
+    2. each row gets a range number (how many split points are <= its value;
+       nulls, which sort last, take the last range) - equal values share a
+       range, so the (order) tie-break stays local;
+    3. the window runs per (key, range): a hot key is spread over tasks;
+    4. per-range counts, first and last values (an aggregate over the window
+       output, which is already partitioned by (key, range)) give
+       running offsets, the previous range's last value and the key's first
+       value through a window over the small per-range table;
+    5. the ranges' rows are joined to their offsets on (key, range), the side
+       already partitioned that way by step 3.
+    """
+    rng = "_range"
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") > threshold).select(*keys)  # at most MAX_HOT_KEYS rows
+    probs = [i / max_splits for i in range(1, max_splits)]
+    ordv = _ordinal(order[0])
+    bounds = (df.join(F.broadcast(hot), list(keys), "left_semi")
+              .groupBy(*keys)
+              .agg(F.array_sort(F.array_distinct(
+                  F.percentile_approx(ordv, probs, 10_000))).alias("_bounds")))
+    # bounded: at most MAX_HOT_KEYS rows of at most MAX_SPLITS values
+    ranged = df.join(F.broadcast(bounds), list(keys), "left").withColumn(
+        rng,
+        F.when(F.col("_bounds").isNull(), F.lit(0))
+        .when(ordv.isNull(), F.size("_bounds"))
+        .otherwise(F.size(F.filter("_bounds", lambda b: b <= ordv))),
+    ).drop("_bounds")
+
+    w = Window.partitionBy(*keys, rng).orderBy(*_asc(order))
+    local = ranged.select(
+        "*",
+        F.row_number().over(w).alias("_local_n"),
+        F.lag(value).over(w).alias("_local_prev"),
+    )
+    rank = _order_rank(order)
+    # from the window's output: already partitioned by (key, range), no exchange
+    stats = local.groupBy(*keys, rng).agg(
+        F.count(F.lit(1)).alias("_cnt"),
+        F.min_by(F.col(value), rank).alias("_first"),
+        F.max_by(F.col(value), rank).alias("_last"),
+    )
+    kw = Window.partitionBy(*keys).orderBy(rng)
+    kall = kw.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = stats.select(
+        *keys, rng,
+        F.coalesce(F.sum("_cnt").over(kw.rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_offset"),
+        F.lag("_last").over(kw).alias("_prev_last"),
+        F.first("_first").over(kall).alias("_key_first"),
+        F.sum("_cnt").over(kall).alias("_key_total"),
+    )
+    j = local.join(offsets, [*keys, rng], "inner")
+    return j.select(
+        *df.columns,
+        (F.col("_local_n") + F.col("_offset")).cast("int").alias(f"{prefix}observation_number"),
+        F.col("_key_total").alias(f"{prefix}total_observations"),
+        F.when(F.col("_local_n") == 1, F.col("_prev_last")).otherwise(F.col("_local_prev"))
+        .alias(f"{prefix}previous_value"),
+        F.col("_key_first").alias(f"{prefix}first_value"),
+    )
+
+
 def observation_history(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     value: str,
     prefix: str = "",
+    hot_key_rows: int | None = HOT_KEY_ROWS,
+    max_splits: int = MAX_SPLITS,
 ) -> DataFrame:
     """Add per-key observation metrics over a total order (WIN-1..5).
 
@@ -30,24 +134,30 @@ def observation_history(
     * ``recency_rank``: 1 for the newest row. Computed as total - number + 1,
       which equals a descending row_number when ``order`` is total (G-3), and
       saves a second sort;
-    * ``previous_<value>`` via lag and ``first_<value>`` via first_value over
-      the whole frame, both keeping nulls.
+    * ``previous_value`` via lag and ``first_value`` via first_value over the
+      whole frame, both keeping nulls.
 
-    One exchange on ``keys`` and one sort serve every expression.
+    Normally one exchange on ``keys`` and one sort serve every expression.
+    A key holding more than ``hot_key_rows`` rows (or rows / MAX_HOT_KEYS,
+    whichever is larger) would put all its rows in one task, so such keys
+    are split into ranges of the first order column (``_split_history``);
+    the result is the same. Keys must be non-null on that path.
+    ``hot_key_rows=None`` skips the check (one fewer pass over the keys).
     """
-    w = Window.partitionBy(*keys).orderBy(*_asc(order))
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    obs = F.row_number().over(w)
-    total = F.count(F.lit(1)).over(whole)
-    return (
-        df.withColumn(f"{prefix}observation_number", obs)
-        .withColumn(f"{prefix}total_observations", total)
-        .withColumn(f"{prefix}previous_value", F.lag(value).over(w))
-        .withColumn(f"{prefix}first_value", F.first(value, ignorenulls=False).over(whole))
-        .withColumn(
-            f"{prefix}recency_rank",
-            F.col(f"{prefix}total_observations") - F.col(f"{prefix}observation_number") + F.lit(1),
-        )
+    keys, order = list(keys), list(order)
+    out = None
+    if hot_key_rows is not None:
+        stats = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+                 .agg(F.sum("_n").alias("rows"), F.max("_n").alias("max_n")).first())
+        if stats["rows"]:
+            threshold = max(hot_key_rows, -(-stats["rows"] // MAX_HOT_KEYS))
+            if stats["max_n"] > threshold:
+                out = _split_history(df, keys, order, value, prefix, threshold, max_splits)
+    if out is None:
+        out = _history_window(df, keys, order, value, prefix)
+    return out.withColumn(
+        f"{prefix}recency_rank",
+        F.col(f"{prefix}total_observations") - F.col(f"{prefix}observation_number") + F.lit(1),
     )
 
 
