@@ -1,4 +1,6 @@
+import contextlib
 import datetime as dt
+import io
 
 from pyspark.sql import functions as F
 
@@ -149,7 +151,16 @@ def test_history_hot_key_split_matches_single_window(spark):
                                      "fetched_at timestamp_ntz")
     args = (["trip_id", "stop_sequence"], ["fetched_at", "id"], "d")
     simple = observation_history(df, *args, hot_key_rows=None)
-    split = observation_history(df, *args, hot_key_rows=50, max_splits=8)
+    from tramline.operators import windows
+    windows.DETECT_FRACTION, old = 1.0, windows.DETECT_FRACTION
+    try:
+        split = observation_history(df, *args, hot_key_rows=50, max_splits=8)
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            split.explain()
+        assert "_range" in buf.getvalue()  # the split path ran
+    finally:
+        windows.DETECT_FRACTION = old
     assert rows(split) == rows(simple)
     hot = split.where("trip_id = 'HOT'")
     assert hot.agg(F.max("observation_number")).first()[0] == 302

@@ -123,7 +123,9 @@ class AlertFoldTable:
             touched = F.broadcast(b.select(self.BUCKET).distinct())
             state = state.join(touched, on=self.BUCKET, how="left_semi").drop(self.BUCKET)
         folded = self._bucketed(fold_alerts(state, batch))
-        folded = checkpoint(folded)
+        if state is not None:
+            # The fold reads partitions it is about to replace: cut lineage first.
+            folded = checkpoint(folded)
         (folded.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(self.BUCKET).parquet(self.path))
 

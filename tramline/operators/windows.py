@@ -118,6 +118,25 @@ def _split_history(df, keys, order, value, prefix, threshold, max_splits):
     )
 
 
+# Fraction of rows whose keys are counted to decide whether exact hot-key
+# counting is needed; any key above the threshold shows up many times.
+DETECT_FRACTION = 0.01
+
+
+def _may_have_hot_key(df: DataFrame, keys, hot_key_rows: int) -> bool:
+    """Cheap pre-check on a Bernoulli sample of the key columns.
+
+    It only chooses between two exact plans: all rows are processed either way
+    and the result is the same. A key above ``hot_key_rows`` rows has about
+    ``DETECT_FRACTION * hot_key_rows`` sampled rows; half of that triggers the
+    exact count. Reads only the key columns; the aggregation sees 1% of rows.
+    """
+    floor = max(1, int(DETECT_FRACTION * hot_key_rows / 2))
+    top = (df.select(*keys).sample(fraction=DETECT_FRACTION, seed=17).groupBy(*keys)
+           .agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0])
+    return top is not None and top >= floor
+
+
 def observation_history(
     df: DataFrame,
     keys: Sequence[str],
@@ -146,7 +165,7 @@ def observation_history(
     """
     keys, order = list(keys), list(order)
     out = None
-    if hot_key_rows is not None:
+    if hot_key_rows is not None and _may_have_hot_key(df, keys, hot_key_rows):
         stats = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
                  .agg(F.sum("_n").alias("rows"), F.max("_n").alias("max_n")).first())
         if stats["rows"]:

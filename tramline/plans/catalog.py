@@ -79,3 +79,17 @@ class ModelCatalog:
         self.ref(name).write.mode("overwrite").parquet(path)
         self._built[name] = self.spark.read.parquet(path)
         return self._built[name]
+
+
+STAGING_MODELS = ["stg_vehicle_positions", "stg_weather", "stg_trip_updates", "stg_alerts",
+                  "stg_routes", "stg_stops"]
+MART_MODELS = ["fct_route_performance", "fct_hourly_service", "fct_alert_impact"]
+
+
+def refresh(catalog: ModelCatalog, root: str, names=None) -> dict[str, DataFrame]:
+    """Build every model once, staging before marts, storing each as Parquet
+    under ``root`` (the run step of DQ-4). Marts read the stored staging
+    tables, so the trip-update history is computed once per run rather than
+    once per consumer, and every stored table cuts lineage."""
+    names = names or STAGING_MODELS + MART_MODELS
+    return {n: catalog.materialize(n, f"{root}/{n}") for n in names}

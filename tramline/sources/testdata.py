@@ -37,8 +37,16 @@ TRIP_ROUTES = 60  # trips use route numbers 0..59
 ROUTE_COUNT = 50  # routes exist for numbers 0..49, so 50..59 stay unmatched
 
 
+_READS: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """The driver's table (read-only input). One base DataFrame per session and
+    file, so the file listing and footer read happen once."""
+    key = (id(spark), sf_dir, name)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return _READS[key]
 
 
 def k_of(props="props") -> Column:
