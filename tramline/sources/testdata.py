@@ -17,6 +17,7 @@ Rules (``k`` = the integer in ``events.props``):
 from __future__ import annotations
 
 import os
+import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,16 +38,17 @@ TRIP_ROUTES = 60  # trips use route numbers 0..59
 ROUTE_COUNT = 50  # routes exist for numbers 0..49, so 50..59 stay unmatched
 
 
-_READS: dict[tuple, DataFrame] = {}
+_READS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The driver's table (read-only input). One base DataFrame per session and
     file, so the file listing and footer read happen once."""
-    key = (id(spark), sf_dir, name)
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return _READS[key]
+    reads = _READS.setdefault(spark, {})
+    key = (sf_dir, name)
+    if key not in reads:
+        reads[key] = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return reads[key]
 
 
 def k_of(props="props") -> Column:
