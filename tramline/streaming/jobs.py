@@ -101,10 +101,26 @@ def dedup_stream(rows: DataFrame, keys: Sequence[str], event_time: str = "fetche
 
 
 # --- STR-2 ----------------------------------------------------------------------
-def alert_fold_stream(rows: DataFrame) -> DataFrame:
-    """STR-2: the keyed fold of ``operators.upsert.fold_alerts`` as running state."""
+DAY = "_day"
+
+
+def alert_fold_stream(rows: DataFrame, state_ttl: str | None = "2 days") -> DataFrame:
+    """STR-2: the keyed fold of ``operators.upsert.fold_alerts`` as running state.
+
+    With ``state_ttl`` the stream keeps one partial fold per (key, UTC day of
+    the sighting) under a watermark of that lateness, so state for past days
+    is evicted; ``read_alert_state`` folds the day partials again (min, max
+    and sum are associative, so the result is the same fold). Sightings later
+    than the bound are dropped. ``state_ttl=None`` keeps one state row per key
+    forever.
+    """
     keyed = rows.select("*", *key_columns()[2:])
-    return keyed.groupBy(*KEY_NAMES).agg(
+    groups = list(KEY_NAMES)
+    if state_ttl:
+        keyed = (keyed.withColumn("_event_ts", F.col("fetched_at").cast("timestamp"))
+                 .withWatermark("_event_ts", state_ttl))
+        groups.append(F.window("_event_ts", "1 day").alias(DAY))
+    out = keyed.groupBy(*groups).agg(
         F.min("id").alias("id"),
         *[F.min(c).alias(c) for c in (*ALERT_CONTENT, *ENTITY_COLS)],
         F.min(F.coalesce("first_seen_at", "fetched_at")).alias("first_seen_at"),
@@ -112,22 +128,46 @@ def alert_fold_stream(rows: DataFrame) -> DataFrame:
         F.sum(F.coalesce(F.col("times_seen"), F.lit(1))).cast("int").alias("times_seen"),
         F.min("fetched_at").alias("fetched_at"),
     )
+    if state_ttl:
+        out = out.withColumn(DAY, F.col(f"{DAY}.start"))
+    return out
 
 
 def read_alert_state(spark: SparkSession, sink: str) -> DataFrame:
-    return read_latest(spark, sink, list(KEY_NAMES)).select(
-        "id", "alert_id", "content_hash", *ALERT_CONTENT, *ENTITY_COLS,
-        "first_seen_at", "last_seen_at", "times_seen", "fetched_at")
+    cols = ["id", "alert_id", "content_hash", *ALERT_CONTENT, *ENTITY_COLS,
+            "first_seen_at", "last_seen_at", "times_seen", "fetched_at"]
+    t = spark.read.parquet(sink)
+    if DAY not in t.columns:
+        return read_latest(spark, sink, list(KEY_NAMES)).select(*cols)
+    partials = read_latest(spark, sink, [*KEY_NAMES, DAY])
+    return partials.groupBy(*KEY_NAMES).agg(
+        F.min("id").alias("id"),
+        *[F.min(c).alias(c) for c in (*ALERT_CONTENT, *ENTITY_COLS)],
+        F.min("first_seen_at").alias("first_seen_at"),
+        F.max("last_seen_at").alias("last_seen_at"),
+        F.sum("times_seen").cast("int").alias("times_seen"),
+        F.min("fetched_at").alias("fetched_at"),
+    ).select(*cols)
 
 
 # --- STR-3 ----------------------------------------------------------------------
-def weather_latest_stream(rows: DataFrame) -> DataFrame:
-    """STR-3: newest fetch per observation time (ties to the larger id)."""
+def weather_latest_stream(rows: DataFrame, state_ttl: str | None = "1 day") -> DataFrame:
+    """STR-3: newest fetch per observation time (ties to the larger id).
+
+    With ``state_ttl`` the observation time carries a watermark, so state for
+    observations older than the bound is evicted and later re-fetches of them
+    are dropped.
+    """
     cols = [c for c in rows.columns if c != "observed_at"]
     rank = F.struct(F.col("fetched_at").isNull(), F.col("fetched_at"), F.col("id").isNull(),
                     F.col("id"))
-    return rows.groupBy("observed_at").agg(
-        F.max_by(F.struct(*cols), rank).alias("_v")).select("observed_at", "_v.*")
+    groups = [F.col("observed_at")]
+    if state_ttl:
+        rows = rows.withColumn("_obs_ts", F.col("observed_at").cast("timestamp")).withWatermark(
+            "_obs_ts", state_ttl)
+        groups.insert(0, F.col("_obs_ts"))
+    out = rows.groupBy(*groups).agg(F.max_by(F.struct(*cols), rank).alias("_v"))
+    return out.select("observed_at", "_v.*")
 
 
 # --- STR-4 ----------------------------------------------------------------------
