@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tramline.operators.upsert import KEY_NAMES, fold_alerts, key_columns
-from tramline.session import checkpoint
+from tramline.session import scratch_dir
 
 PARTITION_COL = "fetch_date"
 VERSION_COL = "_version"
@@ -93,7 +93,8 @@ class AlertFoldTable:
     """Alert state kept as Parquet partitioned by a hash bucket of the key.
 
     ``upsert(batch)`` reads only the buckets the batch touches, folds them
-    with the batch, cuts lineage with a reliable checkpoint and overwrites
+    with the batch, cuts lineage by writing the result once to the shared
+    checkpoint folder, and overwrites
     just those partitions (dynamic partition overwrite). Work per batch is
     proportional to the touched buckets, not to the whole state.
     """
@@ -124,8 +125,11 @@ class AlertFoldTable:
             state = state.join(touched, on=self.BUCKET, how="left_semi").drop(self.BUCKET)
         folded = self._bucketed(fold_alerts(state, batch))
         if state is not None:
-            # The fold reads partitions it is about to replace: cut lineage first.
-            folded = checkpoint(folded)
+            # The fold reads partitions it is about to replace: cut lineage by
+            # writing it once to the shared checkpoint folder, then copy.
+            staged = scratch_dir(self.spark, "fold-staging")
+            folded.write.mode("overwrite").parquet(staged)
+            folded = self.spark.read.parquet(staged)
         (folded.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(self.BUCKET).parquet(self.path))
 
