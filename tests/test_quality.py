@@ -52,3 +52,25 @@ def test_each_check_kind_fails(spark):
               quality.Check("t", "h", "accepted_values", tuple(range(24)))]
     got = {r.test: r.failures for r in quality.run_checks(df, checks).collect()}
     assert got == {"not_null": 1, "unique": 1, "accepted_values": 1}
+
+
+def test_observed_checks_during_refresh(spark, tmp_path):
+    from tramline.plans.catalog import ModelCatalog, default_models, refresh
+    cat = ModelCatalog(spark, {
+        "raw_vehicle_positions": fx.positions(spark), "raw_weather": fx.weather(spark),
+        "raw_trip_updates": fx.trip_updates(spark), "raw_alerts": fx.alerts(spark),
+        "gtfs_routes": fx.routes(spark), "gtfs_stops": fx.stops(spark),
+        "gtfs_trips": fx.trips(spark)}, default_models(as_of="2024-06-01 12:00:00"))
+    metrics = {}
+    out = refresh(cat, str(tmp_path), metrics=metrics)
+    assert metrics["stg_trip_updates"]["route_id.not_null"] == 1
+    assert metrics["stg_alerts"]["entity_type.accepted_values"] == 0
+    assert out["fct_route_performance"].count() == 3  # marts read the stored staging tables
+
+
+def test_grain_and_unmatched(spark):
+    alerts = staging.stg_alerts(fx.alerts(spark), as_of="2024-06-01 12:00:00")
+    routes = staging.stg_routes(fx.routes(spark))
+    assert [tuple(r) for r in marts.unmatched_route_alerts(alerts, routes).collect()] == [("RZZ", "A7")]
+    impact = marts.fct_alert_impact(alerts, routes)
+    assert quality.unique_combination_failures(impact, ["route_id", "alert_id"]).count() == 0

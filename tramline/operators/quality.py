@@ -144,3 +144,32 @@ def assert_passed(results: DataFrame) -> None:
     if failed:
         raise AssertionError("data-quality checks failed: " + "; ".join(
             f"{r.model}.{r.column_name} {r.test}: {r.failures}" for r in failed))
+
+
+def unique_combination_failures(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Combinations of ``columns`` occurring more than once (a grain check,
+    e.g. one row per (route, alert) in the impact mart, G-19)."""
+    return (df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n_records"))
+            .where(F.col("n_records") > 1))
+
+
+def observe_checks(df: DataFrame, name: str, checks: list[Check]):
+    """Attach the row-level checks (not_null, accepted_values) of one model as
+    an ``Observation``: they are computed while the model is written or
+    consumed, with no separate scan. Returns ``(df, observation)``; after an
+    action ``observation.get`` maps ``<column>.<test>`` to failing rows."""
+    from pyspark.sql import Observation
+
+    obs = Observation(name)
+    metrics = []
+    for c in checks:
+        if c.test == "not_null":
+            failing = F.col(c.column).isNull()
+        elif c.test == "accepted_values":
+            failing = ~F.col(c.column).isin(list(c.values))
+        else:
+            continue
+        metrics.append(F.count_if(failing).alias(f"{c.column}.{c.test}"))
+    if not metrics:
+        return df, None
+    return df.observe(obs, *metrics), obs

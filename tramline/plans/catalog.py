@@ -86,10 +86,26 @@ STAGING_MODELS = ["stg_vehicle_positions", "stg_weather", "stg_trip_updates", "s
 MART_MODELS = ["fct_route_performance", "fct_hourly_service", "fct_alert_impact"]
 
 
-def refresh(catalog: ModelCatalog, root: str, names=None) -> dict[str, DataFrame]:
+def refresh(catalog: ModelCatalog, root: str, names=None, metrics: dict | None = None
+            ) -> dict[str, DataFrame]:
     """Build every model once, staging before marts, storing each as Parquet
     under ``root`` (the run step of DQ-4). Marts read the stored staging
     tables, so the trip-update history is computed once per run rather than
-    once per consumer, and every stored table cuts lineage."""
+    once per consumer, and every stored table cuts lineage.
+
+    If ``metrics`` is a dict, the row-level checks of each model are observed
+    while it is written and their failure counts are put in it.
+    """
+    from tramline.operators.quality import SUITE, observe_checks
+
     names = names or STAGING_MODELS + MART_MODELS
-    return {n: catalog.materialize(n, f"{root}/{n}") for n in names}
+    out = {}
+    for n in names:
+        df, obs = catalog.ref(n), None
+        if metrics is not None:
+            df, obs = observe_checks(df, n, [c for c in SUITE if c.model == n])
+        df.write.mode("overwrite").parquet(f"{root}/{n}")
+        if obs is not None:
+            metrics[n] = obs.get
+        out[n] = catalog._built[n] = catalog.spark.read.parquet(f"{root}/{n}")
+    return out

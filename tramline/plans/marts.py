@@ -195,3 +195,10 @@ def fct_alert_impact(
             "planned_duration_seconds"),
         "is_currently_active", "first_seen_at_local", "last_seen_at_local", "times_observed",
     )
+
+
+def unmatched_route_alerts(stg_alerts: DataFrame, stg_routes: DataFrame) -> DataFrame:
+    """Route-level alerts whose route is not in the timetable: the rows the
+    impact mart drops (G-27), reported instead of silently lost."""
+    return (stg_alerts.where(F.col("route_id").isNotNull()).select("route_id", "alert_id")
+            .join(stg_routes.select("route_id"), "route_id", "left_anti"))

@@ -28,3 +28,7 @@ ORACLE["dq_unique"] = o.suite_sql([c for c in SUITE if c.test == "unique"])
 ORACLE["dq_accepted_values"] = o.suite_sql([c for c in SUITE if c.test == "accepted_values"])
 ORACLE["dq_suite"] = o.suite_sql(SUITE)
 ORACLE["sparse_hours"] = o.with_model_ctes(o.SPARSE_SQL, ["fct_hourly_service"])
+
+ORACLE["dq_alert_grain"] = o.grain_sql()
+ORACLE["alert_unmatched_routes"] = o.with_ctes(o.EXTRA["alert_unmatched_routes"],
+                                               ["stg_alerts", "stg_routes"])

@@ -474,3 +474,16 @@ def q_named_models(spark, d):
     return spark.sql(
         "SELECT p.route_id, r.route_mode, p.observations, p.median_delay_seconds "
         "FROM fct_route_performance p JOIN stg_routes r ON p.route_id = r.route_id")
+
+
+@query("dq_alert_grain")
+def q_dq_alert_grain(spark, d):
+    """G-19: (route, alert) pairs that repeat in the impact mart."""
+    impact = marts.fct_alert_impact(_stg_alerts(spark, d), _stg_routes(spark, d))
+    return quality.unique_combination_failures(impact, ["route_id", "alert_id"])
+
+
+@query("alert_unmatched_routes")
+def q_alert_unmatched_routes(spark, d):
+    """G-27: route-level alerts the impact mart drops for an unknown route."""
+    return marts.unmatched_route_alerts(_stg_alerts(spark, d), _stg_routes(spark, d))
