@@ -74,3 +74,30 @@ def test_grain_and_unmatched(spark):
     assert [tuple(r) for r in marts.unmatched_route_alerts(alerts, routes).collect()] == [("RZZ", "A7")]
     impact = marts.fct_alert_impact(alerts, routes)
     assert quality.unique_combination_failures(impact, ["route_id", "alert_id"]).count() == 0
+
+
+def test_run_models_and_tests_gate(spark, tmp_path):
+    from tramline.plans.catalog import ModelCatalog, default_models, run_models_and_tests
+    def catalog():
+        return ModelCatalog(spark, {
+            "raw_vehicle_positions": fx.positions(spark), "raw_weather": fx.weather(spark),
+            "raw_trip_updates": fx.trip_updates(spark), "raw_alerts": fx.alerts(spark),
+            "gtfs_routes": fx.routes(spark), "gtfs_stops": fx.stops(spark),
+            "gtfs_trips": fx.trips(spark)}, default_models(as_of="2024-06-01 12:00:00"))
+    res = run_models_and_tests(catalog(), str(tmp_path / "a"), fail=False)
+    got = {(r.model, r.column_name, r.test): r.failures for r in res.collect()}
+    assert len(got) == 39 and sum(1 for v in got.values() if v) == 3
+    assert got[("stg_trip_updates", "route_id", "not_null")] == 1
+    with pytest.raises(AssertionError):
+        run_models_and_tests(catalog(), str(tmp_path / "b"))
+
+
+def test_size_for_input(spark):
+    from tramline.session import size_for_input
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_for_input(spark, 100 << 40) == 409600  # 100 TB / 256 MB
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == str(256 << 20)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", old)

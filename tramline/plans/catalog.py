@@ -109,3 +109,25 @@ def refresh(catalog: ModelCatalog, root: str, names=None, metrics: dict | None =
             metrics[n] = obs.get
         out[n] = catalog._built[n] = catalog.spark.read.parquet(f"{root}/{n}")
     return out
+
+
+def run_models_and_tests(catalog: ModelCatalog, root: str, fail: bool = True) -> DataFrame:
+    """The scheduled run (DQ-4): build and store every model once, with its
+    row-level checks observed during the write, then run the uniqueness
+    checks on the stored tables. Returns the 39-row result table
+    ``(model, column_name, test, failures)``; with ``fail`` any failing check
+    raises after the results are complete."""
+    from tramline.operators.quality import SUITE, assert_passed, run_suite
+
+    metrics: dict = {}
+    stored = refresh(catalog, root, metrics=metrics)
+    spark = catalog.spark
+    observed = [(c.model, c.column, c.test, int(metrics[c.model][f"{c.column}.{c.test}"]))
+                for c in SUITE if c.test != "unique"]
+    rows = spark.createDataFrame(observed, "model string, column_name string, test string, "
+                                           "failures long")
+    unique = run_suite(stored, tests=["unique"])
+    results = rows.unionByName(unique)
+    if fail:
+        assert_passed(results)
+    return results

@@ -99,3 +99,21 @@ def checkpoint(df, eager: bool = True):
     """Cut lineage with a reliable checkpoint in the shared checkpoint folder."""
     _checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def size_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20,
+                   max_split_bytes: int = 512 << 20) -> int:
+    """Size shuffles and scans for an input of ``input_bytes`` (cluster runs).
+
+    Shuffle partitions start at about one per ``target_partition_bytes`` of
+    input, so sort and aggregation buffers fit executor memory; AQE then
+    coalesces small ones to the advisory size and splits skewed join
+    partitions. Scan splits are capped at ``max_split_bytes``.
+    Returns the partition count set.
+    """
+    parts = max(spark.sparkContext.defaultParallelism, -(-input_bytes // target_partition_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(parts))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(max_split_bytes))
+    return parts
