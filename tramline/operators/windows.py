@@ -20,7 +20,7 @@ def _asc(cols: Sequence[str]) -> list[Column]:
 HOT_KEY_ROWS = 5_000_000
 # At most this many keys can be hot: the threshold rises to rows / MAX_HOT_KEYS,
 # which bounds the broadcast table of split points.
-MAX_HOT_KEYS = 100_000
+MAX_HOT_KEYS = 20_000
 # Time ranges per hot key.
 MAX_SPLITS = 64
 
