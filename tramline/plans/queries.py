@@ -392,7 +392,8 @@ def _replay(spark, name: str, chunks, build, sink_writer, schema=None):
     for i, chunk in enumerate(chunks):
         chunk.write.mode("overwrite").parquet(f"{src}/delivery_{i:03d}")
         stream = jobs.file_stream(spark, f"{src}/*", schema or chunk.schema)
-        sink_writer(build(stream), sink, ckpt)
+        sink_writer(build(stream), sink, ckpt,
+                    state_partitions=spark.sparkContext.defaultParallelism)
     return sink
 
 

@@ -39,29 +39,43 @@ def file_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "
     return reader.load(path)
 
 
-def _run(writer, checkpoint: str, available_now: bool, processing_time: str | None):
+def _run(writer, checkpoint: str, available_now: bool, processing_time: str | None,
+         state_partitions: int | None = None):
+    """Start a query. ``state_partitions`` fixes the number of state-store
+    partitions of stateful operators; it is read when the query first starts
+    and kept in the checkpoint thereafter (default: the session's shuffle
+    partitions)."""
     writer = writer.option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    q = writer.start()
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+    old = spark.conf.get("spark.sql.shuffle.partitions") if state_partitions else None
+    try:
+        if state_partitions:
+            spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+        q = writer.start()
+    finally:
+        if old is not None:
+            spark.conf.set("spark.sql.shuffle.partitions", old)
     if available_now:
         q.awaitTermination()
     return q
 
 
 def append_to_files(stream: DataFrame, sink: str, checkpoint: str, partition_by=None,
-                    available_now: bool = True, processing_time: str | None = None):
+                    available_now: bool = True, processing_time: str | None = None,
+                    state_partitions: int | None = None):
     """Exactly-once file sink: the sink log makes replayed batches invisible."""
     w = stream.writeStream.format("parquet").outputMode("append").option("path", sink)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    return _run(w, checkpoint, available_now, processing_time)
+    return _run(w, checkpoint, available_now, processing_time, state_partitions)
 
 
 def upsert_batches(stream: DataFrame, sink: str, checkpoint: str, available_now: bool = True,
-                   processing_time: str | None = None):
+                   processing_time: str | None = None, state_partitions: int | None = None):
     """Update-mode sink: each micro-batch's changed rows go to their own
     ``batch_id=<n>`` folder; a retried batch overwrites its folder."""
 
@@ -69,7 +83,7 @@ def upsert_batches(stream: DataFrame, sink: str, checkpoint: str, available_now:
         batch.write.mode("overwrite").parquet(f"{sink}/{BATCH_COL}={batch_id}")
 
     w = stream.writeStream.outputMode("update").foreachBatch(write)
-    return _run(w, checkpoint, available_now, processing_time)
+    return _run(w, checkpoint, available_now, processing_time, state_partitions)
 
 
 def read_latest(spark: SparkSession, sink: str, keys: Sequence[str]) -> DataFrame:
