@@ -101,3 +101,25 @@ def test_size_for_input(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", old)
+
+
+def test_cli_run(spark, tmp_path):
+    from tramline.__main__ import _run
+    from tramline.sources import gtfs
+
+    raw, feed, out = tmp_path / "raw", tmp_path / "gtfs", tmp_path / "out"
+    for name, df in {"raw_vehicle_positions": fx.positions(spark), "raw_trip_updates": fx.trip_updates(spark),
+                     "raw_alerts": fx.alerts(spark), "raw_weather": fx.weather(spark)}.items():
+        df.write.parquet(str(raw / name))
+    gtfs.write_csv(fx.routes(spark).drop("loaded_at"), str(feed / "routes.txt"))
+    gtfs.write_csv(fx.stops(spark).drop("loaded_at"), str(feed / "stops.txt"))
+    gtfs.write_csv(fx.trips(spark), str(feed / "trips.txt"))
+
+    class A:
+        pass
+    args = A()
+    args.raw, args.gtfs, args.out, args.as_of, args.no_fail = str(raw), str(feed), str(out), "2024-06-01 12:00:00", True
+    assert _run(args, spark) == 0
+    checks = spark.read.parquet(str(out / "_checks"))
+    assert checks.count() == 39
+    assert spark.read.parquet(str(out / "fct_route_performance")).count() == 3

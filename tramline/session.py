@@ -36,16 +36,20 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def build_session(
-    master: str = "local[*]",
+    master: str | None = "local[*]",
     app_name: str = "tramline",
     shuffle_partitions: int = 8,
     checkpoint_dir: str | None = None,
     extra_conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Create (or reuse) a session with UI off and the runtime settings applied."""
+    """Create (or reuse) a session with UI off and the runtime settings applied.
+
+    ``master=None`` leaves the master to spark-submit (cluster runs)."""
+    builder = SparkSession.builder
+    if master:  # None: take the master from spark-submit / the cluster
+        builder = builder.master(master)
     builder = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
+        builder.appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
