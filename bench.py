@@ -2,7 +2,7 @@
 
 Runs each query end to end into Spark's ``noop`` sink (full execution, no
 collect) at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
-``local[$BENCH_CPUS]``. Each query is timed ``$BENCH_REPEAT`` times (default 2;
+``local[$BENCH_CPUS]``. Each query is timed ``$BENCH_REPEAT`` times (default 3;
 nothing is cached between runs, every run re-reads and recomputes) and the best
 run is reported, to damp machine noise. Prints one JSON line:
 {"metric": ..., "value": total_sec, "unit": "sec", "queries": {...}, "sf": ...}
@@ -52,7 +52,7 @@ def main() -> None:
     if os.path.isdir(warm_dir):
         for name in names:
             REGISTRY[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     times: dict[str, float] = {}
     for name in names:
         runs = []
