@@ -214,7 +214,8 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 20 == 0, F.lit(0).cast("long")).otherwise(start + k * 3600).alias(
             "active_period_end"),
         F.when(k % 4 == 0, route_id_of(k % TRIP_ROUTES)).alias("informed_route_id"),
-        F.when(k % 4 == 1, k.cast("string")).alias("informed_stop_id"),
+        # every 8th k names a stop next to its route (grain rule G-19)
+        F.when((k % 4 == 1) | (k % 8 == 0), k.cast("string")).alias("informed_stop_id"),
         F.when(k % 4 == 2, k.cast("string")).alias("informed_trip_id"),
         F.when(~legacy, F.col("ts")).alias("first_seen_at"),
         F.when(~legacy, F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), k)).alias(
