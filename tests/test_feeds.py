@@ -66,3 +66,31 @@ def test_weather_json(spark, tmp_path):
     r = feeds.flatten_weather(feeds.read_weather_json(spark, str(p))).first()
     assert (r.observed_at, r.temperature_c, r.weather_code) == (T("2024-06-01 08:00:00"), 21.5, 61)
     assert r.fetched_at == T("2024-06-01 08:03:00")
+
+
+def test_cli_flatten_and_fold(spark, tmp_path):
+    import fixtures as fx
+    from tramline.__main__ import _flatten, _fold
+    from tramline.operators.sinks import read_landed
+
+    feed = spark.createDataFrame([(T("2024-06-01 08:00:00"), [
+        ("e1", (("V1", "L1", None, None), ("T1", "R1", "08:00", "20240601"), (45.0, 7.6, 90.0), 100)),
+    ])], schemas.VEHICLE_FEED)
+    src, dst = tmp_path / "src", tmp_path / "dst"
+    feed.write.parquet(str(src))
+
+    class A:
+        pass
+    a = A()
+    a.kind, a.src, a.dst = "positions", str(src), str(dst)
+    assert _flatten(a, spark) == 0
+    landed = read_landed(spark, str(dst))
+    assert landed.count() == 1 and "fetch_date" in landed.columns
+
+    batch, state = tmp_path / "batch", tmp_path / "state"
+    fx.alerts(spark).write.parquet(str(batch))
+    b = A()
+    b.batch, b.state, b.buckets = str(batch), str(state), 4
+    assert _fold(b, spark) == 0 and _fold(b, spark) == 0  # the same batch twice
+    folded = {r.id: r.times_seen for r in spark.read.parquet(str(state)).collect()}
+    assert len(folded) == 11 and folded[1] == 6
