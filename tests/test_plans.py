@@ -60,3 +60,19 @@ def test_keep_latest_window_uses_group_limit(spark):
 def test_bucketed_join_has_no_exchange(spark):
     p = plan(REGISTRY["keyed_layout_join"](spark, SF))
     assert "Exchange hashpartitioning" not in p
+
+
+def test_row_bounded_broadcast(spark):
+    import fixtures as fx
+    from tramline.operators.joins import has_at_most, join_dimension
+
+    fact, dim = fx.trip_updates(spark), fx.trips(spark)  # 4 trips
+    assert has_at_most(dim, 4) and not has_at_most(dim, 3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # planner would not broadcast
+    try:
+        hinted = plan(join_dimension(fact, dim, "trip_id", "left", max_broadcast_rows=10))
+        over = plan(join_dimension(fact, dim, "trip_id", "left", max_broadcast_rows=3))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32MB")
+    assert "BroadcastHashJoin" in hinted
+    assert "BroadcastHashJoin" not in over and "SortMergeJoin" in over
