@@ -165,3 +165,19 @@ def test_history_hot_key_split_matches_single_window(spark):
     hot = split.where("trip_id = 'HOT'")
     assert hot.agg(F.max("observation_number")).first()[0] == 302
     assert hot.where("fetched_at IS NULL").agg(F.min("recency_rank")).first()[0] == 1
+
+
+def test_planned_duration_utc_vs_local_across_dst(spark):
+    # G-20: 2024-10-26 12:00 UTC -> 2024-10-27 12:00 UTC is 24 h on UTC clocks but
+    # 23 h between the local wall clocks (14:00 CEST -> 13:00 CET next day).
+    from tramline import schemas
+    start, end = 1729944000, 1730030400
+    a = spark.createDataFrame([(1, "A1", "h", "C", "E", "S", "H", None, None, start, end, "R1U", None,
+                                None, None, None, None, T("2024-10-26 12:00:00"))], schemas.RAW_ALERTS)
+    stg = staging.stg_alerts(a, as_of="2024-10-27 00:00:00")
+    r = stg.first()
+    assert r.planned_duration_seconds == 24 * 3600.0
+    assert (r.active_from_local, r.active_until_local) == (T("2024-10-26 14:00:00"), T("2024-10-27 13:00:00"))
+    impact = marts.fct_alert_impact(stg, staging.stg_routes(fx.routes(spark))).first()
+    assert impact.planned_duration_seconds == 23 * 3600.0
+    assert impact.is_currently_active is True
