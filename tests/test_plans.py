@@ -76,3 +76,16 @@ def test_row_bounded_broadcast(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32MB")
     assert "BroadcastHashJoin" in hinted
     assert "BroadcastHashJoin" not in over and "SortMergeJoin" in over
+
+
+def test_landed_reads_prune_dates(spark):
+    import fixtures as fx
+    from tramline.operators import sinks
+    from tramline.session import scratch_dir
+
+    path = scratch_dir(spark, "prune")
+    sinks.append_snapshot(fx.positions(spark), path)
+    recent = sinks.read_landed(spark, path, since="2024-10-27", until="2024-10-27")
+    p = plan(recent)
+    assert "PartitionFilters: [isnotnull(fetch_date" in p and "2024-10-27" in p
+    assert sorted(r.id for r in recent.collect()) == [1, 2, 3, 4, 5]

@@ -26,9 +26,20 @@ def append_snapshot(df: DataFrame, path: str, partition_col: str = PARTITION_COL
        .write.mode("append").partitionBy(partition_col).parquet(path))
 
 
-def read_landed(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
-    """Read an appended table; files written with fewer columns read as null (SRC-10)."""
-    return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+def read_landed(spark: SparkSession, path: str, merge_schema: bool = True,
+                since=None, until=None) -> DataFrame:
+    """Read an appended table; files written with fewer columns read as null (SRC-10).
+
+    ``since`` / ``until`` (inclusive dates) filter the ``fetch_date`` partition
+    column, so only those date folders are listed and scanned (partition
+    pruning) — e.g. a job over the last days of a multi-year table.
+    """
+    df = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+    if since is not None:
+        df = df.where(F.col(PARTITION_COL) >= F.lit(since).cast("date"))
+    if until is not None:
+        df = df.where(F.col(PARTITION_COL) <= F.lit(until).cast("date"))
+    return df
 
 
 def evolve(df: DataFrame, defaults: dict | None = None) -> DataFrame:
