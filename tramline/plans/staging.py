@@ -27,6 +27,13 @@ from tramline.operators.windows import keep_latest, observation_history
 HISTORY_KEYS = ("trip_id", "stop_sequence")
 
 
+def _utc(df: DataFrame) -> DataFrame:
+    """Time helpers treat naive timestamps as UTC: make sure the session does."""
+    if df.sparkSession.conf.get("spark.sql.session.timeZone") != "UTC":
+        df.sparkSession.conf.set("spark.sql.session.timeZone", "UTC")
+    return df
+
+
 def _local_parts(ts: str, tz: str, prefix: str = "local_", with_name: bool = True) -> list[Column]:
     local = to_local(ts, tz)
     parts = [
@@ -43,6 +50,7 @@ def stg_vehicle_positions(raw: DataFrame, tz: str = LOCAL_TZ) -> DataFrame:
 
     ``lat <> 0 AND lon <> 0`` drops a row when either is 0 or null.
     """
+    _utc(raw)
     valid = raw.where((F.col("latitude") != 0) & (F.col("longitude") != 0))
     return valid.select(
         "id", "vehicle_id", "vehicle_label", "route_id", "trip_id",
@@ -60,6 +68,7 @@ def stg_weather(raw: DataFrame, tz: str = LOCAL_TZ, method: str = "aggregate") -
 
     Ties on fetched_at are broken by the row id (G-3).
     """
+    _utc(raw)
     latest = keep_latest(
         raw.select("id", "observed_at", "temperature_c", "precipitation_mm",
                    "wind_speed_kmh", "weather_code", "fetched_at"),
@@ -90,6 +99,7 @@ def stg_trip_updates(
     keeps a null route; duplicate trip rows fan out (JOIN-1). History is per
     (trip_id, stop_sequence) in (fetched_at, id) order (G-2, G-3).
     """
+    _utc(raw)
     base = raw.where(F.col("trip_id").isNotNull() & F.col("stop_sequence").isNotNull()).select(
         "id", "trip_id", "trip_start_time", "trip_start_date", "vehicle_id", "vehicle_label",
         "license_plate",
@@ -135,6 +145,7 @@ def stg_alerts(raw: DataFrame, as_of=None, tz: str = LOCAL_TZ, open_end: str = "
     fetched_at and a count of 1. ``as_of`` fixes "now" (G-24); an end of 0
     is 1970 unless ``open_end='never'`` (G-10).
     """
+    _utc(raw)
     now = default_as_of() if as_of is None else (
         F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, (str, _dt.datetime)) else as_of
     )
