@@ -181,3 +181,23 @@ def test_planned_duration_utc_vs_local_across_dst(spark):
     impact = marts.fct_alert_impact(stg, staging.stg_routes(fx.routes(spark))).first()
     assert impact.planned_duration_seconds == 23 * 3600.0
     assert impact.is_currently_active is True
+
+
+def test_keep_latest_null_order_first_both_methods(spark):
+    from tramline.operators.windows import keep_latest
+    df = spark.createDataFrame([
+        ("k1", 1, T("2024-06-01 10:00:00"), "old"),
+        ("k1", 2, None, "null-time"),  # G-4: descending puts nulls first -> wins
+        ("k2", 3, T("2024-06-01 10:00:00"), "a"),
+        ("k2", 4, T("2024-06-01 10:00:00"), "b"),  # tie -> larger id
+    ], "k string, id long, fetched_at timestamp_ntz, v string")
+    for method in ("aggregate", "window"):
+        got = dict(rows(keep_latest(df, ["k"], ["fetched_at", "id"], method=method), "k", "v"))
+        assert got == {"k1": "null-time", "k2": "b"}, method
+
+
+def test_route_performance_approx_option(spark):
+    perf = marts.fct_route_performance(stg_tu(spark), staging.stg_routes(fx.routes(spark)),
+                                       approx=True)
+    got = {r.route_id: r for r in perf.collect()}
+    assert got["R2E"].trips_observed == 2 and got["R2E"].median_delay_seconds in (61.0, 120.0)
