@@ -25,9 +25,13 @@ def effect_share(stg_alerts: DataFrame, only_active: bool = True) -> DataFrame:
     An alert with several effects counts once under each.
     """
     alerts = stg_alerts.where(F.col("is_currently_active")) if only_active else stg_alerts
-    alerts = alerts.select("alert_id", "effect")
-    total = alerts.agg(F.count_distinct("alert_id")).scalar()
-    return alerts.groupBy("effect").agg(F.count_distinct("alert_id").alias("alerts")).select(
+    # One rollup gives the per-effect counts and the grand total; the total is
+    # read back by a scalar subquery over the same aggregate, whose exchange
+    # Spark reuses instead of recomputing the alert roll-up.
+    counts = alerts.select("alert_id", "effect").rollup("effect").agg(
+        F.count_distinct("alert_id").alias("alerts"), F.grouping("effect").alias("_total"))
+    total = counts.where(F.col("_total") == 1).select("alerts").scalar()
+    return counts.where(F.col("_total") == 0).select(
         "effect", "alerts", pct(F.col("alerts"), total).alias("pct_of_alerts"))
 
 
