@@ -201,3 +201,18 @@ def test_route_performance_approx_option(spark):
                                        approx=True)
     got = {r.route_id: r for r in perf.collect()}
     assert got["R2E"].trips_observed == 2 and got["R2E"].median_delay_seconds in (61.0, 120.0)
+
+
+def test_history_split_with_numeric_order(spark):
+    from tramline.operators import windows
+    data = [("HOT", i, (i * 37) % 101, i % 5) for i in range(120)] + [("K", i, i, 1) for i in range(5)]
+    df = spark.createDataFrame(data, "k string, id long, seq long, d int")
+    simple = windows.observation_history(df, ["k"], ["seq", "id"], "d", hot_key_rows=None)
+    old = windows.DETECT_FRACTION
+    windows.DETECT_FRACTION = 1.0
+    try:
+        split = windows.observation_history(df, ["k"], ["seq", "id"], "d", hot_key_rows=10,
+                                            max_splits=6)
+    finally:
+        windows.DETECT_FRACTION = old
+    assert rows(split) == rows(simple)

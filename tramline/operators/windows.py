@@ -46,9 +46,15 @@ def _order_rank(order: Sequence[str]) -> Column:
     return F.struct(*parts)
 
 
-def _ordinal(col: str) -> Column:
-    """Order value as a number (timestamps as microseconds) for quantiles."""
-    return F.unix_micros(F.col(col).cast("timestamp"))
+def _ordinal(df: DataFrame, col: str) -> Column:
+    """Order value as a number for quantiles: timestamps as microseconds,
+    dates as days, numbers as they are."""
+    t = df.schema[col].dataType.typeName()
+    if t in ("timestamp", "timestamp_ntz"):
+        return F.unix_micros(F.col(col).cast("timestamp"))
+    if t == "date":
+        return F.unix_date(F.col(col))
+    return F.col(col).cast("double")
 
 
 def _split_history(df, keys, order, value, prefix, threshold, max_splits):
@@ -71,7 +77,7 @@ def _split_history(df, keys, order, value, prefix, threshold, max_splits):
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.where(F.col("_n") > threshold).select(*keys)  # at most MAX_HOT_KEYS rows
     probs = [i / max_splits for i in range(1, max_splits)]
-    ordv = _ordinal(order[0])
+    ordv = _ordinal(df, order[0])
     bounds = (df.join(F.broadcast(hot), list(keys), "left_semi")
               .groupBy(*keys)
               .agg(F.array_sort(F.array_distinct(

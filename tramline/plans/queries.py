@@ -224,10 +224,10 @@ def q_append_snapshots(spark, d):
     return sinks.read_landed(spark, path)
 
 
-OLD_ALERT_COLUMNS = [c for c in
-                     ("id", "alert_id", "cause", "effect", "severity_level", "header_text",
-                      "description_text", "url", "active_period_start", "active_period_end",
-                      "informed_route_id", "informed_stop_id", "informed_trip_id", "fetched_at")]
+# The alert table's first layout, before the fingerprint and sighting columns.
+OLD_ALERT_COLUMNS = ["id", "alert_id", "cause", "effect", "severity_level", "header_text",
+                     "description_text", "url", "active_period_start", "active_period_end",
+                     "informed_route_id", "informed_stop_id", "informed_trip_id", "fetched_at"]
 
 
 @query("evolve_schema")
