@@ -1,10 +1,11 @@
 """Fact-to-dimension joins with a checked broadcast (JOIN-1, JOIN-2).
 
-By default the planner decides: Catalyst broadcasts a side only when its
-size estimate is under ``spark.sql.autoBroadcastJoinThreshold`` and plans a
-shuffle join otherwise; AQE re-checks with the real sizes of shuffled
-sides at run time. That check costs nothing. ``max_broadcast_rows=<n>``
-forces a broadcast behind an explicit row bound instead (one small job).
+A dimension is broadcast only when it provably has at most
+``max_broadcast_rows`` rows: a limit that reads at most that many rows plus
+one, so the check costs the same whatever the table size. Beyond the bound
+the join is a shuffle join. The session turns off broadcasts chosen from
+file-size estimates; AQE may still broadcast a side whose size it measured.
+``max_broadcast_rows=None`` leaves the choice to the planner.
 """
 
 from __future__ import annotations
@@ -32,14 +33,9 @@ def join_dimension(
     dim: DataFrame,
     on,
     how: str = "inner",
-    max_broadcast_rows: int | None = None,
+    max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Join a fact to a dimension.
-
-    ``max_broadcast_rows=None``: the planner's size-checked choice (above).
-    ``max_broadcast_rows=n``: broadcast the dimension if it provably has at
-    most ``n`` rows, else leave the join to the planner.
-    """
+    """Join a fact to a dimension, broadcasting it only behind the row bound."""
     if max_broadcast_rows is not None and has_at_most(dim, max_broadcast_rows):
         dim = F.broadcast(dim)
     return fact.join(dim, on=on, how=how)

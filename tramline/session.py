@@ -19,8 +19,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Size bound for planner-chosen broadcasts (static estimate and AQE runtime).
-    "spark.sql.autoBroadcastJoinThreshold": "32MB",
+    # No broadcast on a file-size estimate: dimensions are broadcast only behind
+    # a row bound (operators.joins), and AQE may broadcast a side whose size it
+    # has measured at run time (e.g. a small aggregate).
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
