@@ -32,3 +32,6 @@ ORACLE["sparse_hours"] = o.with_model_ctes(o.SPARSE_SQL, ["fct_hourly_service"])
 ORACLE["dq_alert_grain"] = o.grain_sql()
 ORACLE["alert_unmatched_routes"] = o.with_ctes(o.EXTRA["alert_unmatched_routes"],
                                                ["stg_alerts", "stg_routes"])
+
+for _name in ("fn_time_parts", "win_event_history", "agg_event_stats"):
+    ORACLE[_name] = o.extra_sql(_name)

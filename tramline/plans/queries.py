@@ -488,3 +488,50 @@ def q_dq_alert_grain(spark, d):
 def q_alert_unmatched_routes(spark, d):
     """G-27: route-level alerts the impact mart drops for an unknown route."""
     return marts.unmatched_route_alerts(_stg_alerts(spark, d), _stg_routes(spark, d))
+
+
+# --- single-function checks over whole tables ----------------------------------------
+from tramline.functions import time as T  # noqa: E402
+from tramline.functions.numeric import round_half_away, round_half_even  # noqa: E402
+from tramline.operators.windows import observation_history  # noqa: E402
+
+
+@query("fn_time_parts")
+def q_fn_time_parts(spark, d):
+    """FN-1..6: epoch round trip, local time and its parts for every event."""
+    e = td.table(spark, d, "events")
+    local = T.to_local("ts")
+    return e.select(
+        "event_id",
+        T.epoch_to_utc(T.utc_seconds("ts")).alias("ts_seconds"),
+        local.alias("ts_local"),
+        T.hour_of(local).alias("local_hour"),
+        T.day_of_week(local).alias("local_day_of_week"),
+        T.day_name(local).alias("local_day_name"),
+        T.hour_bucket(local).alias("local_hour_bucket"),
+    )
+
+
+@query("win_event_history")
+def q_win_event_history(spark, d):
+    """WIN-1..5: observation history of every user's events (ts, event_id order)."""
+    e = td.table(spark, d, "events").select("event_id", "user_id", "ts", "value")
+    h = observation_history(e, ["user_id"], ["ts", "event_id"], "value")
+    return h.select("event_id", "user_id", "observation_number", "total_observations",
+                    "recency_rank", F.col("previous_value").alias("previous_value"),
+                    F.col("first_value").alias("first_value"))
+
+
+@query("agg_event_stats")
+def q_agg_event_stats(spark, d):
+    """AGG-1/2/7/8/12 per event type: counts, distinct users, exact percentiles
+    (half-even), mode with ties to the smallest, sample stddev."""
+    e = td.table(spark, d, "events").withColumn("k", td.k_of())
+    return e.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.count_distinct("user_id").alias("users"),
+        round_half_even(F.percentile("k", 0.5)).alias("median_k"),
+        round_half_even(F.percentile("k", 0.9)).alias("p90_k"),
+        F.mode("k", deterministic=True).alias("mode_k"),
+        round_half_away(F.stddev_samp("k"), 3).alias("stddev_k"),
+    )
