@@ -33,5 +33,5 @@ ORACLE["dq_alert_grain"] = o.grain_sql()
 ORACLE["alert_unmatched_routes"] = o.with_ctes(o.EXTRA["alert_unmatched_routes"],
                                                ["stg_alerts", "stg_routes"])
 
-for _name in ("fn_time_parts", "win_event_history", "agg_event_stats"):
+for _name in ("fn_time_parts", "win_event_history", "agg_event_stats", "fn_codes"):
     ORACLE[_name] = o.extra_sql(_name)

@@ -535,3 +535,28 @@ def q_agg_event_stats(spark, d):
         F.mode("k", deterministic=True).alias("mode_k"),
         round_half_away(F.stddev_samp("k"), 3).alias("stddev_k"),
     )
+
+
+@query("fn_codes")
+def q_fn_codes(spark, d):
+    """FN-9, FN-11..15, FN-25: code maps and blank handling on every part."""
+    from tramline.functions import codes
+    from tramline.functions.text import blank_to_null, text_to_double
+
+    p = td.table(spark, d, "part")
+    size = F.col("p_size")
+    rid = F.concat(F.col("p_partkey").cast("string"),
+                   codes.lookup(F.col("p_partkey") % 4, [(0, "U"), (1, "E"), (2, "X")], ""))
+    short = F.concat("p_brand", F.when(size % 7 == 0, F.lit("N")).otherwise(F.lit("")))
+    return p.select(
+        "p_partkey",
+        codes.route_mode((size % 12).cast("string")).alias("route_mode"),
+        codes.service_area(rid).alias("service_area"),
+        codes.is_night_route(short).alias("is_night_route"),
+        codes.weather_condition(size * 2).alias("weather_condition"),
+        codes.feed_accessibility((size % 4).cast("string")).alias("feed_accessible"),
+        codes.stop_boarding((size % 4).cast("string")).alias("stop_accessible"),
+        blank_to_null(F.when(size % 5 == 0, F.lit("")).otherwise(F.col("p_type"))).alias("p_type_or_null"),
+        text_to_double(F.when(size % 6 == 0, F.lit("")).otherwise(
+            F.col("p_retailprice").cast("string"))).alias("price"),
+    )
