@@ -87,3 +87,12 @@ def test_landed_reads_prune_dates(spark):
     p = plan(recent)
     assert "PartitionFilters: [isnotnull(fetch_date" in p and "2024-10-27" in p
     assert sorted(r.id for r in recent.collect()) == [1, 2, 3, 4, 5]
+
+
+def test_no_estimate_based_broadcasts(spark):
+    # hourly aggregates are joined without a size proof: planned as shuffle joins
+    # (AQE may broadcast them once it has measured them); the trip dimension is
+    # broadcast behind its row bound.
+    p = plan(REGISTRY["hourly_service"](spark, SF))
+    assert len(re.findall(r"^\(\d+\) SortMergeJoin", p, flags=re.M)) == 2
+    assert len(re.findall(r"^\(\d+\) BroadcastHashJoin", p, flags=re.M)) == 1
