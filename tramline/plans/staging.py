@@ -21,7 +21,7 @@ from tramline.functions.time import (
     within,
 )
 from tramline.operators.joins import DEFAULT_BROADCAST_ROWS, join_dimension
-from tramline.operators.windows import keep_latest, observation_history
+from tramline.operators.windows import HOT_KEY_ROWS, keep_latest, observation_history
 
 # Keys of the prediction history (G-2: not the service date).
 HISTORY_KEYS = ("trip_id", "stop_sequence")
@@ -92,6 +92,7 @@ def stg_trip_updates(
     keys=HISTORY_KEYS,
     order=("fetched_at", "id"),
     max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+    hot_key_rows: int | None = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Every stop-level observation with its history metrics (MOD-3).
 
@@ -112,7 +113,7 @@ def stg_trip_updates(
     joined = join_dimension(base, dim, on="trip_id", how="left",
                             max_broadcast_rows=max_broadcast_rows)
     hist = observation_history(joined, keys=list(keys), order=list(order),
-                               value="arrival_delay_seconds")
+                               value="arrival_delay_seconds", hot_key_rows=hot_key_rows)
     delay = F.col("arrival_delay_seconds")
     return hist.select(
         "trip_id", "route_id", "direction_id", "trip_headsign", "trip_start_time",
