@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramline.llm import bpe, decontaminate, nbsvm, pii, simhash
-from tramline.llm.common import read_table
+from tramline.llm.common import carried, read_table, restored
 from tramline.session import scratch_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -21,8 +21,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier predicts to be good."""
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
-    scored = nbsvm.classify(docs, labels)
-    return scored.filter(F.col("predicted") == 1).select(*docs.columns)
+    scored = nbsvm.classify(carried(docs, "doc_id", "text"), labels)
+    return restored(scored.filter(F.col("predicted") == 1), docs, "doc_id", "text")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +37,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal numbers, dates and addresses replaced by pseudonyms."""
-    return _sized(pii.pseudonymise(docs).select(*docs.columns))
+    return _sized(restored(pii.pseudonymise(carried(docs, "text")), docs, "text"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -86,6 +86,10 @@ class Codec:
         self.rank = [ranks[k] for k in self.table.keys]
         self.bytes_of = {r: k for k, r in ranks.items()}
 
+    def __getstate__(self) -> dict:
+        """Without the memos that ``encoder`` keeps here."""
+        return {k: v for k, v in self.__dict__.items() if k != "_memos"}
+
     def whole(self, piece: bytes) -> int:
         """Tier 1: the rank of a pre-token that is in the vocabulary, else -1."""
         at = self.table.find(piece)

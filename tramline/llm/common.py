@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Rows per Arrow batch for operators that run Python over whole texts: a batch of
@@ -23,6 +24,18 @@ def keep_columns(df: DataFrame, added: list[str]) -> list[str]:
     return [c for c in df.columns if c.lower() not in taken]
 
 
+def carried(df: DataFrame, *named: str) -> DataFrame:
+    """The named columns of ``df`` and all others in one struct, out of reach of names
+    that an operator adds; ``restored`` takes them out again."""
+    others = [df[c] for c in df.columns if c not in named] or [F.lit(1).alias("none")]
+    return df.select(*[df[c] for c in named], F.struct(*others).alias("__row__"))
+
+
+def restored(made: DataFrame, df: DataFrame, *named: str) -> DataFrame:
+    """The columns of ``df``, the named ones as they are in ``made``."""
+    return made.select(*[made[c] if c in named else made["__row__"][c].alias(c) for c in df.columns])
+
+
 def map_texts(
     df: DataFrame,
     column: str,

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.common import field, keep_columns, map_texts
+from tramline.llm.common import carried, field, keep_columns, map_texts, restored
 
 WINDOW = 13
 # A document is contaminated if its hit words are at least 1/20 of its words.
@@ -283,7 +283,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
     Keeps the columns of ``docs``; texts without such runs stay as they are.
     """
-    found = judged(match(docs, benchmark, text_col, window, shard_words), coverage)
+    found = judged(match(carried(docs, text_col), benchmark, text_col, window, shard_words), coverage)
     clean = found.filter(~F.col("contaminated")).withColumn(
         "__cut__", F.struct(F.col(text_col).alias("text"), "hit_starts", "hit_stops"))
 
@@ -298,7 +298,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
         return batch
 
     cut = map_texts(clean.drop(text_col), "__cut__", [field(text_col, "string")], start)
-    return cut.select(*[c for c in docs.columns if c in cut.columns])
+    return restored(cut, docs, text_col)
 
 
 def contract_rows(matched: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -89,9 +89,9 @@ RULES: tuple[tuple[str, str, tuple[str, ...]], ...] = (
 
 #: Every known sentence has one of these words, so texts without them need no cutting.
 KEYWORDS = r"(?i)licen[sc]e|copyright|permission|warrant|redistribut|public domain|rights reserved"
-# Sentences end behind these marks before white space and at blank lines; an unknown
-# sentence is tried line by line. Comment marks in front of lines don't count.
-SENTENCE_END = r"(?<=[.!?:;])\s+|\n[\x20\t]*\n"
+# Sentences end behind these marks before white space, behind colons at the end of a line
+# and at blank lines; an unknown sentence is tried line by line. Comment marks in front of lines don't count.
+SENTENCE_END = r"(?<=[.!?])\s+|(?<=[:;])[\x20\t]*\n\s*|\n[\x20\t]*\n"
 COMMENT = r"(?m)^[\x20\t]*(?:#+|//+|\*+|--+|;+)[\x20\t]*"
 
 
