@@ -1,5 +1,7 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from tramline import schemas
 from tramline.sources import feeds
 
@@ -16,7 +18,8 @@ def test_vehicle_flatten_defaults(spark):
     assert len(out) == 2
     assert (out[0].vehicle_id, out[0].trip_id, out[0].latitude, out[0].gps_timestamp) == ("V1", "T1", 45.0, 100)
     assert (out[1].vehicle_label, out[1].trip_id, out[1].route_id, out[1].latitude, out[1].gps_timestamp) == ("", "", "", 0.0, 0)
-    assert out[1].id - out[0].id == 2  # slot in the snapshot
+    assert [r.id[18:] for r in out] == ["0" * 20, "0000000002" + "0" * 10]  # place in the snapshot
+    assert out[0].id[:18] == out[1].id[:18]
 
 
 def test_trip_flatten_delays(spark):
@@ -90,7 +93,26 @@ def test_cli_flatten_and_fold(spark, tmp_path):
     batch, state = tmp_path / "batch", tmp_path / "state"
     fx.alerts(spark).write.parquet(str(batch))
     b = A()
-    b.batch, b.state, b.buckets = str(batch), str(state), 4
-    assert _fold(b, spark) == 0 and _fold(b, spark) == 0  # the same batch twice
-    folded = {r.id: r.times_seen for r in spark.read.parquet(str(state)).collect()}
+    b.batch, b.state, b.batch_id, b.compact = str(batch), str(state), 1, False
+    assert _fold(b, spark) == 0 and _fold(b, spark) == 0  # a retry counts once
+    b.batch_id, b.compact = 2, True
+    assert _fold(b, spark) == 0  # the same rows in a second batch
+    from tramline.operators.sinks import alert_fold_table
+    folded = {r.id: r.times_seen for r in alert_fold_table(spark, str(state)).read().collect()}
     assert len(folded) == 11 and folded[1] == 6
+
+
+def test_row_ids_never_collide_or_overflow(spark):
+    times = [T("2024-06-01 08:00:00"), T("2024-06-01 08:00:00.000001"), T("2199-12-31 23:59:59"), T("1950-01-01 00:00:00")]
+    df = spark.createDataFrame([(t, e, s) for t in times for e in (0, 1, 2**31 - 1) for s in (0, 4999, 5000, 2**31 - 1)],
+                               "t timestamp_ntz, e long, s long")
+    got = df.select("t", "e", "s", feeds.snapshot_row_id("t", F.col("e"), F.col("s")).alias("id")).collect()
+    assert len({r.id for r in got}) == len(got) and {len(r.id) for r in got} == {38}
+    assert sorted(got, key=lambda r: r.id) == sorted(got, key=lambda r: (r.t, r.e, r.s))
+
+
+def test_line_ids_at_any_size(spark):
+    from tramline.sources.testdata import line_id
+    df = spark.createDataFrame([(o, 1, p, 10**6, 50.0) for o in (1, 10**10, 10**18) for p in (5, 10**7)],
+                               "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double")
+    assert df.select(line_id().alias("id")).distinct().count() == 6

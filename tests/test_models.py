@@ -150,17 +150,8 @@ def test_history_hot_key_split_matches_single_window(spark):
     df = spark.createDataFrame(data, "id long, trip_id string, stop_sequence int, d int, "
                                      "fetched_at timestamp_ntz")
     args = (["trip_id", "stop_sequence"], ["fetched_at", "id"], "d")
-    simple = observation_history(df, *args, hot_key_rows=None)
-    from tramline.operators import windows
-    windows.DETECT_FRACTION, old = 1.0, windows.DETECT_FRACTION
-    try:
-        split = observation_history(df, *args, hot_key_rows=50, max_splits=8)
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            split.explain()
-        assert "_range" in buf.getvalue()  # the split path ran
-    finally:
-        windows.DETECT_FRACTION = old
+    simple = observation_history(df, *args)
+    split = observation_history(df, *args, split=True, ranges=8)
     assert rows(split) == rows(simple)
     hot = split.where("trip_id = 'HOT'")
     assert hot.agg(F.max("observation_number")).first()[0] == 302
@@ -207,12 +198,22 @@ def test_history_split_with_numeric_order(spark):
     from tramline.operators import windows
     data = [("HOT", i, (i * 37) % 101, i % 5) for i in range(120)] + [("K", i, i, 1) for i in range(5)]
     df = spark.createDataFrame(data, "k string, id long, seq long, d int")
-    simple = windows.observation_history(df, ["k"], ["seq", "id"], "d", hot_key_rows=None)
-    old = windows.DETECT_FRACTION
-    windows.DETECT_FRACTION = 1.0
-    try:
-        split = windows.observation_history(df, ["k"], ["seq", "id"], "d", hot_key_rows=10,
-                                            max_splits=6)
-    finally:
-        windows.DETECT_FRACTION = old
-    assert rows(split) == rows(simple)
+    simple = windows.observation_history(df, ["k"], ["seq", "id"], "d")
+    assert rows(windows.observation_history(df, ["k"], ["seq", "id"], "d", split=True, ranges=6)) == rows(simple)
+
+
+def test_history_split_keeps_null_keys_text_order_and_equal_times(spark):
+    from tramline.operators import windows
+    data = [(None if i % 3 else "A", None if i % 2 else i % 4, f"t{i % 2}", f"id{i:04d}", i % 7 or None) for i in range(300)]
+    data += [("H", 1, "same", f"id{i:04d}", i) for i in range(300)]
+    df = spark.createDataFrame(data, "k string, s int, at string, id string, d int")
+    simple = windows.observation_history(df, ["k", "s"], ["at", "id"], "d")
+    split = windows.observation_history(df, ["k", "s"], ["at", "id"], "d", split=True, ranges=7)
+    assert split.count() == 600 and rows(split) == rows(simple)
+    hot = split.where("k = 'H'").groupBy().agg(F.max("observation_number"), F.min("recency_rank")).first()
+    assert tuple(hot) == (300, 1)
+
+
+def test_prediction_history_with_split_keys(spark):
+    tu = staging.stg_trip_updates(fx.trip_updates(spark), fx.trips(spark), split_keys=True)
+    assert rows(tu) == rows(stg_tu(spark))

@@ -41,9 +41,9 @@ def test_route_performance_plan(spark):
     p = plan(REGISTRY["route_performance"](spark, SF))
     # the partition-key filter of the latest/en-route rule reaches the scan
     assert "GreaterThan(l_linenumber,1)" in p
-    # dimensions are broadcast (size-checked by the planner), one exchange for the window
-    assert len(re.findall(r"^\(\d+\) BroadcastHashJoin", p, flags=re.M)) == 2
     assert "hashpartitioning(trip_id" in p
+    # one percentile buffer, fed with value counts
+    assert len(re.findall(r"partial_percentile\(", p)) == 1
     # the scan reads only the columns it needs
     assert "l_extendedprice" not in p and "l_tax" not in p
 
@@ -62,18 +62,31 @@ def test_bucketed_join_has_no_exchange(spark):
     assert "Exchange hashpartitioning" not in p
 
 
-def test_row_bounded_broadcast(spark):
+def test_joins_follow_the_measured_size(spark):
     import fixtures as fx
-    from tramline.operators.joins import has_at_most, join_dimension
+    from tramline.operators.joins import join_dimension
 
-    fact, dim = fx.trip_updates(spark), fx.trips(spark)  # 4 trips
-    assert has_at_most(dim, 4) and not has_at_most(dim, 3)
-    # the session never broadcasts on a size estimate
+    # the session never broadcasts on a size estimate, only on a measured size
     assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
-    hinted = plan(join_dimension(fact, dim, "trip_id", "left", max_broadcast_rows=10))
-    over = plan(join_dimension(fact, dim, "trip_id", "left", max_broadcast_rows=3))
-    assert "BroadcastHashJoin" in hinted
-    assert "BroadcastHashJoin" not in over and "SortMergeJoin" in over
+    joined = join_dimension(fx.trip_updates(spark), fx.trips(spark), "trip_id", "left")
+    assert "SortMergeJoin" in plan(joined)
+    joined.collect()
+    assert "BroadcastHashJoin" in plan(joined)  # the final plan, after measuring
+
+
+WRITES = ("stream_", "csv_", "append_", "evolve_", "full_refresh", "alert_upsert", "keyed_layout", "flatten_weather",
+          "dq_suite", "win_event_history_split", "backfill_job")
+
+
+def test_building_a_query_starts_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    for name in sorted(REGISTRY):
+        if name.startswith(WRITES):
+            continue  # sinks and streams are jobs by nature
+        spark.sparkContext.setJobGroup(f"build-{name}", name)
+        REGISTRY[name](spark, SF)
+        assert list(tracker.getJobIdsForGroup(f"build-{name}")) == [], name
+    spark.sparkContext.setJobGroup("tests", "tests")
 
 
 def test_landed_reads_prune_dates(spark):
@@ -90,9 +103,11 @@ def test_landed_reads_prune_dates(spark):
 
 
 def test_no_estimate_based_broadcasts(spark):
-    # hourly aggregates are joined without a size proof: planned as shuffle joins
-    # (AQE may broadcast them once it has measured them); the trip dimension is
-    # broadcast behind its row bound.
-    p = plan(REGISTRY["hourly_service"](spark, SF))
-    assert len(re.findall(r"^\(\d+\) SortMergeJoin", p, flags=re.M)) == 2
-    assert len(re.findall(r"^\(\d+\) BroadcastHashJoin", p, flags=re.M)) == 1
+    for name in ("hourly_service", "route_performance", "alert_impact"):
+        assert "BroadcastHashJoin" not in plan(REGISTRY[name](spark, SF))
+
+
+def test_alert_impact_rolls_alerts_up_once(spark):
+    p = plan(REGISTRY["alert_impact"](spark, SF))
+    tree = p.split("\n\n")[0]
+    assert len(re.findall(r"Scan parquet", tree)) == 2  # events and part, once each

@@ -35,13 +35,8 @@ def test_history_properties(spark, data, hot_copies):
     df = spark.createDataFrame(recs, "id long, trip_id string, stop_sequence int, d int, "
                                      "fetched_at timestamp_ntz")
     args = (["trip_id", "stop_sequence"], ["fetched_at", "id"], "d")
-    simple = windows.observation_history(df, *args, hot_key_rows=None)
-    old = windows.DETECT_FRACTION
-    windows.DETECT_FRACTION = 1.0
-    try:
-        split = windows.observation_history(df, *args, hot_key_rows=4, max_splits=4)
-    finally:
-        windows.DETECT_FRACTION = old
+    simple = windows.observation_history(df, *args)
+    split = windows.observation_history(df, *args, split=True, ranges=4)
     assert rows(split) == rows(simple)
     per_key = simple.groupBy("trip_id", "stop_sequence").agg(
         F.max("observation_number").alias("mx"), F.max("total_observations").alias("tot"),

@@ -119,6 +119,7 @@ def test_cli_run(spark, tmp_path):
         pass
     args = A()
     args.raw, args.gtfs, args.out, args.as_of, args.no_fail = str(raw), str(feed), str(out), "2024-06-01 12:00:00", True
+    args.store = None
     assert _run(args, spark) == 0
     checks = spark.read.parquet(str(out / "_checks"))
     assert checks.count() == 39

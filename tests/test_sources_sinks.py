@@ -33,7 +33,7 @@ def test_small_csv_edge_cases(spark, tmp_path):
     assert s["1"].stop_name == "Piazza, Castello"
     assert s["2"].stop_name == "Line one\nline two"
     assert (s["3"].stop_name, s["3"].stop_lat) == ('Say "hi"', "")
-    assert (s["4"].stop_lat, s["4"].stop_lon) == ("", "")  # short row -> '' (na.fill)
+    assert (s["4"].stop_name, s["4"].stop_lat, s["4"].stop_lon) == ("Short", None, None)  # missing fields
     assert s["5"].stop_lon == "7.7"  # surplus field dropped
     assert "�" in s["6"].stop_name  # bad byte replaced
     assert s["1"].loaded_at == T("2024-06-01 00:00:00")
@@ -72,16 +72,33 @@ def test_fold_counts_rows_and_keeps_first(spark):
     assert (out.inserted, out.refreshed) == (1, 1)
 
 
-def test_fold_table_upserts_touched_buckets(spark):
+def test_fold_log_survives_retries_and_compaction(spark):
     path = scratch_dir(spark, "fold-test")
-    store = sinks.AlertFoldTable(spark, path, buckets=4)
+    store = sinks.alert_fold_table(spark, path)
     a = fx.alerts(spark)
-    store.upsert(a.where(F.col("id") <= 5))
-    store.upsert(a.where(F.col("id") > 5))
-    # seen again: a fresh sighting counts once
-    store.upsert(a.where(F.col("id") == 1).withColumn("times_seen", F.lit(1)))
+    again = a.where(F.col("id") == 1).withColumn("times_seen", F.lit(1))
+    for batch_id, batch in enumerate([a.where(F.col("id") <= 5), a.where(F.col("id") > 5), again], 1):
+        store.append(batch, batch_id)
+        store.append(batch, batch_id)  # a retry overwrites its own folder
+    want = rows(store.read())
     got = {r.id: r for r in store.read().collect()}
     assert len(got) == 11 and got[1].times_seen == 4
+    store.compact(2)
+    assert rows(store.read()) == want
+    store.append(a.where(F.col("id") <= 5), 1)  # a late retry of a compacted batch
+    store.compact(2)
+    assert rows(store.read()) == want
+    assert rows(sinks.alert_fold_table(spark, path).read()) == want
+
+
+def test_alerts_without_a_fingerprint_stay_apart(spark):
+    a = fx.alerts(spark).withColumn("content_hash", F.lit(None).cast("string")).withColumn("alert_id", F.lit("same"))
+    two = a.where(F.col("id").isin(1, 3)).withColumn("header_text", F.concat(F.lit("h"), F.col("id").cast("string")))
+    folded = upsert.fold_alerts(None, two)
+    assert folded.count() == 2 and folded.where(F.col("content_hash").isNull()).count() == 0
+    out = upsert.upsert_outcome(two.where("id = 1"), two).first()
+    assert (out.inserted, out.refreshed) == (1, 1)
+    assert rows(upsert.backfill(two)) == rows(upsert.collapse_duplicates(upsert.backfill_hashes(two)))
 
 
 def test_collapse_survivor_anti_join(spark):
@@ -123,7 +140,32 @@ def test_append_evolve_refresh_counts(spark):
     ref = scratch_dir(spark, "refresh-test")
     sinks.full_refresh(fx.stops(spark).drop("loaded_at"), ref, "2024-01-01 00:00:00", 1)
     sinks.full_refresh(fx.stops(spark).drop("loaded_at").limit(2), ref, "2024-02-01 00:00:00", 2)
+    # a load that was never published, and one that is retried
+    fx.stops(spark).write.parquet(f"{ref}/version=9")
+    sinks.full_refresh(fx.stops(spark).drop("loaded_at").limit(2), ref, "2024-02-01 00:00:00", 2)
     cur = sinks.read_current(spark, ref)
     assert cur.count() == 2 and {r.loaded_at for r in cur.collect()} == {T("2024-02-01 00:00:00")}
     counts = dict(rows(sinks.row_counts({"a": pos, "b": fx.stops(spark)})))
     assert counts == {"a": 7, "b": 4}
+
+
+def test_only_a_missing_path_is_absent(spark, tmp_path):
+    import pytest
+
+    assert sinks.read_if_present(spark, str(tmp_path / "none")) is None
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "x.parquet").write_text("not parquet")
+    with pytest.raises(Exception, match="(?i)parquet|footer|magic"):
+        sinks.read_if_present(spark, str(tmp_path / "bad")).count()
+
+
+def test_timetable_refresh_job(spark, tmp_path):
+    root, store = tmp_path / "feed", str(tmp_path / "store")
+    root.mkdir()
+    (root / "stops.txt").write_text("stop_id,stop_name\n1,A\n2\n")
+    assert "routes.txt" in gtfs.refresh_feed(spark, str(root), store, "2024-06-01 00:00:00")
+    (root / "stops.txt").write_text("stop_id,stop_name\n3,C\n")
+    gtfs.refresh_feed(spark, str(root), store, "2024-06-02 00:00:00")
+    stored = gtfs.stored_feed(spark, store)
+    assert list(stored) == ["gtfs_stops"]
+    assert rows(stored["gtfs_stops"], "stop_id", "stop_name") == [("3", "C")]

@@ -1,63 +1,71 @@
+import pytest
 from pyspark.sql import functions as F
 
 import fixtures as fx
 from conftest import rows
 from tramline import schemas
+from tramline.functions.time import hour_bucket
 from tramline.operators import upsert
+from tramline.operators.windows import keep_latest
 from tramline.session import scratch_dir
 from tramline.streaming import jobs
 
 
-def deliver(spark, name, chunks, build, writer, schema):
+def deliver(spark, name, chunks, start, schema):
+    """Land the chunks one by one, restarting the stream after each."""
     root = scratch_dir(spark, name)
     for i, c in enumerate(chunks):
         c.write.mode("overwrite").parquet(f"{root}/src/d{i}")
-        writer(build(jobs.file_stream(spark, f"{root}/src/*", schema)), f"{root}/sink",
-               f"{root}/ckpt")
-    return f"{root}/sink"
+        start(jobs.file_stream(spark, f"{root}/src/*", schema), root)
+    return root
 
 
-def test_alert_fold_stream_equals_batch_fold(spark):
+def split_at(df, text):
+    cut = F.lit(text).cast("timestamp_ntz")
+    return df.where(F.col("fetched_at") < cut), df.where(F.col("fetched_at") >= cut)
+
+
+@pytest.mark.parametrize("compact_every", [None, 1])
+def test_alert_folds_equal_batch_fold_in_any_order(spark, compact_every):
     a = fx.alerts(spark)
-    chunks = [a.where(F.col("id") <= 4), a.where(F.col("id") > 4), a.where(F.col("id") == 2)]
-    sink = deliver(spark, "t-fold", chunks, jobs.alert_fold_stream, jobs.upsert_batches,
-                   schemas.RAW_ALERTS)
+    chunks = [a.where(F.col("id") > 4), a.where(F.col("id") <= 4), a.where(F.col("id") == 2)]
+    root = deliver(spark, "t-fold", chunks,
+                   lambda s, r: jobs.fold_batches(s, jobs.alert_folds(spark, f"{r}/state"), f"{r}/ckpt",
+                                                  compact_every=compact_every), schemas.RAW_ALERTS)
     want = upsert.fold_alerts(None, chunks[0].unionByName(chunks[1]).unionByName(chunks[2]))
-    assert rows(jobs.read_alert_state(spark, sink)) == rows(want)
+    assert rows(jobs.alert_folds(spark, f"{root}/state").read()) == rows(want)
 
 
-def test_replayed_delivery_not_counted_twice(spark):
-    pos = fx.positions(spark)
-    cut = F.lit("2024-10-27 01:00:00").cast("timestamp_ntz")
-    early, late = pos.where(F.col("fetched_at") < cut), pos.where(F.col("fetched_at") >= cut)
-    sink = deliver(spark, "t-replay", [early, late, early],
-                   lambda s: jobs.dedup_stream(s, ["id"]), jobs.append_to_files,
-                   schemas.RAW_VEHICLE_POSITIONS)
-    assert sorted(r.id for r in spark.read.parquet(sink).collect()) == [1, 2, 3, 4, 5, 6, 7]
+def test_replayed_and_late_rows_land_once(spark):
+    early, late = split_at(fx.positions(spark), "2024-10-27 01:00:00")
+    for order in ([early, late, early], [late, early, late, early], [late, late.unionByName(late), early]):
+        root = deliver(spark, "t-replay", order, lambda s, r: jobs.append_new_rows(s, f"{r}/sink", f"{r}/ckpt"),
+                       schemas.RAW_VEHICLE_POSITIONS)
+        assert sorted(r.id for r in jobs.read_rows(spark, f"{root}/sink").collect()) == [1, 2, 3, 4, 5, 6, 7]
 
 
-def test_late_rows_beyond_the_bound_are_dropped(spark):
-    pos = fx.positions(spark)
-    cut = F.lit("2024-10-27 01:00:00").cast("timestamp_ntz")
-    late_first = [pos.where(F.col("fetched_at") >= cut), pos.where(F.col("fetched_at") < cut)]
-    sink = deliver(spark, "t-late", late_first, lambda s: jobs.dedup_stream(s, ["id"]),
-                   jobs.append_to_files, schemas.RAW_VEHICLE_POSITIONS)
-    # the second delivery (10-26 10:00 and 10-27 00:30) is over an hour behind the
-    # watermark set by the first (latest 10-28 10:00), so both rows are dropped as late
-    assert sorted(r.id for r in spark.read.parquet(sink).collect()) == [2, 3, 4, 5, 7]
+def test_rows_without_a_time_land_once(spark):
+    pos = fx.positions(spark).withColumn("fetched_at", F.lit(None).cast("timestamp_ntz"))
+    root = deliver(spark, "t-null", [pos, pos], lambda s, r: jobs.append_new_rows(s, f"{r}/sink", f"{r}/ckpt"),
+                   schemas.RAW_VEHICLE_POSITIONS)
+    assert sorted(r.id for r in jobs.read_rows(spark, f"{root}/sink").collect()) == [1, 2, 3, 4, 5, 6, 7]
 
 
-def test_hourly_fleet_and_latest_weather(spark):
+def test_late_fleet_reports_and_weather_count(spark):
     pos = fx.positions(spark)
-    cut = F.lit("2024-10-27 01:00:00").cast("timestamp_ntz")
-    sink = deliver(spark, "t-fleet", [pos.where(F.col("fetched_at") < cut),
-                                      pos.where(F.col("fetched_at") >= cut)],
-                   jobs.hourly_fleet_stream, jobs.upsert_batches, schemas.RAW_VEHICLE_POSITIONS)
-    got = rows(jobs.read_hourly_fleet(spark, sink))
+    early, late = split_at(pos, "2024-10-27 01:00:00")
+    root = deliver(spark, "t-fleet", [late, early],
+                   lambda s, r: jobs.fold_batches(s, jobs.hourly_fleet(spark, f"{r}/state"), f"{r}/ckpt"),
+                   schemas.RAW_VEHICLE_POSITIONS)
+    got = rows(jobs.read_hourly_fleet(jobs.hourly_fleet(spark, f"{root}/state")))
+    valid = pos.where((F.col("latitude") != 0) & (F.col("longitude") != 0))
+    assert got == rows(valid.groupBy(hour_bucket("fetched_at").alias("hour_utc")).agg(
+        F.count_distinct("vehicle_id"), F.count(F.lit(1))))
     assert [(r[1], r[2]) for r in got] == [(1, 1), (1, 1), (1, 1), (1, 1)]  # UTC hours stay apart
     wx = fx.weather(spark)
-    sink = deliver(spark, "t-wx", [wx.where(F.col("id") != 2), wx.where(F.col("id") == 2)],
-                   jobs.weather_latest_stream, jobs.upsert_batches, schemas.RAW_WEATHER)
-    latest = {r.observed_at: r.temperature_c for r in
-              jobs.read_latest(spark, sink, ["observed_at"]).collect()}
-    assert len(latest) == 4 and 21.0 in latest.values() and 20.0 not in latest.values()
+    for chunks in ([wx.where(F.col("id") != 2), wx.where(F.col("id") == 2)], [wx.where(F.col("id") == 2), wx.where(F.col("id") != 2)]):
+        root = deliver(spark, "t-wx", chunks,
+                       lambda s, r: jobs.fold_batches(s, jobs.latest_weather(spark, f"{r}/state"), f"{r}/ckpt"),
+                       schemas.RAW_WEATHER)
+        assert rows(jobs.latest_weather(spark, f"{root}/state").read().select(*wx.columns)) == rows(
+            keep_latest(wx, ["observed_at"], ["fetched_at", "id"]))

@@ -1,12 +1,17 @@
 """Command line: the scheduled jobs as Spark applications.
 
-  python -m tramline run --raw DIR --gtfs DIR --out DIR [--as-of TS] [--no-fail]
-      load the timetable CSVs and the landed raw tables, build and store all
-      models, run the 39 checks (fails on any failure unless --no-fail)
+  python -m tramline run --raw DIR --gtfs DIR|--store DIR --out DIR [--as-of TS] [--no-fail]
+      read the timetable (CSVs, or the stored tables) and the landed raw tables, build
+      and store all models, run the 39 checks (fails on any failure unless --no-fail)
   python -m tramline flatten --kind positions|trip_updates|alerts|weather --src DIR --dst DIR
       flatten landed nested snapshots (Parquet, weather: JSON) and append them
-  python -m tramline fold --batch DIR --state DIR
-      upsert a batch of landed alert rows into the alert fold table
+  python -m tramline fold --batch DIR --state DIR --batch-id N [--compact]
+      upsert a batch of landed alert rows into the alert fold table; batch ids grow, a
+      retry repeats its id
+  python -m tramline refresh --gtfs DIR --store DIR
+      load the timetable CSVs as a new published version of each stored table
+  python -m tramline backfill --src DIR --dst DIR
+      fill missing fingerprints of landed alerts and collapse duplicates, once
 
 Raw tables are Parquet folders named raw_vehicle_positions, raw_trip_updates,
 raw_alerts and raw_weather under --raw.
@@ -24,9 +29,9 @@ RAW_TABLES = ("raw_vehicle_positions", "raw_trip_updates", "raw_alerts", "raw_we
 
 def _run(args, spark) -> int:
     from tramline.plans.catalog import ModelCatalog, default_models, run_models_and_tests
-    from tramline.sources.gtfs import load_feed
+    from tramline.sources.gtfs import load_feed, stored_feed
 
-    tables, skipped = load_feed(spark, args.gtfs)
+    tables, skipped = (stored_feed(spark, args.store), []) if args.store else load_feed(spark, args.gtfs)
     sources = {t: spark.read.parquet(f"{args.raw}/{t}") for t in RAW_TABLES}
     sources.update(tables)
     cat = ModelCatalog(spark, sources, default_models(as_of=args.as_of))
@@ -56,9 +61,27 @@ def _flatten(args, spark) -> int:
 
 
 def _fold(args, spark) -> int:
-    from tramline.operators.sinks import AlertFoldTable
+    from tramline.operators.sinks import alert_fold_table
 
-    AlertFoldTable(spark, args.state, buckets=args.buckets).upsert(spark.read.parquet(args.batch))
+    table = alert_fold_table(spark, args.state)
+    table.append(spark.read.parquet(args.batch), args.batch_id)
+    if args.compact:
+        table.compact(args.batch_id)
+    return 0
+
+
+def _refresh(args, spark) -> int:
+    from tramline.sources.gtfs import refresh_feed
+
+    if skipped := refresh_feed(spark, args.gtfs, args.store):
+        print("timetable files absent:", ", ".join(skipped))
+    return 0
+
+
+def _backfill(args, spark) -> int:
+    from tramline.operators.upsert import backfill
+
+    backfill(spark.read.parquet(args.src)).write.mode("errorifexists").parquet(args.dst)
     return 0
 
 
@@ -67,7 +90,9 @@ def main(argv=None) -> int:
     sub = p.add_subparsers(dest="cmd", required=True)
     r = sub.add_parser("run")
     r.add_argument("--raw", required=True)
-    r.add_argument("--gtfs", required=True)
+    where = r.add_mutually_exclusive_group(required=True)
+    where.add_argument("--gtfs")
+    where.add_argument("--store")
     r.add_argument("--out", required=True)
     r.add_argument("--as-of", default=None)
     r.add_argument("--no-fail", action="store_true")
@@ -78,10 +103,18 @@ def main(argv=None) -> int:
     u = sub.add_parser("fold")
     u.add_argument("--batch", required=True)
     u.add_argument("--state", required=True)
-    u.add_argument("--buckets", type=int, default=64)
+    u.add_argument("--batch-id", type=int, required=True)
+    u.add_argument("--compact", action="store_true")
+    g = sub.add_parser("refresh")
+    g.add_argument("--gtfs", required=True)
+    g.add_argument("--store", required=True)
+    b = sub.add_parser("backfill")
+    b.add_argument("--src", required=True)
+    b.add_argument("--dst", required=True)
     args = p.parse_args(argv)
     spark = build_session(master=None, app_name=f"tramline-{args.cmd}")
-    return {"run": _run, "flatten": _flatten, "fold": _fold}[args.cmd](args, spark)
+    commands = {"run": _run, "flatten": _flatten, "fold": _fold, "refresh": _refresh, "backfill": _backfill}
+    return commands[args.cmd](args, spark)
 
 
 if __name__ == "__main__":

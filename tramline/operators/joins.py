@@ -1,41 +1,17 @@
-"""Fact-to-dimension joins with a checked broadcast (JOIN-1, JOIN-2).
+"""Fact-to-dimension joins (JOIN-1, JOIN-2).
 
-A dimension is broadcast only when it provably has at most
-``max_broadcast_rows`` rows: a limit that reads at most that many rows plus
-one, so the check costs the same whatever the table size. Beyond the bound
-the join is a shuffle join. The session turns off broadcasts chosen from
-file-size estimates; AQE may still broadcast a side whose size it measured.
-``max_broadcast_rows=None`` leaves the choice to the planner.
+A dimension is broadcast where its size is known to be under a byte bound, never on a
+guess: the session turns off broadcasts chosen from file-size estimates, and adaptive
+execution broadcasts a side only once the side's own stage has run and its bytes are
+measured against ``spark.sql.adaptive.autoBroadcastJoinThreshold``. A dimension beyond
+the bound stays a shuffle join, in which skewed keys are split. Planning starts no job.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it provably has at most this many rows.
-# Dimensions here are narrow (a handful of short text columns), so this keeps
-# the broadcast relation in the tens of megabytes.
-DEFAULT_BROADCAST_ROWS = 1_000_000
 
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows.
-
-    Reads at most ``max_rows + 1`` rows (a limit pushed into the scan), so the
-    check costs the same whatever the table size.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def join_dimension(
-    fact: DataFrame,
-    dim: DataFrame,
-    on,
-    how: str = "inner",
-    max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
-    """Join a fact to a dimension, broadcasting it only behind the row bound."""
-    if max_broadcast_rows is not None and has_at_most(dim, max_broadcast_rows):
-        dim = F.broadcast(dim)
+def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join a fact to a dimension; the physical join follows the measured size."""
     return fact.join(dim, on=on, how=how)

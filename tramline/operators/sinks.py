@@ -8,27 +8,56 @@ visible at job commit.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from tramline.operators.upsert import KEY_NAMES, fold_alerts, key_columns
-from tramline.session import scratch_dir
+from tramline.operators.upsert import KEY_NAMES, fold_alerts
 
 PARTITION_COL = "fetch_date"
-VERSION_COL = "_version"
+BATCH_COL = "batch_id"
+
+
+def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+    """A Parquet folder, or None if there is none. Any other failure is raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def publish(spark: SparkSession, path: str, version: int) -> None:
+    """Name ``version`` as complete: one row appended to ``path/published``."""
+    spark.range(1).select(F.lit(version).cast("long").alias("version")).coalesce(1).write.mode("append").parquet(
+        f"{path}/published")
+
+
+def published(spark: SparkSession, path: str) -> int | None:
+    """The newest version that was published under ``path``."""
+    pointer = read_if_present(spark, f"{path}/published")
+    return None if pointer is None else pointer.agg(F.max("version")).first()[0]
+
+
+# Files that a batch leaves in each date's folder at most.
+FILES_PER_DATE = 8
 
 
 def append_snapshot(df: DataFrame, path: str, partition_col: str = PARTITION_COL) -> None:
-    """Append one snapshot batch, partitioned by fetch date (SRC-8)."""
+    """Append one snapshot batch, partitioned by fetch date (SRC-8); rows are dealt by
+    date first, so a batch leaves a few files per date, not one per task and date."""
     (df.withColumn(partition_col, F.to_date("fetched_at"))
+       .repartition(partition_col, F.pmod(F.xxhash64(*df.columns[:1]), F.lit(FILES_PER_DATE)))
        .write.mode("append").partitionBy(partition_col).parquet(path))
 
 
-def read_landed(spark: SparkSession, path: str, merge_schema: bool = True,
+def read_landed(spark: SparkSession, path: str, merge_schema: bool = False,
                 since=None, until=None) -> DataFrame:
-    """Read an appended table; files written with fewer columns read as null (SRC-10).
+    """Read an appended table. ``merge_schema`` reads every file's footer, so that columns
+    which only some files have read as null in the others (SRC-10).
 
     ``since`` / ``until`` (inclusive dates) filter the ``fetch_date`` partition
     column, so only those date folders are listed and scanned (partition
@@ -57,26 +86,26 @@ def union_evolving(old: DataFrame, new: DataFrame, defaults: dict | None = None)
 def full_refresh(df: DataFrame, path: str, loaded_at=None, version: int | None = None) -> int:
     """Replace a reference table (SRC-9).
 
-    Each load is a new ``_version=<n>`` partition stamped with ``loaded_at``;
-    readers pick the newest complete version (``read_current``), so they
-    never see an empty or half-written table. Returns the version written.
+    Each load writes its own folder ``version=<n>``, stamped with ``loaded_at``, and is
+    published when complete; readers go by the published version, so they never see
+    an empty, half-written or doubled table. A retried load overwrites its own folder.
+    Returns the version written.
     """
     if version is None:
         version = int(_dt.datetime.now(_dt.timezone.utc).timestamp() * 1000)
     stamp = F.current_timestamp().cast("timestamp_ntz") if loaded_at is None else \
         F.lit(loaded_at).cast("timestamp_ntz")
-    (df.withColumn("loaded_at", stamp).withColumn(VERSION_COL, F.lit(version))
-       .write.mode("append").partitionBy(VERSION_COL).parquet(path))
+    df.withColumn("loaded_at", stamp).write.mode("overwrite").parquet(f"{path}/version={version}")
+    publish(df.sparkSession, path, version)
     return version
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:
-    """The newest version of a fully refreshed table. The version filter is
-    a scalar subquery over the partition column, so only that version's
-    files are scanned."""
-    t = spark.read.parquet(path)
-    latest = t.select(F.max(VERSION_COL)).scalar()
-    return t.where(F.col(VERSION_COL) == latest).drop(VERSION_COL)
+    """The newest published version of a fully refreshed table; only its folder is read."""
+    version = published(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no published version under {path}")
+    return spark.read.parquet(f"{path}/version={version}")
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -91,61 +120,77 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def write_keyed_layout(df: DataFrame, table_name: str, path: str, key: str,
-                       buckets: int = 16) -> DataFrame:
+                       buckets: int | None = None) -> DataFrame:
     """Store a table bucketed and sorted by ``key`` (SRC-17): joins of two
     tables bucketed alike on the key need no shuffle, and sorted files let
-    key filters skip row groups. Returns the table as read back."""
-    (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    key filters skip row groups. ``buckets`` defaults to the session's shuffle
+    partitions, which follow the size of the data (``session.size_for_input``).
+    Returns the table as read back."""
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
        .option("path", path).saveAsTable(table_name))
     return df.sparkSession.table(table_name)
 
 
-class AlertFoldTable:
-    """Alert state kept as Parquet partitioned by a hash bucket of the key.
+class FoldLog:
+    """Keyed state as a log of partial folds (SRC-12, STR-2..4).
 
-    ``upsert(batch)`` reads only the buckets the batch touches, folds them
-    with the batch, cuts lineage by writing the result once to the shared
-    checkpoint folder, and overwrites
-    just those partitions (dynamic partition overwrite). Work per batch is
-    proportional to the touched buckets, not to the whole state.
+    ``fold`` maps rows, or rows it made before, to one row per key and may be
+    applied in any order and again to its own output. Each batch is folded by itself
+    and written to ``log/batch_id=<n>``; a batch that is retried overwrites its own
+    folder, so nothing counts twice and no state is read or rewritten. Reading folds
+    what the log holds. ``compact`` folds the log up to a batch into ``base/<n>`` and
+    publishes that; batches up to it are then read from there. Batch ids must grow.
     """
 
-    BUCKET = "_bucket"
-
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
-        self.spark, self.path, self.buckets = spark, path, buckets
-
-    def _bucketed(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(self.BUCKET, F.pmod(F.xxhash64(*key_columns()), F.lit(self.buckets)))
+    def __init__(self, spark: SparkSession, path: str, fold: Callable[[DataFrame], DataFrame]):
+        self.spark, self.path, self.fold = spark, path, fold
+
+    def append(self, batch: DataFrame, batch_id: int) -> None:
+        self.append_folded(self.fold(batch), batch_id)
+
+    def append_folded(self, folded: DataFrame, batch_id: int) -> None:
+        done = published(self.spark, self.path)
+        if done is not None and batch_id <= done:
+            return  # a retry of a batch that the base holds
+        folded.write.mode("overwrite").parquet(f"{self.path}/log/{BATCH_COL}={batch_id}")
+
+    def partials(self, upto: int | None = None) -> DataFrame:
+        """The base and the batches after it."""
+        done = published(self.spark, self.path)
+        log = read_if_present(self.spark, f"{self.path}/log")
+        if log is not None:
+            if done is not None:
+                log = log.where(F.col(BATCH_COL) > done)
+            if upto is not None:
+                log = log.where(F.col(BATCH_COL) <= upto)
+            log = log.drop(BATCH_COL)
+        if done is None:
+            if log is None:
+                raise FileNotFoundError(f"no batch under {self.path}")
+            return log
+        base = self.spark.read.parquet(f"{self.path}/base/{done}")
+        return base if log is None else base.unionByName(log)
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path).drop(self.BUCKET)
+        return self.fold(self.partials())
+
+    def compact(self, upto: int) -> None:
+        """Fold everything up to batch ``upto`` into a new base. Log folders up to it may be
+        expired afterwards."""
+        done = published(self.spark, self.path)
+        if done is not None and upto <= done:
+            return
+        self.fold(self.partials(upto)).write.mode("overwrite").parquet(f"{self.path}/base/{upto}")
+        publish(self.spark, self.path, upto)
 
-    def _state(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.path)
-        except AnalysisException:
-            return None
 
-    def upsert(self, batch: DataFrame) -> None:
-        b = self._bucketed(batch)
-        state = self._state()
-        if state is not None:
-            # At most ``buckets`` rows: a proven bound for the broadcast.
-            touched = F.broadcast(b.select(self.BUCKET).distinct())
-            state = state.join(touched, on=self.BUCKET, how="left_semi").drop(self.BUCKET)
-        folded = self._bucketed(fold_alerts(state, batch))
-        if state is not None:
-            # The fold reads partitions it is about to replace: cut lineage by
-            # writing it once to the shared checkpoint folder, then copy.
-            staged = scratch_dir(self.spark, "fold-staging")
-            folded.write.mode("overwrite").parquet(staged)
-            folded = self.spark.read.parquet(staged)
-        (folded.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(self.BUCKET).parquet(self.path))
+def alert_fold_table(spark: SparkSession, path: str) -> FoldLog:
+    """Alert sightings folded per conflict key (SRC-12)."""
+    return FoldLog(spark, path, lambda rows: fold_alerts(None, rows))
 
 
 __all__ = [
-    "AlertFoldTable", "KEY_NAMES", "append_snapshot", "evolve", "full_refresh", "read_current",
-    "read_landed", "row_counts", "union_evolving", "write_keyed_layout",
+    "FoldLog", "KEY_NAMES", "alert_fold_table", "append_snapshot", "evolve", "full_refresh", "publish", "published",
+    "read_current", "read_if_present", "read_landed", "row_counts", "union_evolving", "write_keyed_layout",
 ]

@@ -43,11 +43,12 @@ def fold_alerts(state: DataFrame | None, batch: DataFrame) -> DataFrame:
 
     Per key: the first sighting's id and fetch time, earliest first_seen_at,
     latest last_seen_at, summed times_seen (G-14: rows, not fetches). Content
-    columns are constant per key because the fingerprint is in it. Rows
+    columns are constant per key because the fingerprint is in it; rows without one
+    get it first, so that two alerts never fold into one for want of it. Rows
     without first/last/times (legacy) count as one sighting at fetched_at.
     """
     rows = batch if state is None else state.unionByName(batch, allowMissingColumns=True)
-    return with_key(rows).groupBy(*KEY_NAMES).agg(
+    return with_key(backfill_hashes(rows)).groupBy(*KEY_NAMES).agg(
         F.min("id").alias("id"),
         *_payload_aggs(),
         F.min(F.coalesce("first_seen_at", "fetched_at")).alias("first_seen_at"),
@@ -66,14 +67,16 @@ def upsert_outcome(state: DataFrame, batch: DataFrame) -> DataFrame:
     Rows apply in order, so a key new to the state inserts once and every
     further row with it refreshes.
     """
-    per_key = with_key(batch).groupBy(*KEY_NAMES).agg(F.count(F.lit(1)).alias("n"))
-    known = with_key(state).select(*KEY_NAMES).distinct().withColumn("_known", F.lit(True))
-    j = per_key.join(known, on=list(KEY_NAMES), how="left")
-    is_new = F.col("_known").isNull()
-    return j.agg(
-        F.count_if(is_new).alias("inserted"),
-        F.coalesce(F.sum(F.when(is_new, F.col("n") - 1).otherwise(F.col("n"))), F.lit(0))
-        .cast("long").alias("refreshed"),
+    def marked(df: DataFrame, new: int) -> DataFrame:
+        return with_key(backfill_hashes(df)).select(*KEY_NAMES, F.lit(new).alias("new"))
+
+    # One aggregation over both sides with the fold's own key, in which nulls are equal.
+    per_key = marked(state, 0).unionByName(marked(batch, 1)).groupBy(*KEY_NAMES).agg(
+        F.sum("new").alias("rows_now"), F.min("new").alias("unseen"))
+    inserted = F.count_if((F.col("unseen") == 1))
+    return per_key.agg(
+        inserted.alias("inserted"),
+        (F.coalesce(F.sum("rows_now"), F.lit(0)) - inserted).cast("long").alias("refreshed"),
     )
 
 
@@ -83,15 +86,6 @@ def backfill_hashes(raw: DataFrame) -> DataFrame:
         "content_hash", F.coalesce(F.col("content_hash"), content_hash(*ALERT_CONTENT)))
 
 
-def _survivor_groups(raw: DataFrame) -> DataFrame:
-    return with_key(raw).groupBy(*KEY_NAMES).agg(
-        F.min("id").alias("keep_id"),
-        F.count(F.lit(1)).cast("int").alias("n"),
-        F.min("fetched_at").alias("first_at"),
-        F.max("fetched_at").alias("last_at"),
-    )
-
-
 def collapse_duplicates(raw: DataFrame) -> DataFrame:
     """Keep the earliest row (smallest id) per key, annotated with the key's
     first/last fetch and its row count (SRC-16, G-18: the count replaces
@@ -106,24 +100,26 @@ def collapse_duplicates(raw: DataFrame) -> DataFrame:
     ).select("_keep.*", "first_seen_at", "last_seen_at", "times_seen").select(*raw.columns)
 
 
+SIGHTING_COLS = ("first_seen_at", "last_seen_at", "times_seen")
+
+
 def survivor_update(raw: DataFrame) -> DataFrame:
     """The update-from-join step (JOIN-5): every row, with survivors (smallest
     id per key) annotated with the key's first/last fetch and row count."""
-    g = _survivor_groups(raw).select("keep_id", "n", "first_at", "last_at")
-    j = raw.join(g, raw["id"] == g["keep_id"], "left")
-    hit = F.col("keep_id").isNotNull()
-    return j.select(
-        *[c for c in raw.columns if c not in ("first_seen_at", "last_seen_at", "times_seen",
-                                               "fetched_at")],
-        F.when(hit, F.col("first_at")).otherwise(F.col("first_seen_at")).alias("first_seen_at"),
-        F.when(hit, F.col("last_at")).otherwise(F.col("last_seen_at")).alias("last_seen_at"),
-        F.when(hit, F.col("n")).otherwise(F.col("times_seen")).alias("times_seen"),
-        "fetched_at",
-    ).select(*raw.columns)
+    notes = collapse_duplicates(raw).select(
+        F.col("id").alias("_id"), F.struct(*SIGHTING_COLS).alias("_note"))
+    noted = raw.join(notes, raw["id"] == notes["_id"], "left")
+    return noted.select(*[
+        F.when(F.col("_id").isNotNull(), F.col("_note")[c]).otherwise(F.col(c)).alias(c) if c in SIGHTING_COLS else F.col(c)
+        for c in raw.columns])
 
 
 def duplicate_rows(raw: DataFrame) -> DataFrame:
-    """Rows the dedup deletes: ids that are not their key's smallest (JOIN-6,
-    ``NOT IN (SELECT min(id) ...)`` as a left anti join; ids are never null)."""
-    keep = _survivor_groups(raw).select(F.col("keep_id").alias("id"))
-    return raw.join(keep, on="id", how="left_anti")
+    """Rows the dedup deletes: those that aren't their key's survivor (JOIN-6, a left
+    anti join on the id, which is never null)."""
+    return raw.join(collapse_duplicates(raw).select("id"), on="id", how="left_anti")
+
+
+def backfill(raw: DataFrame) -> DataFrame:
+    """The one-off migration as one plan: fill the fingerprints, then collapse."""
+    return collapse_duplicates(backfill_hashes(raw))

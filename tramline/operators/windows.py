@@ -10,21 +10,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tramline.session import scratch_dir
+
 
 def _asc(cols: Sequence[str]) -> list[Column]:
     # Ascending with nulls last, as the reference database orders (G-4).
     return [F.col(c).asc_nulls_last() for c in cols]
 
 
-# A key with more rows than this is split into time ranges (see below).
-HOT_KEY_ROWS = 5_000_000
-# At most this many keys can be hot: the threshold rises to rows / MAX_HOT_KEYS,
-# which bounds the broadcast table of split points.
-MAX_HOT_KEYS = 20_000
-# Time ranges per hot key.
-MAX_SPLITS = 64
-
-
 def _history_window(df, keys, order, value, prefix):
     w = Window.partitionBy(*keys).orderBy(*_asc(order))
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -38,109 +31,48 @@ def _history_window(df, keys, order, value, prefix):
     )
 
 
-def _order_rank(order: Sequence[str]) -> Column:
-    """A struct that sorts like ``order`` ascending with nulls last."""
-    parts = []
-    for c in order:
-        parts += [F.col(c).isNull(), F.col(c)]
-    return F.struct(*parts)
-
-
-def _ordinal(df: DataFrame, col: str) -> Column:
-    """Order value as a number for quantiles: timestamps as microseconds,
-    dates as days, numbers as they are."""
-    t = df.schema[col].dataType.typeName()
-    if t in ("timestamp", "timestamp_ntz"):
-        return F.unix_micros(F.col(col).cast("timestamp"))
-    if t == "date":
-        return F.unix_date(F.col(col))
-    return F.col(col).cast("double")
-
-
-def _split_history(df, keys, order, value, prefix, threshold, max_splits):
-    """History metrics with hot keys split into ranges of the first order column.
-
-    1. split points: approximate quantiles of the order value per hot key
-       (a partial aggregation over the hot keys' rows only);
-    2. each row gets a range number (how many split points are <= its value;
-       nulls, which sort last, take the last range) - equal values share a
-       range, so the (order) tie-break stays local;
-    3. the window runs per (key, range): a hot key is spread over tasks;
-    4. per-range counts, first and last values (an aggregate over the window
-       output, which is already partitioned by (key, range)) give
-       running offsets, the previous range's last value and the key's first
-       value through a window over the small per-range table;
-    5. the ranges' rows are joined to their offsets on (key, range), the side
-       already partitioned that way by step 3.
+def _ranged_history(df, keys, order, value, prefix, ranges):
+    """The same metrics with every key's rows cut at the borders of global ranges.
+
+    1. rows are dealt to ``ranges`` partitions by range of (keys, order), so a key of any
+       size spans as many partitions as its share of the rows, also when its rows
+       agree in all but the last order column; the dealt rows are stored in the
+       shared checkpoint folder, as the borders are drawn from a sample and both
+       readers below must see the same ones;
+    2. the window runs per (key, range);
+    3. a row per (key, range), aggregated from the window's output without another
+       exchange, gives counts, first and last values; a window over these adds up what
+       lies in front of each range;
+    4. rows meet their range's offsets on (key, range), as they are already dealt.
+
+    The key is one struct, in which nulls equal each other as they do in a window.
     """
-    rng = "_range"
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > threshold).select(*keys)  # at most MAX_HOT_KEYS rows
-    probs = [i / max_splits for i in range(1, max_splits)]
-    ordv = _ordinal(df, order[0])
-    bounds = (df.join(F.broadcast(hot), list(keys), "left_semi")
-              .groupBy(*keys)
-              .agg(F.array_sort(F.array_distinct(
-                  F.percentile_approx(ordv, probs, 10_000))).alias("_bounds")))
-    # bounded: at most MAX_HOT_KEYS rows of at most MAX_SPLITS values
-    ranged = df.join(F.broadcast(bounds), list(keys), "left").withColumn(
-        rng,
-        F.when(F.col("_bounds").isNull(), F.lit(0))
-        .when(ordv.isNull(), F.size("_bounds"))
-        .otherwise(F.size(F.filter("_bounds", lambda b: b <= ordv))),
-    ).drop("_bounds")
-
-    w = Window.partitionBy(*keys, rng).orderBy(*_asc(order))
-    local = ranged.select(
-        "*",
-        F.row_number().over(w).alias("_local_n"),
-        F.lag(value).over(w).alias("_local_prev"),
-    )
-    rank = _order_rank(order)
-    # from the window's output: already partitioned by (key, range), no exchange
-    stats = local.groupBy(*keys, rng).agg(
-        F.count(F.lit(1)).alias("_cnt"),
-        F.min_by(F.col(value), rank).alias("_first"),
-        F.max_by(F.col(value), rank).alias("_last"),
-    )
-    kw = Window.partitionBy(*keys).orderBy(rng)
-    kall = kw.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    offsets = stats.select(
-        *keys, rng,
-        F.coalesce(F.sum("_cnt").over(kw.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_offset"),
-        F.lag("_last").over(kw).alias("_prev_last"),
-        F.first("_first").over(kall).alias("_key_first"),
-        F.sum("_cnt").over(kall).alias("_key_total"),
-    )
-    j = local.join(offsets, [*keys, rng], "inner")
-    return j.select(
+    key, rng = "_history_key", "_history_range"
+    path = scratch_dir(df.sparkSession, "history-ranges")
+    (df.repartitionByRange(ranges, *_asc([*keys, *order])).withColumn(rng, F.spark_partition_id())
+     .write.mode("overwrite").parquet(path))
+    cut = df.sparkSession.read.parquet(path).withColumn(key, F.struct(*keys))
+    w = Window.partitionBy(key, rng).orderBy(*_asc(order))
+    local = cut.select("*", F.row_number().over(w).alias("_local_n"), F.lag(value).over(w).alias("_local_prev"))
+    at_first = F.when(F.col("_local_n") == 1, F.struct(F.col(value).alias("v")))
+    parts = local.groupBy(key, rng).agg(
+        F.count(F.lit(1)).alias("_cnt"), F.max(at_first).alias("_first"),
+        F.max_by(F.struct(F.col(value).alias("v")), "_local_n").alias("_last"))
+    kw = Window.partitionBy(key).orderBy(rng)
+    whole = kw.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = parts.select(
+        key, rng,
+        F.coalesce(F.sum("_cnt").over(kw.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
+        F.lag("_last").over(kw).alias("_before"),
+        F.first("_first").over(whole).alias("_key_first"),
+        F.sum("_cnt").over(whole).alias("_key_total"))
+    return local.join(offsets, [key, rng]).select(
         *df.columns,
         (F.col("_local_n") + F.col("_offset")).cast("int").alias(f"{prefix}observation_number"),
         F.col("_key_total").alias(f"{prefix}total_observations"),
-        F.when(F.col("_local_n") == 1, F.col("_prev_last")).otherwise(F.col("_local_prev"))
+        F.when(F.col("_local_n") == 1, F.col("_before.v")).otherwise(F.col("_local_prev"))
         .alias(f"{prefix}previous_value"),
-        F.col("_key_first").alias(f"{prefix}first_value"),
-    )
-
-
-# Fraction of rows whose keys are counted to decide whether exact hot-key
-# counting is needed; any key above the threshold shows up many times.
-DETECT_FRACTION = 0.01
-
-
-def _may_have_hot_key(df: DataFrame, keys, hot_key_rows: int) -> bool:
-    """Cheap pre-check on a Bernoulli sample of the key columns.
-
-    It only chooses between two exact plans: all rows are processed either way
-    and the result is the same. A key above ``hot_key_rows`` rows has about
-    ``DETECT_FRACTION * hot_key_rows`` sampled rows; half of that triggers the
-    exact count. Reads only the key columns; the aggregation sees 1% of rows.
-    """
-    floor = max(1, int(DETECT_FRACTION * hot_key_rows / 2))
-    top = (df.select(*keys).sample(fraction=DETECT_FRACTION, seed=17).groupBy(*keys)
-           .agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0])
-    return top is not None and top >= floor
+        F.col("_key_first.v").alias(f"{prefix}first_value"))
 
 
 def observation_history(
@@ -149,8 +81,8 @@ def observation_history(
     order: Sequence[str],
     value: str,
     prefix: str = "",
-    hot_key_rows: int | None = HOT_KEY_ROWS,
-    max_splits: int = MAX_SPLITS,
+    split: bool = False,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add per-key observation metrics over a total order (WIN-1..5).
 
@@ -162,23 +94,18 @@ def observation_history(
     * ``previous_value`` via lag and ``first_value`` via first_value over the
       whole frame, both keeping nulls.
 
-    Normally one exchange on ``keys`` and one sort serve every expression.
-    A key holding more than ``hot_key_rows`` rows (or rows / MAX_HOT_KEYS,
-    whichever is larger) would put all its rows in one task, so such keys
-    are split into ranges of the first order column (``_split_history``);
-    the result is the same. Keys must be non-null on that path.
-    ``hot_key_rows=None`` skips the check (one fewer pass over the keys).
+    One exchange on ``keys`` and one sort serve every expression, and a key's rows
+    meet in one task. ``split=True`` is for tables whose keys may hold a large share of
+    the rows: every key is cut at the borders of ``ranges`` global ranges (the
+    session's shuffle partitions by default) at the cost of one more exchange and a
+    stored copy of the rows, which is written when the plan is built. The result is
+    the same for any data: null keys, any orderable type, equal order values.
     """
     keys, order = list(keys), list(order)
-    out = None
-    if hot_key_rows is not None and _may_have_hot_key(df, keys, hot_key_rows):
-        stats = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-                 .agg(F.sum("_n").alias("rows"), F.max("_n").alias("max_n")).first())
-        if stats["rows"]:
-            threshold = max(hot_key_rows, -(-stats["rows"] // MAX_HOT_KEYS))
-            if stats["max_n"] > threshold:
-                out = _split_history(df, keys, order, value, prefix, threshold, max_splits)
-    if out is None:
+    if split:
+        ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        out = _ranged_history(df, keys, order, value, prefix, ranges)
+    else:
         out = _history_window(df, keys, order, value, prefix)
     return out.withColumn(
         f"{prefix}recency_rank",

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tramline.functions.numeric import pct, round_half_away, round_half_even, round_numeric
 from tramline.functions.time import day_name, day_of_week, hour_bucket, hour_of, seconds_between
-from tramline.operators.joins import DEFAULT_BROADCAST_ROWS, join_dimension
+from tramline.operators.joins import join_dimension
 
 # Punctuality band (seconds) and the sparse-hour threshold (position reports).
 ON_TIME_SECONDS = 60
@@ -27,62 +27,73 @@ def punctual_observations(stg_trip_updates: DataFrame) -> DataFrame:
     )
 
 
-def _delay_bands(d, n):
-    return [
-        pct(F.count_if(d > ON_TIME_SECONDS), n).alias("pct_late"),
-        pct(F.count_if(d < -ON_TIME_SECONDS), n).alias("pct_early"),
-        pct(F.count_if(F.abs(d) <= ON_TIME_SECONDS), n).alias("pct_on_time"),
-    ]
+def _delay_profile(obs: DataFrame, by: str, approx: bool = False) -> DataFrame:
+    """Delay statistics per group in two aggregations that both combine map-side.
+
+    Every observation counts twice: once under its delay and once under its trip. The
+    first aggregation reduces these to one row per (group, delay) and (group, trip), so
+    the percentiles run over value counts in one buffer per group, and distinct trips
+    are a count of rows. Neither a group nor a trip is ever held in one task.
+    ``approx=True`` takes sketches of the delays and trips instead.
+    """
+    d, n = F.col("d"), F.col("n")
+    delay = F.col("arrival_delay_seconds")
+    long = obs.select(
+        by, F.coalesce(F.col("is_wheelchair_accessible"), F.lit(False)).cast("long").alias("access"), "fetched_at_local",
+        F.explode(F.array(F.struct(delay.alias("d"), F.lit(None).cast("string").alias("trip")),
+                          F.struct(F.lit(None).cast("int").alias("d"), F.col("trip_id").alias("trip")))).alias("x"))
+    counted = long.groupBy(by, F.col("x.d").alias("d"), F.col("x.trip").alias("trip")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("access").alias("access"),
+        F.min("fetched_at_local").alias("first"), F.max("fetched_at_local").alias("last"))
+
+    def total(cond):
+        return F.sum(F.when(cond, n).otherwise(0))
+
+    def weighted(x):
+        return F.coalesce(F.sum((x * n).cast("decimal(38,0)")), F.lit(0))
+
+    rows = total(d.isNotNull())
+    s1, s2 = weighted(d.cast("decimal(18,0)")), weighted(d.cast("decimal(18,0)") * d)
+    spread = (s2.cast("double") * rows - s1.cast("double") * s1.cast("double")) / (rows * (rows - 1))
+    if approx:
+        quantiles = F.percentile_approx(F.when(d.isNotNull(), d.cast("double")), [0.5, 0.9], 10000)
+        trips = F.approx_count_distinct("trip")
+    else:
+        quantiles = F.percentile(d, [0.5, 0.9], n)
+        trips = F.count("trip")
+    return counted.groupBy(by).agg(
+        rows.alias("observations"), trips.alias("trips_observed"),
+        round_half_away((s1 / rows).cast("double")).alias("avg_delay_seconds"), quantiles.alias("quantiles"),
+        round_half_away(F.when(rows > 1, F.sqrt(F.greatest(spread, F.lit(0.0))))).alias("stddev_delay_seconds"),
+        F.min("d").alias("max_early_seconds"), F.max("d").alias("max_late_seconds"),
+        pct(total(d > ON_TIME_SECONDS), rows).alias("pct_late"),
+        pct(total(d < -ON_TIME_SECONDS), rows).alias("pct_early"),
+        pct(total(F.abs(d) <= ON_TIME_SECONDS), rows).alias("pct_on_time"),
+        pct(F.sum(F.when(d.isNotNull(), F.col("access")).otherwise(0)), rows).alias("pct_wheelchair_accessible"),
+        F.min("first").alias("first_observed_at"), F.max("last").alias("last_observed_at"),
+    ).withColumns({"median_delay_seconds": round_half_even(F.get("quantiles", 0)),
+                   "p90_delay_seconds": round_half_even(F.get("quantiles", 1))})
+
+
+ROUTE_LABELS = ("route_short_name", "route_long_name", "route_mode", "service_area", "is_night_route")
 
 
 def fct_route_performance(
     stg_trip_updates: DataFrame,
     stg_routes: DataFrame,
     approx: bool = False,
-    max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """One row per route: counts, mean/median/p90/stddev, extremes, shares (MOD-7).
 
+    Observations are reduced to a row per route before they meet the route's labels.
     ``approx=True`` swaps the exact percentiles and distinct count for their
     sketch versions (bounded memory per group, results no longer exact).
     """
-    obs = punctual_observations(stg_trip_updates).select(
-        "route_id", "trip_id", "arrival_delay_seconds", "is_wheelchair_accessible",
-        "fetched_at_local",
-    )
-    routes = stg_routes.select(
-        "route_id", "route_short_name", "route_long_name", "route_mode", "service_area",
-        "is_night_route",
-    )
-    j = join_dimension(obs, routes, on="route_id", how="inner",
-                       max_broadcast_rows=max_broadcast_rows)
-    d = F.col("arrival_delay_seconds")
-    n = F.count(F.lit(1))
-    if approx:
-        median = F.percentile_approx(d, 0.5, 10000).cast("double")
-        p90 = F.percentile_approx(d, 0.9, 10000).cast("double")
-        trips = F.approx_count_distinct("trip_id")
-    else:
-        median = F.percentile(d, 0.5)
-        p90 = F.percentile(d, 0.9)
-        trips = F.count_distinct("trip_id")
-    return j.groupBy(
-        "route_id", "route_short_name", "route_long_name", "route_mode", "service_area",
-        "is_night_route",
-    ).agg(
-        n.alias("observations"),
-        trips.alias("trips_observed"),
-        round_half_away(F.avg(d)).alias("avg_delay_seconds"),
-        round_half_even(median).alias("median_delay_seconds"),
-        round_half_even(p90).alias("p90_delay_seconds"),
-        round_half_away(F.stddev_samp(d)).alias("stddev_delay_seconds"),
-        F.min(d).alias("max_early_seconds"),
-        F.max(d).alias("max_late_seconds"),
-        *_delay_bands(d, n),
-        pct(F.count_if(F.col("is_wheelchair_accessible")), n).alias("pct_wheelchair_accessible"),
-        F.min("fetched_at_local").alias("first_observed_at"),
-        F.max("fetched_at_local").alias("last_observed_at"),
-    )
+    profile = _delay_profile(punctual_observations(stg_trip_updates), "route_id", approx)
+    return join_dimension(profile, stg_routes.select("route_id", *ROUTE_LABELS), on="route_id").select(
+        "route_id", *ROUTE_LABELS, "observations", "trips_observed", "avg_delay_seconds", "median_delay_seconds",
+        "p90_delay_seconds", "stddev_delay_seconds", "max_early_seconds", "max_late_seconds", "pct_late", "pct_early",
+        "pct_on_time", "pct_wheelchair_accessible", "first_observed_at", "last_observed_at")
 
 
 def hourly_fleet(stg_vehicle_positions: DataFrame) -> DataFrame:
@@ -108,19 +119,12 @@ def hourly_fleet(stg_vehicle_positions: DataFrame) -> DataFrame:
     )
 
 
-def hourly_delays(stg_trip_updates: DataFrame) -> DataFrame:
+def hourly_delays(stg_trip_updates: DataFrame, approx: bool = False) -> DataFrame:
     """Punctuality per local hour bucket (second half of MOD-8)."""
-    d = F.col("arrival_delay_seconds")
-    n = F.count(F.lit(1))
-    return punctual_observations(stg_trip_updates).groupBy(
-        hour_bucket("fetched_at_local").alias("hour_bucket")
-    ).agg(
-        n.alias("delay_observations"),
-        F.count_distinct("trip_id").alias("trips_observed"),
-        round_half_away(F.avg(d)).alias("avg_delay_seconds"),
-        round_half_even(F.percentile(d, 0.5)).alias("median_delay_seconds"),
-        pct(F.count_if(d > ON_TIME_SECONDS), n).alias("pct_late"),
-    )
+    obs = punctual_observations(stg_trip_updates).withColumn("hour_bucket", hour_bucket("fetched_at_local"))
+    return _delay_profile(obs, "hour_bucket", approx).select(
+        "hour_bucket", F.col("observations").alias("delay_observations"), "trips_observed", "avg_delay_seconds",
+        "median_delay_seconds", "pct_late")
 
 
 def hourly_weather(stg_weather: DataFrame) -> DataFrame:
@@ -140,15 +144,17 @@ def fct_hourly_service(
     stg_trip_updates: DataFrame,
     stg_weather: DataFrame,
     sparse_threshold: int = SPARSE_HOUR_REPORTS,
+    approx: bool = False,
 ) -> DataFrame:
     """One row per local hour with fleet, delay and weather (MOD-8).
 
     The three halves are aggregated separately (each pre-aggregates map-side)
     and left-joined from the fleet side, so hours without positions vanish
     (G-22). The outputs are one row per hour: small, so AQE broadcasts them.
+    ``approx`` takes sketches for the delays' median and distinct trips.
     """
     fleet = hourly_fleet(stg_vehicle_positions)
-    delays = hourly_delays(stg_trip_updates)
+    delays = hourly_delays(stg_trip_updates, approx)
     weather = hourly_weather(stg_weather)
     hb = F.col("hour_bucket")
     return (
@@ -171,40 +177,25 @@ def fct_hourly_service(
     )
 
 
-def alert_stop_counts(stg_alerts: DataFrame) -> DataFrame:
-    """Distinct stops per alert (G-21: per alert, shared by all its routes)."""
-    return stg_alerts.where(F.col("stop_id").isNotNull()).groupBy("alert_id").agg(
-        F.count_distinct("stop_id").alias("stops_affected"))
-
-
-def fct_alert_impact(
-    stg_alerts: DataFrame,
-    stg_routes: DataFrame,
-    max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
+def fct_alert_impact(stg_alerts: DataFrame, stg_routes: DataFrame) -> DataFrame:
     """Route-level alerts with route labels and stops affected (MOD-9).
 
-    Alerts on unknown routes drop (inner join, G-27); ``planned_duration``
-    here is on local clocks (G-20).
+    Stops are counted per alert, shared by all its routes (G-21), in one pass over the
+    rolled-up alerts: within an alert the rows are ranked by stop, and the greatest dense
+    rank of a named stop is the number of stops. Alerts on unknown routes drop (inner
+    join, G-27); ``planned_duration`` here is on local clocks (G-20).
     """
-    route_alerts = stg_alerts.where(F.col("route_id").isNotNull()).select(
-        "route_id", "alert_id", "effect", "cause", "severity_level", "header_text",
-        "active_from_local", "active_until_local", "first_seen_at_local", "last_seen_at_local",
-        "times_observed", "is_currently_active",
-    )
-    routes = stg_routes.select("route_id", "route_short_name", "route_long_name", "route_mode",
-                               "service_area")
-    j = join_dimension(route_alerts, routes, on="route_id", how="inner",
-                       max_broadcast_rows=max_broadcast_rows)
-    j = j.join(alert_stop_counts(stg_alerts), on="alert_id", how="left")
-    return j.select(
-        "route_id", "route_short_name", "route_long_name", "route_mode", "service_area",
-        "alert_id", "effect", "cause", "severity_level", "header_text",
-        F.coalesce(F.col("stops_affected"), F.lit(0)).alias("stops_affected"),
+    alert = Window.partitionBy("alert_id")
+    place = F.dense_rank().over(alert.orderBy(F.col("stop_id").asc_nulls_last()))
+    ranked = stg_alerts.select("*", F.when(F.col("stop_id").isNotNull(), place).alias("_place"))
+    counted = ranked.select("*", F.coalesce(F.max("_place").over(alert), F.lit(0)).cast("long").alias("stops_affected"))
+    on_routes = counted.where(F.col("route_id").isNotNull())
+    labels = stg_routes.select("route_id", *ROUTE_LABELS[:-1])
+    return join_dimension(on_routes, labels, on="route_id").select(
+        "route_id", *ROUTE_LABELS[:-1], "alert_id", "effect", "cause", "severity_level", "header_text", "stops_affected",
         "active_from_local", "active_until_local",
         (F.col("active_until_local") - F.col("active_from_local")).alias("planned_duration"),
-        seconds_between("active_until_local", "active_from_local").alias(
-            "planned_duration_seconds"),
+        seconds_between("active_until_local", "active_from_local").alias("planned_duration_seconds"),
         "is_currently_active", "first_seen_at_local", "last_seen_at_local", "times_observed",
     )
 

@@ -21,17 +21,14 @@ for _name in o.EXTRA:
         ORACLE[_name] = o.extra_sql(_name)
 ORACLE["named_models"] = o.named_models_sql()
 
-from tramline.operators.quality import SUITE  # noqa: E402
-
-ORACLE["dq_not_null"] = o.suite_sql([c for c in SUITE if c.test == "not_null"])
-ORACLE["dq_unique"] = o.suite_sql([c for c in SUITE if c.test == "unique"])
-ORACLE["dq_accepted_values"] = o.suite_sql([c for c in SUITE if c.test == "accepted_values"])
-ORACLE["dq_suite"] = o.suite_sql(SUITE)
+for _test in ("not_null", "unique", "accepted_values"):
+    ORACLE[f"dq_{_test}"] = o.suite_sql(_test)
+ORACLE["dq_suite"] = o.suite_sql()
 ORACLE["sparse_hours"] = o.with_model_ctes(o.SPARSE_SQL, ["fct_hourly_service"])
 
 ORACLE["dq_alert_grain"] = o.grain_sql()
 ORACLE["alert_unmatched_routes"] = o.with_ctes(o.EXTRA["alert_unmatched_routes"],
                                                ["stg_alerts", "stg_routes"])
 
-for _name in ("fn_time_parts", "win_event_history", "agg_event_stats", "fn_codes"):
+for _name in ("backfill_job", "fn_time_parts", "win_event_history", "win_event_history_split", "agg_event_stats", "fn_codes"):
     ORACLE[_name] = o.extra_sql(_name)

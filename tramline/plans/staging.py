@@ -20,8 +20,8 @@ from tramline.functions.time import (
     to_local,
     within,
 )
-from tramline.operators.joins import DEFAULT_BROADCAST_ROWS, join_dimension
-from tramline.operators.windows import HOT_KEY_ROWS, keep_latest, observation_history
+from tramline.operators.joins import join_dimension
+from tramline.operators.windows import keep_latest, observation_history
 
 # Keys of the prediction history (G-2: not the service date).
 HISTORY_KEYS = ("trip_id", "stop_sequence")
@@ -91,14 +91,16 @@ def stg_trip_updates(
     tz: str = LOCAL_TZ,
     keys=HISTORY_KEYS,
     order=("fetched_at", "id"),
-    max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-    hot_key_rows: int | None = HOT_KEY_ROWS,
+    split_keys: bool = False,
 ) -> DataFrame:
     """Every stop-level observation with its history metrics (MOD-3).
 
     route_id comes from the trip table, not the feed (G-8); an unmatched trip
     keeps a null route; duplicate trip rows fan out (JOIN-1). History is per
     (trip_id, stop_sequence) in (fetched_at, id) order (G-2, G-3).
+    ``split_keys`` spreads the history of a key of any size over tasks (for feeds whose
+    blank trip with unset stops, G-9, holds much of the rows) at the cost of a stored
+    copy; the result is the same without.
     """
     _utc(raw)
     base = raw.where(F.col("trip_id").isNotNull() & F.col("stop_sequence").isNotNull()).select(
@@ -110,10 +112,9 @@ def stg_trip_updates(
         "fetched_at",
     )
     dim = trips.select("trip_id", "route_id", "direction_id", "trip_headsign")
-    joined = join_dimension(base, dim, on="trip_id", how="left",
-                            max_broadcast_rows=max_broadcast_rows)
+    joined = join_dimension(base, dim, on="trip_id", how="left")
     hist = observation_history(joined, keys=list(keys), order=list(order),
-                               value="arrival_delay_seconds", hot_key_rows=hot_key_rows)
+                               value="arrival_delay_seconds", split=split_keys)
     delay = F.col("arrival_delay_seconds")
     return hist.select(
         "trip_id", "route_id", "direction_id", "trip_headsign", "trip_start_time",

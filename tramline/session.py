@@ -7,7 +7,6 @@ not shift them.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -74,37 +73,26 @@ def build_session(
 
 
 def _checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+    """The shared folder that ``spark.checkpoint.dir`` names.
 
-    Only when the session has none (local tests) is a private temporary
-    folder created and registered.
+    A local session without one (tests) gets a private temporary folder; a cluster
+    session must name one, since its executors share no local folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = (spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
+            or context.getCheckpointDir())
     if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        # Unset only in local tests: take a private folder for this process.
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tramline-ckpt-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(root)
     return root
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the session's checkpoint folder."""
-    root = _checkpoint_root(spark)
-    path = os.path.join(root, "tramline", f"{name}-{uuid.uuid4().hex[:12]}")
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
-    return path
-
-
-def checkpoint(df, eager: bool = True):
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder."""
-    _checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    """A unique path under the session's checkpoint folder; whoever writes creates it."""
+    return f"{_checkpoint_root(spark).rstrip('/')}/tramline/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def size_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20,

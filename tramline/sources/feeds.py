@@ -11,21 +11,24 @@ from pyspark.sql import functions as F
 
 from tramline.functions import codes
 from tramline.functions.text import content_hash, pick_translation
-from tramline.functions.time import utc_seconds
+from tramline.functions.time import utc_micros
 from tramline.schemas import ALERT_CONTENT, WEATHER_FEED
 
-# Snapshot row ids: seconds since this base, times 2**32, plus the row's slot
-# within the snapshot. Unique while snapshots are at least a second apart and
-# hold under 2**32 slots; deterministic, so a replayed snapshot keeps its ids.
-ID_EPOCH_BASE = 1_577_836_800  # 2020-01-01T00:00:00Z
-SLOTS_PER_SNAPSHOT = 1 << 32
-SUB_SLOTS = 1 << 12  # stop-time updates per trip update
+# FIXED VALUE: microseconds from year 1 to 1970, so that no time in a row id is negative.
+YEAR_ONE_MICROS = 62_135_596_800_000_000
 
 
-def snapshot_row_id(fetched_at, slot) -> Column:
-    """Surrogate row id from the snapshot time and the slot in it (SRC-11)."""
+def snapshot_row_id(fetched_at, entity, sub=None) -> Column:
+    """Surrogate row id (SRC-11): the snapshot's time in microseconds, the entity's place
+    in it and the place within the entity, as padded digits.
+
+    Unique for snapshots that differ by a microsecond and for any number of entities, and
+    the same when a snapshot is delivered again. As text of one length it sorts like the
+    numbers; nothing is packed, so nothing overflows.
+    """
     ts = F.col(fetched_at) if isinstance(fetched_at, str) else fetched_at
-    return (utc_seconds(ts) - F.lit(ID_EPOCH_BASE)) * F.lit(SLOTS_PER_SNAPSHOT) + slot.cast("long")
+    parts = [(utc_micros(ts) + F.lit(YEAR_ONE_MICROS), 18), (entity, 10), (F.lit(0) if sub is None else sub, 10)]
+    return F.concat(*[F.lpad(x.cast("string"), n, "0") for x, n in parts])
 
 
 def _str(c: Column) -> Column:
@@ -77,7 +80,7 @@ def flatten_trip_updates(feed: DataFrame) -> DataFrame:
         return F.when(stu[event].isNotNull(), _num(stu[event]["delay"])).cast("int")
 
     return s.select(
-        snapshot_row_id("fetched_at", F.col("pos") * F.lit(SUB_SLOTS) + F.col("spos")).alias("id"),
+        snapshot_row_id("fetched_at", F.col("pos"), F.col("spos")).alias("id"),
         _str(tu["trip"]["trip_id"]).alias("trip_id"),
         _str(tu["trip"]["route_id"]).alias("route_id"),
         _str(tu["trip"]["start_time"]).alias("trip_start_time"),
@@ -124,7 +127,7 @@ def flatten_alerts(feed: DataFrame, strict_enums: bool = True, language: str = "
     ie = F.col("ie")
     return rows.select(
         snapshot_row_id(
-            "fetched_at", F.col("pos") * F.lit(SUB_SLOTS) + F.coalesce(F.col("ipos"), F.lit(0))
+            "fetched_at", F.col("pos"), F.coalesce(F.col("ipos"), F.lit(0))
         ).alias("id"),
         "alert_id", "content_hash", *ALERT_CONTENT[:6],
         "active_period_start", "active_period_end",

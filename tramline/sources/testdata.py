@@ -103,10 +103,10 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_id() -> Column:
-    """Unique line id: order, line number, part, supplier and quantity packed in
-    one BIGINT (part < 10**6, supplier < 10**4, quantity < 64)."""
-    return ((((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1_000_000 + F.col("l_partkey"))
-             * 10_000 + F.col("l_suppkey")) * 64 + F.col("l_quantity").cast("long"))
+    """Unique line id: order, line number, part, supplier and quantity as padded digits,
+    which sort as the numbers do at any size."""
+    parts = (("l_orderkey", 19), ("l_linenumber", 10), ("l_partkey", 19), ("l_suppkey", 19), ("l_quantity", 10))
+    return F.concat(*[F.lpad(F.col(c).cast("long").cast("string"), n, "0") for c, n in parts])
 
 
 def _delay(quantity: Column) -> Column:

@@ -5,15 +5,16 @@ read snapshot files as they land, keep state in the checkpoint, and write
 through idempotent sinks, so a restarted or retried batch never counts twice.
 
 * STR-1 ``flatten_stream``: nested snapshots -> landed rows (append).
-* STR-2 ``alert_fold_stream``: running keyed fold of alert sightings.
-* STR-3 ``weather_latest_stream``: latest fetch per observation time.
-* STR-4 ``hourly_fleet_stream``: per-hour vehicle activity with a lateness bound.
+* STR-2 ``alert_folds``: running keyed fold of alert sightings.
+* STR-3 ``latest_weather``: latest fetch per observation time.
+* STR-4 ``hourly_fleet``: per-hour vehicle activity.
 * STR-5 ``enrich_stream``: stream-static join with the trip table.
-* STR-6 ``dedup_stream``: drop re-delivered snapshot rows within the watermark.
+* STR-6 ``append_new_rows``: re-delivered snapshot rows are landed once.
 
-Running state (STR-2/3/4) is emitted in update mode through ``foreachBatch``:
-each batch's changed keys are written under ``batch_id=<n>`` (overwritten if
-the batch is retried) and ``read_latest`` takes the newest row per key.
+Nothing is dropped for being late. Running state (STR-2/3/4) is a ``FoldLog``: each
+micro-batch is folded by itself into a folder named by its batch id, which a retried
+batch overwrites, and readers fold the partial results; since the folds may be applied
+in any order, late, re-ordered and re-started deliveries end in the same state.
 """
 
 from __future__ import annotations
@@ -24,19 +25,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tramline.operators.upsert import ENTITY_COLS, KEY_NAMES, key_columns
-from tramline.schemas import ALERT_CONTENT
-
-BATCH_COL = "batch_id"
+from tramline.functions.time import hour_bucket
+from tramline.operators.sinks import BATCH_COL, PARTITION_COL, FoldLog, alert_fold_table, read_if_present
+from tramline.operators.windows import keep_latest
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
-                files_per_batch: int | None = None) -> DataFrame:
-    """Snapshot files landing under ``path`` as a stream (schema fixed, no inference)."""
-    reader = spark.readStream.schema(schema).format(fmt)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path)
+                files_per_batch: int = 10_000) -> DataFrame:
+    """Snapshot files landing under ``path`` as a stream (schema fixed, no inference); a
+    backlog is worked off in micro-batches of ``files_per_batch`` files."""
+    return spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", files_per_batch).load(path)
 
 
 def _run(writer, checkpoint: str, available_now: bool, processing_time: str | None,
@@ -74,26 +72,17 @@ def append_to_files(stream: DataFrame, sink: str, checkpoint: str, partition_by=
     return _run(w, checkpoint, available_now, processing_time, state_partitions)
 
 
-def upsert_batches(stream: DataFrame, sink: str, checkpoint: str, available_now: bool = True,
-                   processing_time: str | None = None, state_partitions: int | None = None):
-    """Update-mode sink: each micro-batch's changed rows go to their own
-    ``batch_id=<n>`` folder; a retried batch overwrites its folder."""
+def fold_batches(stream: DataFrame, log: FoldLog, checkpoint: str, available_now: bool = True,
+                 processing_time: str | None = None, compact_every: int | None = None):
+    """Fold each micro-batch into ``log``; every ``compact_every`` batches the log so far
+    is folded into a new base."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{sink}/{BATCH_COL}={batch_id}")
-
-    w = stream.writeStream.outputMode("update").foreachBatch(write)
-    return _run(w, checkpoint, available_now, processing_time, state_partitions)
-
+        log.append(batch, batch_id)
+        if compact_every and batch_id and batch_id % compact_every == 0:
+            log.compact(batch_id)
 
-def read_latest(spark: SparkSession, sink: str, keys: Sequence[str]) -> DataFrame:
-    """Current value per key from an ``upsert_batches`` sink (max batch id wins;
-    partial aggregation, no sort)."""
-    t = spark.read.parquet(sink)
-    cols = [c for c in t.columns if c != BATCH_COL]
-    payload = F.struct(*[F.col(c) for c in cols if c not in keys])
-    return (t.groupBy(*keys).agg(F.max_by(payload, F.col(BATCH_COL)).alias("_v"))
-            .select(*keys, "_v.*").select(*cols))
+    return _run(stream.writeStream.foreachBatch(write), checkpoint, available_now, processing_time)
 
 
 # --- STR-1 / STR-6 ------------------------------------------------------------------
@@ -102,110 +91,70 @@ def flatten_stream(snapshots: DataFrame, flatten: Callable[[DataFrame], DataFram
     return flatten(snapshots)
 
 
-def dedup_stream(rows: DataFrame, keys: Sequence[str], event_time: str = "fetched_at",
-                 lateness: str = "1 hour") -> DataFrame:
-    """STR-6: drop rows already seen within the lateness bound. Snapshot row
-    ids are deterministic, so a re-delivered snapshot repeats its keys;
-    older-than-watermark rows are dropped as late."""
-    t = "_event_ts"
-    return (rows.withColumn(t, F.col(event_time).cast("timestamp"))
-            .withWatermark(t, lateness)
-            .dropDuplicatesWithinWatermark(list(keys))
-            .drop(t))
+def append_new_rows(stream: DataFrame, sink: str, checkpoint: str, keys: Sequence[str] = ("id",),
+                    event_time: str = "fetched_at", available_now: bool = True, processing_time: str | None = None):
+    """STR-6: land rows whose ``keys`` were not landed before, however late they come.
 
+    Snapshot row ids are deterministic, so a re-delivered snapshot repeats its keys. A
+    micro-batch is reduced to one row per key and loses the keys already landed for
+    its dates (only these date folders are read), then goes to its own batch folder,
+    which a retry overwrites.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        fresh = batch.dropDuplicates(list(keys)).withColumn(PARTITION_COL, F.to_date(event_time))
+        landed = read_if_present(batch.sparkSession, sink)
+        if landed is not None:
+            # The dates of one micro-batch: a handful, read from its own rows.
+            dates = [r[0] for r in fresh.select(PARTITION_COL).distinct().collect()]
+            date = F.col(PARTITION_COL)
+            known = landed.where((F.col(BATCH_COL) < batch_id) & (
+                date.isin([x for x in dates if x is not None]) | (date.isNull() if None in dates else F.lit(False))))
+            same = fresh[PARTITION_COL].eqNullSafe(known[PARTITION_COL])
+            for k in keys:
+                same &= fresh[k].eqNullSafe(known[k])
+            fresh = fresh.join(known, same, "left_anti")
+        fresh.write.mode("overwrite").partitionBy(PARTITION_COL).parquet(f"{sink}/{BATCH_COL}={batch_id}")
 
-# --- STR-2 ----------------------------------------------------------------------
-DAY = "_day"
+    return _run(stream.writeStream.foreachBatch(write), checkpoint, available_now, processing_time)
 
 
-def alert_fold_stream(rows: DataFrame, state_ttl: str | None = "2 days") -> DataFrame:
-    """STR-2: the keyed fold of ``operators.upsert.fold_alerts`` as running state.
+def read_rows(spark: SparkSession, sink: str) -> DataFrame:
+    """Rows landed by ``append_new_rows``."""
+    return spark.read.parquet(sink).drop(BATCH_COL, PARTITION_COL)
 
-    With ``state_ttl`` the stream keeps one partial fold per (key, UTC day of
-    the sighting) under a watermark of that lateness, so state for past days
-    is evicted; ``read_alert_state`` folds the day partials again (min, max
-    and sum are associative, so the result is the same fold). Sightings later
-    than the bound are dropped. ``state_ttl=None`` keeps one state row per key
-    forever.
-    """
-    keyed = rows.select("*", *key_columns()[2:])
-    groups = list(KEY_NAMES)
-    if state_ttl:
-        keyed = (keyed.withColumn("_event_ts", F.col("fetched_at").cast("timestamp"))
-                 .withWatermark("_event_ts", state_ttl))
-        groups.append(F.window("_event_ts", "1 day").alias(DAY))
-    out = keyed.groupBy(*groups).agg(
-        F.min("id").alias("id"),
-        *[F.min(c).alias(c) for c in (*ALERT_CONTENT, *ENTITY_COLS)],
-        F.min(F.coalesce("first_seen_at", "fetched_at")).alias("first_seen_at"),
-        F.max(F.coalesce("last_seen_at", "fetched_at")).alias("last_seen_at"),
-        F.sum(F.coalesce(F.col("times_seen"), F.lit(1))).cast("int").alias("times_seen"),
-        F.min("fetched_at").alias("fetched_at"),
-    )
-    if state_ttl:
-        out = out.withColumn(DAY, F.col(f"{DAY}.start"))
-    return out
-
-
-def read_alert_state(spark: SparkSession, sink: str) -> DataFrame:
-    cols = ["id", "alert_id", "content_hash", *ALERT_CONTENT, *ENTITY_COLS,
-            "first_seen_at", "last_seen_at", "times_seen", "fetched_at"]
-    t = spark.read.parquet(sink)
-    if DAY not in t.columns:
-        return read_latest(spark, sink, list(KEY_NAMES)).select(*cols)
-    partials = read_latest(spark, sink, [*KEY_NAMES, DAY])
-    return partials.groupBy(*KEY_NAMES).agg(
-        F.min("id").alias("id"),
-        *[F.min(c).alias(c) for c in (*ALERT_CONTENT, *ENTITY_COLS)],
-        F.min("first_seen_at").alias("first_seen_at"),
-        F.max("last_seen_at").alias("last_seen_at"),
-        F.sum("times_seen").cast("int").alias("times_seen"),
-        F.min("fetched_at").alias("fetched_at"),
-    ).select(*cols)
 
+# --- STR-2 ----------------------------------------------------------------------
+def alert_folds(spark: SparkSession, path: str) -> FoldLog:
+    """STR-2: alert sightings folded per conflict key."""
+    return alert_fold_table(spark, path)
 
-# --- STR-3 ----------------------------------------------------------------------
-def weather_latest_stream(rows: DataFrame, state_ttl: str | None = "1 day") -> DataFrame:
-    """STR-3: newest fetch per observation time (ties to the larger id).
 
-    With ``state_ttl`` the observation time carries a watermark, so state for
-    observations older than the bound is evicted and later re-fetches of them
-    are dropped.
-    """
-    cols = [c for c in rows.columns if c != "observed_at"]
-    rank = F.struct(F.col("fetched_at").isNull(), F.col("fetched_at"), F.col("id").isNull(),
-                    F.col("id"))
-    groups = [F.col("observed_at")]
-    if state_ttl:
-        rows = rows.withColumn("_obs_ts", F.col("observed_at").cast("timestamp")).withWatermark(
-            "_obs_ts", state_ttl)
-        groups.insert(0, F.col("_obs_ts"))
-    out = rows.groupBy(*groups).agg(F.max_by(F.struct(*cols), rank).alias("_v"))
-    return out.select("observed_at", "_v.*")
+# --- STR-3 ----------------------------------------------------------------------
+def latest_weather(spark: SparkSession, path: str) -> FoldLog:
+    """STR-3: the newest fetch per observation time (ties to the larger id)."""
+    return FoldLog(spark, path, lambda rows: keep_latest(rows, ["observed_at"], ["fetched_at", "id"]))
 
 
 # --- STR-4 ----------------------------------------------------------------------
-def hourly_fleet_stream(positions: DataFrame, lateness: str = "2 hours") -> DataFrame:
-    """STR-4: reports per (UTC hour, vehicle) with a lateness bound.
+def hourly_fleet(spark: SparkSession, path: str) -> FoldLog:
+    """STR-4: reports per (UTC hour, vehicle).
 
-    Exact distinct counts are not a streaming aggregate, so the state is kept
-    at (hour, vehicle) grain — bounded by the fleet, evicted by the watermark
-    — and ``read_hourly_fleet`` counts vehicles per hour from the sink.
+    Exact distinct counts don't add up over batches, so the state is kept at
+    (hour, vehicle) grain and ``read_hourly_fleet`` counts vehicles per hour from it.
     Hours are UTC: at the autumn DST change the local-hour mart merges two
     UTC hours, this job keeps them apart (G-6).
     """
-    valid = positions.where((F.col("latitude") != 0) & (F.col("longitude") != 0))
-    t = valid.withColumn("_event_ts", F.col("fetched_at").cast("timestamp"))
-    return (t.withWatermark("_event_ts", lateness)
-            .groupBy(F.window("_event_ts", "1 hour").alias("w"), "vehicle_id")
-            .agg(F.count(F.lit(1)).alias("reports"))
-            .select(F.col("w.start").cast("timestamp_ntz").alias("hour_utc"), "vehicle_id",
-                    "reports"))
-
-
-def read_hourly_fleet(spark: SparkSession, sink: str) -> DataFrame:
-    cur = read_latest(spark, sink, ["hour_utc", "vehicle_id"])
-    return cur.groupBy("hour_utc").agg(
+    def fold(rows: DataFrame) -> DataFrame:
+        if "reports" not in rows.columns:
+            rows = rows.where((F.col("latitude") != 0) & (F.col("longitude") != 0)).select(
+                hour_bucket("fetched_at").alias("hour_utc"), "vehicle_id", F.lit(1).cast("long").alias("reports"))
+        return rows.groupBy("hour_utc", "vehicle_id").agg(F.sum("reports").alias("reports"))
+
+    return FoldLog(spark, path, fold)
+
+
+def read_hourly_fleet(log: FoldLog) -> DataFrame:
+    return log.read().groupBy("hour_utc").agg(
         F.count(F.lit(1)).alias("active_vehicles"), F.sum("reports").alias("position_reports"))
 
 
