@@ -152,6 +152,14 @@ def test_near_duplicates_take_odd_rows(spark):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_documents_without_ids_keep_one_of_each_group(spark):
+    texts = ["one two three four five six", "one two three four five six", "quite another text of its own here",
+             "shared with a named document, word for word"]
+    docs = spark.createDataFrame([(None, t, "x") for t in texts] + [(9, texts[3], "y")], "doc_id long, text string, p string")
+    kept = simhash.keep_first(docs).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == sorted([(0, texts[0]), (0, texts[2]), (9, texts[3])])
+
+
 def test_pipeline_stages(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "SimHash near-dedup", "benchmark decontamination", "PII", "byte-level BPE"]

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.common import field, map_texts
+from tramline.llm.common import carried, field, map_texts, restored
 from tramline.session import scratch_dir
 
 SHINGLE = 3
@@ -34,7 +34,7 @@ MAX_BITS = 2
 TREE_SAMPLE = 100_000
 MAX_SHARDS = 16_384
 # Fingerprints a shard should hold, and below which a group is compared pair by pair.
-SHARD_POINTS = 20_000
+SHARD_POINTS = 4_000
 LEAF_POINTS = 512
 # Shingle hashes whose bits are counted at once.
 BLOCK = 1 << 16
@@ -267,13 +267,15 @@ def components(pairs: DataFrame, checkpoint: Callable[[DataFrame, str], DataFram
 
 def classes(points: DataFrame, max_bits: int = MAX_BITS, shard_points: int = SHARD_POINTS,
             tree_sample: int = TREE_SAMPLE) -> DataFrame:
-    """``points`` (p, least) with ``component``: the least value over p's component."""
+    """``points`` (p, least) with ``root``, a point that stands for p's component, and
+    ``component``, the least value over it."""
     roots = _stored(components(edges(points, max_bits, shard_points, tree_sample)), "roots")
     members = roots.union(roots.select(F.col("root").alias("p"), "root").distinct())
     linked = members.join(points, "p").select("p", "root", "least")
     best = linked.groupBy("root").agg(F.min("least").alias("component"))
-    found = linked.join(best, "root").select("p", "component")
-    return points.join(found, "p", "left").select("p", F.coalesce("component", "least").alias("component"))
+    found = linked.join(best, "root").select("p", "root", "component")
+    return points.join(found, "p", "left").select(
+        "p", F.coalesce("root", "p").alias("root"), F.coalesce("component", "least").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
@@ -284,22 +286,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component_id is the smallest id among the documents reachable over links; ids
     that are null count as larger than all others (a group of nulls alone has null).
     """
-    own = _stored(with_fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")),
-                                    "text", size, "p").select("id", "p"), "fingerprints")
-    points = _stored(own.groupBy("p").agg(F.min("id").alias("least")), "points")
-    found = classes(points, max_bits, shard_points, tree_sample)
+    own, found = _grouped(docs, id_col, text_col, size, max_bits, shard_points, tree_sample)
     return own.join(found, "p").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("p"), 16, "0")).alias("fingerprint"),
         F.col("component").alias("component_id"))
 
 
+def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE, max_bits: int = MAX_BITS,
+             shard_points: int = SHARD_POINTS, tree_sample: int = TREE_SAMPLE) -> tuple[DataFrame, DataFrame]:
+    """(id, p) of every row and (p, root, component) of every distinct fingerprint."""
+    own = _stored(with_fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")),
+                                    "text", size, "p").select("id", "p"), "fingerprints")
+    points = _stored(own.groupBy("p").agg(F.min("id").alias("least")), "points")
+    return own, _stored(classes(points, max_bits, shard_points, tree_sample), "classes")
+
+
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One document of each group: that with the smallest id (of repeated ids one row).
 
-    Groups without any id keep one row.
+    A group in which no document has an id keeps one of its rows.
     """
-    spark_cols = docs.columns
-    found = near_duplicates(docs, id_col, text_col, **options)
-    keep = found.select(F.col("component_id").alias("__id__"), F.lit(True).alias("__keep__")).distinct()
-    kept = docs.join(keep, docs[id_col].eqNullSafe(keep["__id__"]), "left_semi")
-    return kept.dropDuplicates([id_col]).select(*spark_cols)
+    own, found = _grouped(docs, id_col, text_col, **options)
+    keep = found.filter("component IS NOT NULL").select(F.col("component").alias(id_col)).distinct()
+    # Both steps deal rows by the id, so the texts are shuffled once.
+    named = docs.join(keep, id_col, "left_semi").dropDuplicates([id_col])
+    unnamed = with_fingerprints(carried(docs.filter(docs[id_col].isNull()), text_col), text_col,
+                                options.get("size", SHINGLE), "p")
+    alone = unnamed.join(found.filter("component IS NULL").select("p", "root"), "p").dropDuplicates(["root"])
+    return named.unionByName(restored(alone, docs, text_col))
