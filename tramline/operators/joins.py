@@ -1,10 +1,10 @@
 """Fact-to-dimension joins (JOIN-1, JOIN-2).
 
-A dimension is broadcast where its size is known to be under a byte bound, never on a
-guess: the session turns off broadcasts chosen from file-size estimates, and adaptive
-execution broadcasts a side only once the side's own stage has run and its bytes are
-measured against ``spark.sql.adaptive.autoBroadcastJoinThreshold``. A dimension beyond
-the bound stays a shuffle join, in which skewed keys are split. Planning starts no job.
+A dimension is broadcast where its bytes are bounded: at planning if the statistics of its
+files keep it under ``spark.sql.autoBroadcastJoinThreshold`` (8 MB in this library's
+sessions), else by adaptive execution once the side's own stage has run and its bytes
+are measured against ``spark.sql.adaptive.autoBroadcastJoinThreshold`` (32 MB). A dimension
+beyond both stays a shuffle join, in which skewed keys are split. Planning starts no job.
 """
 
 from __future__ import annotations

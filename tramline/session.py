@@ -18,10 +18,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # No broadcast on a file-size estimate: dimensions are broadcast only behind
-    # a row bound (operators.joins), and AQE may broadcast a side whose size it
-    # has measured at run time (e.g. a small aggregate).
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    # A side is broadcast at planning only where its files' statistics keep it under this
+    # bound, and at run time where its measured bytes are under the next one.
+    "spark.sql.autoBroadcastJoinThreshold": "8MB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
