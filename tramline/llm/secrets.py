@@ -42,7 +42,8 @@ class EntropyRules:
     base64_bits: float = 3.75
     allowed: tuple[str, ...] = field(default=(
         r"(?i)example|sample|dummy|placeholder|changeme|your[_-]?(api|key|token|secret)",
-        r"(?i)^[a-z]+([-_/=+][a-z]+)*$",  # words without a digit: prose, paths, identifiers
+        # Words without a digit: prose, paths, identifiers. Possessive, so that long ones need no stack.
+        r"(?i)^[a-z]++(?:[-_/=+][a-z]++)*+$",
         r"(?i)(0123456789|abcdefghijkl|qwertyuiop)",
         r"(.)\1{7,}",
         r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",  # identifiers
