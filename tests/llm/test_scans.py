@@ -68,6 +68,18 @@ def test_scans_take_odd_rows(spark):
     assert licenses.scan_licences(empty).count() == pii.pseudonymise(empty).count() == 0
 
 
+def test_long_repeats_exhaust_no_stack(spark):
+    texts = {1: "x " + "a-" * 40_000 + "a", 2: "me@" + "a." * 40_000 + "com", 3: "DE12 " + "ABCD " * 20_000,
+             4: "1." * 40_000, 5: "password" * 10_000, 6: "license\n" * 10_000, 7: "api_key=" + "a_" * 40_000}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    spans = {r["doc_id"]: r["secrets"] for r in secrets.scan_secrets(docs).collect()}
+    assert [i for i in texts if spans[i]] == [7] and [s["kind"] for s in spans[7]] == ["assign"]
+    assert licenses.scan_licences(docs).filter("licence_class = 'none'").count() == len(texts)
+    for r in pii.pseudonymise(docs).collect():
+        assert len(r["text"]) == len(texts[r["doc_id"]])
+        assert r["doc_id"] == 2 or r["text"] == texts[r["doc_id"]]
+
+
 def test_every_licence_sentence_has_a_keyword():
     for forms in licenses.SENTENCES.values():
         for form in forms:
@@ -131,7 +143,8 @@ def test_feistel_is_a_permutation(spark):
 
 
 URLS = [None, "", "nope", "http://A.Example.ORG/es/x?y", "http://org", "x://org/en", "a://example.org/en/12#t", "a://b://c.com/de/",
-        "http:///path", "http://badexample.org/es/", "https://x.com/fr/1?://z.org/"]
+        "http:///path", "http://badexample.org/es/", "https://x.com/fr/1?://z.org/", "ftp://com./fr/", "x://com/fr/",
+        "http://" + "a." * 3000 + "com/fr/x"]
 
 
 def plain_verdict(url, rules):

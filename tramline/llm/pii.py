@@ -23,9 +23,10 @@ from tramline.llm.common import keep_columns
 ROUNDS = 8
 KEY = "tramline-pseudonyms-1"
 
-#: Patterns by kind, in the order in which they are tried at a place.
+#: Patterns by kind, in the order in which they are tried at a place. Repeated groups are
+#: bounded (a host name has at most 127 labels of 63 characters), so no text exhausts the stack.
 PATTERNS: dict[str, str] = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}(?![A-Za-z0-9])",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,125}\.[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
     "ipv4": r"(?<![A-Za-z0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![A-Za-z0-9]|\.[0-9])",
     "iso_date": r"(?<![A-Za-z0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![A-Za-z0-9]|-[0-9])",
