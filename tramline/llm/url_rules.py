@@ -1,7 +1,8 @@
 """URL filter by hashed host-suffix and path-prefix expressions, Catalyst only.
 
-Every URL expands into expressions: each suffix of its host's labels joined with
-each prefix of its path that has the length of some rule's path. Expressions and
+Every URL expands into expressions: each suffix of its host with no more labels than
+the longest rule's host has, joined with each prefix of its path that has the length
+of some rule's path. A URL's work thus follows the rules, not the length of its host. Expressions and
 rules meet in an equi-join on the first bytes of their digests; the full digests
 then confirm the match, and the longest rule decides.
 
@@ -58,13 +59,15 @@ def judge(urls: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: s
     # Rules that share the short hash stand together, so that an expression meets one row at most.
     table = own.groupBy(F.substring("digest", 1, PREFIX_DIGITS).alias("short")).agg(
         F.collect_list(F.struct("digest", "block")).alias("rules"))
-    # Lengths of rule paths: as many numbers as there are lengths, whatever the number of rules.
-    lengths = sorted(r[0] for r in own.select(F.length("p")).distinct().collect())
+    # Lengths of rule paths, as many numbers as there are lengths, and labels of the longest rule host.
+    shape = own.agg(F.sort_array(F.collect_set(F.length("p"))), F.max(F.size(F.split("h", r"\.", -1)))).first()
+    lengths, most = shape[0], shape[1] or 1
     few = len(own.select("block").take(BROADCAST_RULES + 1)) <= BROADCAST_RULES
 
     rows = urls.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host_of(F.col(url_col)).alias("host"),
                        path_of(F.col(url_col)).alias("path"))
     labels = F.split("host", r"\.", -1)
+    first = F.greatest(F.lit(1), F.size(labels) - most + 1)
     usable = F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= F.length("path"))
 
     def suffix(k: Column) -> Column:
@@ -73,7 +76,7 @@ def judge(urls: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: s
     def prefix(n: Column) -> Column:
         return F.substring(F.col("path"), F.lit(1), n)
 
-    digests = F.flatten(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.transform(
+    digests = F.flatten(F.transform(F.sequence(first, F.size(labels)), lambda k: F.transform(
         usable, lambda n: F.struct(_digest(suffix(k), prefix(n)).alias("digest"),
                                    (F.length(suffix(k)) + n).alias("length")))))
     looked = rows.select("*", F.posexplode_outer(F.when(F.col("host") != "", digests)).alias("place", "e")).withColumn(
@@ -91,7 +94,7 @@ def judge(urls: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: s
     place = F.col("best") % (1 << 31)
     per = F.size(usable)
     rule = F.when(F.col("best").isNotNull(), F.concat(
-        suffix((F.floor(place / per) + 1).cast("int")), prefix(F.get(usable, (place % per).cast("int")))))
+        suffix((F.floor(place / per) + first).cast("int")), prefix(F.get(usable, (place % per).cast("int")))))
     block = F.floor(F.col("best") / (1 << 31)) % 2 == 1
     out = judged.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
     return out.select(
