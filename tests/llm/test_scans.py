@@ -132,6 +132,23 @@ def test_pseudonyms_keep_format_link_and_invert(spark):
     assert {r["doc_id"]: r["text"] for r in back.collect()} == texts
 
 
+def test_phones_outside_the_numbering_rules(spark):
+    odd = ["+1 (017) 555-7713", "+1 (132) 555-1352", "(212) 055-0123", "999.199.9999", "1-100-000-0000", "000 000 0000",
+           "199-999-9999", "200-000-0000", "+1 999-199-9999"]
+    fine = ["(212) 555-0123", "200-200-0000", "999-999-9999"]
+    docs = spark.createDataFrame(list(enumerate(odd + fine)), "doc_id long, text string")
+    made = pii.pseudonymise(docs)
+    got = [r["text"] for r in made.orderBy("doc_id").collect()]
+    for old, new in zip(odd + fine, got, strict=True):
+        ten = re.sub("[^0-9]", "", new)[-10:]
+        assert new != old and re.sub("[0-9]", "d", new) == re.sub("[0-9]", "d", old)
+        assert bool(re.match("[2-9]..[2-9]", ten)) == (old in fine)
+        assert new.startswith("+1") == old.startswith("+1")
+    assert got[3].replace(".", "-") == got[8][3:]
+    back = pii.pseudonymise(made.drop("n_pii", "pii_kinds"), inverse=True)
+    assert [r["text"] for r in back.orderBy("doc_id").collect()] == odd + fine
+
+
 def test_feistel_is_a_permutation(spark):
     from pyspark.sql import functions as F
 

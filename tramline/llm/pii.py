@@ -1,8 +1,9 @@
 """PII pseudonyms by format-preserving Feistel networks, with Catalyst expressions only.
 
 Candidates are found by pattern and validated: card numbers by Luhn, IBANs by
-mod 97, social security numbers and telephone numbers by their numbering rules,
-IPv4 addresses by range, dates by calendar. A valid value is numbered within its
+mod 97, social security numbers by their numbering rules, IPv4 addresses by range,
+dates by calendar. Every telephone number of ten digits counts; those that keep to the
+North American rules and the others are two formats. A valid value is numbered within its
 format, the number is permuted by a keyed Feistel network whose halves span
 exactly the format's values, and the result is written in the same format with
 its check digits made anew. So pseudonyms are valid values of their kind, equal
@@ -205,19 +206,35 @@ def _ssn(form: Column, inverse: bool) -> Column:
 
 
 def _phone(form: Column, inverse: bool) -> Column:
-    """North American numbers: area and exchange begin with 2 to 9; the country code stays."""
-    def made(d: Column) -> Column:
-        ten = F.substring(d, F.length(d) - 9, F.lit(10)).cast("long") - 2_000_000_000
+    """Ten-digit numbers; the country code stays.
+
+    Numbers whose area and exchange begin with 2 to 9 are permuted among themselves, and
+    so are all others, so that a number keeps its kind and the inverse is exact.
+    """
+    def moved(x: Column, half: int, kind: str) -> Column:
+        return _let(permuted(F.floor(x / half), x % half, F.lit(half), F.lit(half), kind, inverse),
+                    lambda n: n["l"] * half + n["r"])
+
+    def valid(ten: Column) -> Column:
         # 800 areas x 800 exchanges x 10,000 lines = 80,000 x 80,000
-        area, exchange = F.floor(ten / 10_000_000), F.floor(ten / 10_000) % 1000 - 200
-        return _let((area * 800 + exchange) * 10_000 + ten % 10_000, lambda x: _let(
-            permuted(F.floor(x / 80_000), x % 80_000, F.lit(80_000), F.lit(80_000), "phone", inverse),
-            lambda n: _let(n["l"] * 80_000 + n["r"], lambda y: _refilled(form, F.concat(
-                F.substring(d, F.lit(1), F.length(d) - 10),
-                ((F.floor(y / 8_000_000) + 200) * 10_000_000 + (F.floor(y / 10_000) % 800 + 200) * 10_000 + y % 10_000)
-                .cast("string"))))))
-
-    return _let(_digits(form), lambda d: F.when(d.rlike("^1?[2-9][0-9]{2}[2-9][0-9]{6}$"), made(d)))
+        area, exchange = F.floor(ten / 10_000_000) - 200, F.floor(ten / 10_000) % 1000 - 200
+        return _let(moved((area * 800 + exchange) * 10_000 + ten % 10_000, 80_000, "phone"), lambda y: (
+            (F.floor(y / 8_000_000) + 200) * 10_000_000 + (F.floor(y / 10_000) % 800 + 200) * 10_000 + y % 10_000))
+
+    def other(ten: Column) -> Column:
+        # 200 areas x 10,000,000 and 800 areas x 200 exchanges x 10,000 lines = 60,000 x 60,000
+        low = 200 * 10_000_000
+        number = F.when(ten < low, ten).otherwise(
+            low + (F.floor(ten / 10_000_000) - 200) * 2_000_000 + ten % 10_000_000)
+        return _let(moved(number, 60_000, "phone_other"), lambda y: F.when(y < low, y).otherwise(
+            (F.floor((y - low) / 2_000_000) + 200) * 10_000_000 + (y - low) % 2_000_000))
+
+    def made(d: Column) -> Column:
+        ten = F.substring(d, F.length(d) - 9, F.lit(10))
+        new = F.when(ten.rlike("^[2-9][0-9]{2}[2-9]"), valid(ten.cast("long"))).otherwise(other(ten.cast("long")))
+        return _refilled(form, F.concat(F.substring(d, F.lit(1), F.length(d) - 10), _padded(new, F.lit(10))))
+
+    return _let(_digits(form), made)
 
 
 def _intl_phone(form: Column, inverse: bool) -> Column:
