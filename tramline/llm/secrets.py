@@ -5,8 +5,9 @@ Beside them every candidate string (a run of token characters) is judged by the
 Shannon entropy of a sliding window over its characters: each step adds the
 entering character to the counts of its class's alphabet and removes the leaving
 one, and the sum over c * log2(c) follows by the difference of two table values.
-The span from the first to the last window above the class's limit is reported,
-unless the candidate is on the allow list, which never touches base kinds.
+The span from the first to the last window above the class's limit is reported.
+Windows that hold a match of the allow list, or lie inside one, don't count; the rest
+of their candidate does. The allow list never touches base kinds.
 
 Null and empty texts have no spans. Offsets are code points, ends exclusive.
 """
@@ -78,9 +79,30 @@ def _found(text: Column, pattern: str, kind: str, keep=None) -> Column:
         pairs, F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda done: done["spans"])).otherwise(none)
 
 
-def _hot_window(value: Column, rules: EntropyRules) -> Column:
-    """struct<first, last, most>: ends of the first and last window above the limit
-    of the value's class (0 if none) and the greatest entropy seen."""
+def _allowed_ends(value: Column, rules: EntropyRules) -> Column:
+    """Ends, in order, of the windows that hold an allowed match or lie inside one."""
+    w = rules.window
+
+    def ends(m: Column) -> Column:
+        # Windows that end from m.stop to m.start + w hold the match, from m.start + w to m.stop they lie in it.
+        low = F.greatest(F.least(m["stop"], m["start"] + w), F.lit(w))
+        high = F.least(F.greatest(m["stop"], m["start"] + w), F.length(value))
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    def matched(pattern: str) -> Column:
+        return F.flatten(F.transform(_found(value, pattern, "allowed"), ends))
+
+    some = F.lit(False)
+    for pattern in rules.allowed:
+        some = some | value.rlike(pattern)
+    found = F.concat(*map(matched, rules.allowed)) if rules.allowed else F.array().cast("array<int>")
+    return F.when(some, F.array_sort(F.array_distinct(found))).otherwise(F.array().cast("array<int>"))
+
+
+def _hot_window(value: Column, allowed: Column, rules: EntropyRules) -> Column:
+    """struct<first, last, most>: ends of the first and last window above the limit of
+    the value's class (0 if none) whose end isn't in ``allowed``, and the greatest
+    entropy of such windows."""
     w = rules.window
     is_hex = value.rlike("^([0-9a-f]+|[0-9A-F]+)$")
     limit = F.when(is_hex, F.lit(rules.hex_bits)).otherwise(F.lit(rules.base64_bits))
@@ -101,41 +123,43 @@ def _hot_window(value: Column, rules: EntropyRules) -> Column:
                 total = state["total"] + F.get(weight, new) - F.get(weight, old)
                 full = coming & (at >= w)
                 bits = F.lit(math.log2(w)) - total / w
-                hot = full & (bits > known["limit"])
+                # The next allowed end is never behind: ends are distinct and in order.
+                passed = full & (F.coalesce(F.get(known["allowed"], state["skip"]), F.lit(0)) == at)
+                hot = full & ~passed & (bits > known["limit"])
                 return F.struct(
                     F.overlay(state["counts"], F.char(new + 65), slot, F.lit(1)).alias("counts"), total.alias("total"),
                     F.when(hot & (state["first"] == 0), at).otherwise(state["first"]).alias("first"),
                     F.when(hot, at).otherwise(state["last"]).alias("last"),
-                    F.when(full, F.greatest(state["most"], bits)).otherwise(state["most"]).alias("most"))
+                    F.when(full & ~passed, F.greatest(state["most"], bits)).otherwise(state["most"]).alias("most"),
+                    F.when(passed, state["skip"] + 1).otherwise(state["skip"]).alias("skip"))
 
             return F.when(at > 0, _let(place, counted)).otherwise(state)
 
         start = F.struct(F.lit("A" * 68).alias("counts"), F.lit(0.0).alias("total"), F.lit(0).alias("first"),
-                         F.lit(0).alias("last"), F.lit(0.0).alias("most"))
+                         F.lit(0).alias("last"), F.lit(0.0).alias("most"), F.lit(0).alias("skip"))
         return F.aggregate(F.sequence(F.lit(1), 2 * F.size(known["chars"])), start, event)
 
     known = F.struct(F.split(value, "", -1).alias("chars"), alphabet.alias("alphabet"), limit.alias("limit"),
-                     is_hex.alias("is_hex"))
+                     is_hex.alias("is_hex"), allowed.alias("allowed"))
     return _let(known, lambda k: _let(scan(k), lambda s: F.struct(
         s["first"].alias("first"), s["last"].alias("last"), s["most"].alias("most"), k["is_hex"].alias("is_hex"))))
 
 
 def _entropy_spans(text: Column, rules: EntropyRules) -> Column:
-    def allowed(value: Column) -> Column:
-        out = F.lit(False)
-        for pattern in rules.allowed:
-            out = out | value.rlike(pattern)
-        return out
-
-    def judged(c: Column) -> Column:
-        return _let(_hot_window(c["value"], rules), lambda s: F.struct(
-            (c["start"] + s["first"] - rules.window).alias("start"), (c["start"] + s["last"]).alias("stop"),
-            F.when(s["is_hex"], "entropy_hex").otherwise("entropy_base64").alias("kind"),
-            F.substring(c["value"], s["first"] - rules.window + 1, s["last"] - s["first"] + rules.window).alias("value"),
-            F.when(s["first"] > 0, s["most"]).alias("entropy")))
-
-    candidates = _found(text, CANDIDATE, "candidate", lambda value: ~allowed(value))
-    return F.filter(F.transform(candidates, judged), lambda s: s["entropy"].isNotNull()).cast(SPAN)
+    def spans(c: Column) -> Column:
+        def judged(ends: Column) -> Column:
+            # A candidate whose windows are all allowed needs no scan.
+            hot = F.when(F.size(ends) <= F.length(c["value"]) - rules.window, _hot_window(c["value"], ends, rules))
+            return _let(hot, lambda s: F.struct(
+                (c["start"] + s["first"] - rules.window).alias("start"), (c["start"] + s["last"]).alias("stop"),
+                F.when(s["is_hex"], "entropy_hex").otherwise("entropy_base64").alias("kind"),
+                F.substring(c["value"], s["first"] - rules.window + 1, s["last"] - s["first"] + rules.window).alias("value"),
+                F.when(s["first"] > 0, s["most"]).alias("entropy")))
+
+        return _let(_allowed_ends(c["value"], rules), judged)
+
+    candidates = _found(text, CANDIDATE, "candidate")
+    return F.filter(F.transform(candidates, spans), lambda s: s["entropy"].isNotNull()).cast(SPAN)
 
 
 def _listed(spans: Column) -> Column:
