@@ -129,6 +129,71 @@ def test_licence_sequences(spark):
     assert got[6]["licences"] == ["GPL-3.0-or-later"]
 
 
+HEADERS = {
+    "MPL-2.0": """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */""",
+    "Apache-2.0": """   Copyright 2020 A Name
+
+   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+
+       http://www.apache.org/licenses/LICENSE-2.0
+
+   Unless required by applicable law or agreed to in writing, software
+   distributed under the License is distributed on an "AS IS" BASIS,
+   WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+   See the License for the specific language governing permissions and
+   limitations under the License.""",
+    "LGPL-2.1-or-later": """# This library is free software; you can redistribute it and/or
+# modify it under the terms of the GNU Lesser General Public
+# License as published by the Free Software Foundation; either
+# version 2.1 of the License, or (at your option) any later version.
+#
+# This library is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU
+# Lesser General Public License for more details.""",
+    "AGPL-3.0-or-later": """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU Affero General Public License as published
+    by the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU Affero General Public License for more details.""",
+    "EPL-2.0": """ * This program and the accompanying materials are made
+ * available under the terms of the Eclipse Public License 2.0
+ * which is available at https://www.eclipse.org/legal/epl-2.0/
+ *
+ * SPDX-License-Identifier: EPL-2.0""",
+    "BSL-1.0": """//          Copyright Joe Coder 2004 - 2006.
+// Distributed under the Boost Software License, Version 1.0.
+//    (See accompanying file LICENSE_1_0.txt or copy at
+//          https://www.boost.org/LICENSE_1_0.txt)""",
+    "Unlicense": """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software.""",
+    "MIT": "This project is licensed under the MIT License - see the [LICENSE.md](LICENSE.md) file for details.",
+    "GPL-3.0": "# Tool\n\nThis project is licensed under the terms of the GNU GPLv3.",
+    "BSD-3-Clause": "# SPDX-License-Identifier: BSD-3-Clause\nimport os\n",
+}
+
+
+def test_standard_headers(spark):
+    docs = spark.createDataFrame([*HEADERS.items(), ("not", "This project is not licensed under the MIT License."),
+                                  ("Apache-2.0 ", HEADERS["Apache-2.0"].replace("\n   you may not", " you may not"))],
+                                 "doc_id string, text string")
+    got = {r["doc_id"]: r for r in licenses.scan_licences(docs).collect()}
+    assert got.pop("not")["licences"] == []
+    assert {k: r["licences"] for k, r in got.items()} == {k: [k.strip()] for k in got}
+    assert got["Apache-2.0"]["sentence_ids"] == ["apache2_ref", "apache2_comply", "apache2_copy", "apache2_asis", "apache2_see"]
+    assert got["MPL-2.0"]["sentence_ids"] == ["mpl2_ref"] and got["MPL-2.0"]["licence_class"] == "copyleft"
+    assert all(set(names) and name in {i for _, _, run in licenses.RULES for i in run} for name, names in licenses.NAMES.items())
+
+
 PRIVATE = ("card 4111 1111 1111 1111, 378282246310005 bad 4111111111111112 ssn 123-45-6789 666-11-1111 ip 10.0.0.1 999.1.1.1 "
            "on 2024-02-29 and 2023-02-30, 31.12.1999 12/31/1999 31/12/1999 iban DE89 3704 0044 0532 0130 00 "
            "tel +44 20 7946 0958 (212) 555-0123 +1 (476) 555-5473 mail a.B9@x.example.com")
