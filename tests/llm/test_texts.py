@@ -119,6 +119,20 @@ def test_compression_bands():
         "ok", "ok", "incompressible", "repetitive", "ok"]
 
 
+def test_the_last_bytes_are_judged():
+    import base64
+
+    compress = zstandard.ZstdCompressor(level=3).compress
+    bands = compression.Bands()
+    sounds = ["ba", "ren", "to", "si", "lu", "mor", "ke", "an", "dri", "o"]
+    prose = " ".join("".join(np.random.default_rng(i).choice(sounds, 1 + i % 4)) for i in range(1500)).encode()
+    noise = base64.b64encode(np.random.default_rng(0).bytes(3000))
+    whole, chunks = compression.ratios(prose[:4096] + noise, bands, compress)
+    assert len(noise) == 4000 and len(chunks) == 2 and whole < 0.70 and chunks[0] < 0.75 < chunks[1]
+    assert compression.judge(8096, whole, chunks, bands) == "incompressible"
+    assert [len(compression.ratios(prose[:n], bands, compress)[1]) for n in (4095, 4096, 4097, 8192, 8193)] == [0, 1, 2, 2, 3]
+
+
 def test_quality_rules_take_odd_rows(spark):
     docs = odd_documents(spark)
     rows = compression.quality_rules(docs).collect()

@@ -1,6 +1,7 @@
 """Quality rules by compression bands, beside counted base rules.
 
-Each text is compressed with zstandard as a whole and in fixed chunks. The
+Each text is compressed with zstandard as a whole and in fixed chunks; where bytes
+are left over, the text's last bytes make one more chunk of the same size. The
 ratio (compressed bytes / raw bytes) must lie inside the band of its length:
 below it the text is repetitive, above it incompressible. Short texts carry
 the compressor's fixed cost, so limits are specific to the length; texts under
@@ -35,7 +36,7 @@ class Bands:
         (256, 0.25, 0.95), (1024, 0.20, 0.80), (4096, 0.15, 0.70), (32768, 0.10, 0.65))
     chunk_bytes: int = 4096
     chunk: tuple[float, float] = (0.12, 0.75)
-    # The share of full chunks outside their band from which a text is rejected.
+    # The share of chunks outside their band from which a text is rejected.
     bad_chunks: float = 0.5
 
 
@@ -86,13 +87,18 @@ def base_counts(text: str, data: bytes) -> tuple[int, int, int, int, int]:
 
 
 def ratios(data: bytes, bands: Bands, compress) -> tuple[float | None, list[float]]:
-    """Ratio of the whole text and of each full chunk (none for short texts)."""
+    """Ratio of the whole text and of each chunk (none for short texts).
+
+    The last chunk overlaps the one before it where the length isn't a multiple of the chunk's.
+    """
     if not data or band(bands, len(data)) is None:
         return None, []
     size = bands.chunk_bytes
     view = memoryview(data)
-    return len(compress(data)) / len(data), [
-        len(compress(view[a:a + size])) / size for a in range(0, len(data) - size + 1, size)]
+    starts = [*range(0, len(data) - size + 1, size)]
+    if starts and len(data) % size:
+        starts.append(len(data) - size)
+    return len(compress(data)) / len(data), [len(compress(view[a:a + size])) / size for a in starts]
 
 
 def judge(n_bytes: int, whole: float | None, chunks: list[float], bands: Bands) -> str:
