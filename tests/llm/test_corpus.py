@@ -160,6 +160,16 @@ def test_documents_without_ids_keep_one_of_each_group(spark):
     assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == sorted([(0, texts[0]), (0, texts[2]), (9, texts[3])])
 
 
+def test_one_id_with_texts_of_different_groups_keeps_both(spark):
+    texts = ["one two three four five six", "quite another text of its own here", "a third text, as different as can be"]
+    rows = [(1, texts[0], "x"), (1, texts[1], "y"), (1, texts[1], "y"), (2, texts[1], "z"), (3, texts[2], "x"), (2, texts[2], "y"),
+            (2, texts[0], "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, p string")
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect())) == sorted([(1, texts[0], "x"), (1, texts[1], "y"), (2, texts[2], "y")])
+
+
 def test_pipeline_stages(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "SimHash near-dedup", "benchmark decontamination", "PII", "byte-level BPE"]

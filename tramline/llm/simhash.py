@@ -20,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tramline.llm.common import carried, field, map_texts, restored
@@ -293,24 +293,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE, max_bits: int = MAX_BITS,
-             shard_points: int = SHARD_POINTS, tree_sample: int = TREE_SAMPLE) -> tuple[DataFrame, DataFrame]:
-    """(id, p) of every row and (p, root, component) of every distinct fingerprint."""
-    own = _stored(with_fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")),
-                                    "text", size, "p").select("id", "p"), "fingerprints")
+             shard_points: int = SHARD_POINTS, tree_sample: int = TREE_SAMPLE,
+             *further: Column) -> tuple[DataFrame, DataFrame]:
+    """(id, p) and the ``further`` columns of every row, and (p, root, component) of every
+    distinct fingerprint."""
+    own = with_fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *further), "text", size, "p")
+    own = _stored(own.drop("text"), "fingerprints")
     points = _stored(own.groupBy("p").agg(F.min("id").alias("least")), "points")
     return own, _stored(classes(points, max_bits, shard_points, tree_sample), "classes")
 
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One document of each group: that with the smallest id (of repeated ids one row).
+def _row_key(id_col: str, text_col: str) -> Column:
+    """Digest of the text, then the id; nulls have forms of their own."""
+    return F.concat(F.coalesce(F.sha2(text_col, 256), F.lit("-")), F.coalesce(F.concat(F.lit(":"), F.col(id_col).cast("string")),
+                                                                              F.lit("")))
 
-    A group in which no document has an id keeps one of its rows.
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
+               max_bits: int = MAX_BITS, shard_points: int = SHARD_POINTS, tree_sample: int = TREE_SAMPLE) -> DataFrame:
+    """One document of each group: that with the smallest id.
+
+    Of several texts of a group under this id, the one with the smallest digest stays, and
+    of equal rows one. A group in which no document has an id keeps one of its rows. Texts
+    of different groups that share an id are kept in each group whose smallest id it is.
     """
-    own, found = _grouped(docs, id_col, text_col, **options)
-    keep = found.filter("component IS NOT NULL").select(F.col("component").alias(id_col)).distinct()
-    # Both steps deal rows by the id, so the texts are shuffled once.
-    named = docs.join(keep, id_col, "left_semi").dropDuplicates([id_col])
-    unnamed = with_fingerprints(carried(docs.filter(docs[id_col].isNull()), text_col), text_col,
-                                options.get("size", SHINGLE), "p")
-    alone = unnamed.join(found.filter("component IS NULL").select("p", "root"), "p").dropDuplicates(["root"])
-    return named.unionByName(restored(alone, docs, text_col))
+    key = _row_key(id_col, text_col)
+    own, found = _grouped(docs, id_col, text_col, size, max_bits, shard_points, tree_sample, key.alias("key"))
+    first = own.join(found, "p").filter(F.col("id").eqNullSafe(F.col("component"))).groupBy("root").agg(F.min("key").alias("__key__"))
+    # Both steps deal rows by the key, so the texts are shuffled once. Other columns stay out of the key's reach.
+    rows = carried(docs, text_col, id_col).withColumn("__key__", key)
+    kept = rows.join(first.select("__key__"), "__key__", "left_semi").dropDuplicates(["__key__"])
+    return restored(kept, docs, text_col, id_col)
