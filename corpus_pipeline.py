@@ -1,7 +1,7 @@
 """Corpus pipeline: quality, near duplicates, benchmark passages, PII, tokens.
 
-Each stage reads what the one before it wrote. All but the last return the
-columns of ``documents``.
+Each stage reads what the one before it wrote. All return the columns of
+``documents``; the last adds n_tokens, token_ids and decoded_sha256.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramline.llm import bpe, decontaminate, nbsvm, pii, simhash
-from tramline.llm.common import carried, read_table, restored
+from tramline.llm.common import carried, keep_columns, read_table, restored
 from tramline.session import scratch_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -41,9 +41,20 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, for training."""
-    encoded = bpe.encode(docs, bpe.make_codec())
-    return encoded.select("doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids")
+    """Every document with its token ids, for training, and the digest of the bytes that
+    they decode to. Ids that don't decode to the text fail the stage.
+
+    Columns of ``docs`` with the added names are replaced.
+    """
+    added = ["n_tokens", "token_ids", "decoded_sha256"]
+    kept = keep_columns(docs, added)
+    codec = bpe.make_codec()
+    encoded = bpe.encode(carried(docs, "text"), codec).withColumn("__ids__", F.col("token_ids"))
+    decoded = bpe.digests(encoded, codec, "__ids__")
+    same = F.col("decoded_sha256") == F.sha2(F.coalesce("text", F.lit("")), 256)
+    sure = F.when(same, F.col("decoded_sha256")).otherwise(F.raise_error(F.lit("token ids don't decode to their text")))
+    return decoded.select(*[F.col(c) if c == "text" else F.col("__row__")[c].alias(c) for c in kept],
+                          "n_tokens", "token_ids", sure.alias("decoded_sha256"))
 
 
 def _sized(docs: DataFrame) -> DataFrame:

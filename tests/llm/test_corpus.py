@@ -183,6 +183,23 @@ def test_pipeline_stages(spark):
         assert stage(spark, docs.limit(0), SF).count() == 0
 
 
+def test_tokens_are_decoded_and_columns_pass(spark, monkeypatch):
+    from tramline.llm import bpe
+
+    odd = odd_documents(spark)
+    made = corpus_pipeline.tokens(spark, odd, SF)
+    assert made.columns == [c for c in odd.columns if c != "token_ids"] + ["n_tokens", "token_ids", "decoded_sha256"]
+    rows = made.collect()
+    assert len(rows) == odd.count()
+    for r in rows:
+        assert r["decoded_sha256"] == sha(r["text"] or "") and r["n_tokens"] == len(r["token_ids"]) and r["kept"] == 7
+    codec = bpe.make_codec()
+    codec.bytes_of = {k: v.upper() for k, v in codec.bytes_of.items()}
+    monkeypatch.setattr(bpe, "make_codec", lambda: codec)
+    with pytest.raises(Exception, match="decode to their text"):
+        corpus_pipeline.tokens(spark, odd, SF).collect()
+
+
 def test_pipeline_equals_brute_force(spark):
     import tiktoken
 
