@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tramline.session import scratch_dir
+
 # Rows per Arrow batch for operators that run Python over whole texts: a batch of
 # the longest texts (about 120 kB each) stays near 60 MB.
 ARROW_ROWS = 512
@@ -78,6 +80,13 @@ def map_texts(
         *[c for c in df.columns if c in kept], *[f.name for f in added])
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to and read from the shared checkpoint folder: cuts the lineage."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def field(name: str, ddl: str) -> T.StructField:
     return T.StructField(name, T._parse_datatype_string(ddl) if ddl not in _SIMPLE else _SIMPLE[ddl])
 

@@ -23,8 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.common import carried, field, map_texts, restored
-from tramline.session import scratch_dir
+from tramline.llm.common import carried, field, map_texts, restored, stored
 
 SHINGLE = 3
 SEED = 42
@@ -202,14 +201,6 @@ def links(points: np.ndarray, max_bits: int = MAX_BITS, leaf: int = LEAF_POINTS)
     return points[linked], points[roots[linked]]
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to and read from the shared checkpoint folder."""
-    spark = df.sparkSession
-    path = scratch_dir(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def edges(points: DataFrame, max_bits: int = MAX_BITS, shard_points: int = SHARD_POINTS,
           tree_sample: int = TREE_SAMPLE, max_shards: int = MAX_SHARDS) -> DataFrame:
     """Links between distinct fingerprints (column ``p``) as (p, q), q < p unsigned.
@@ -238,17 +229,17 @@ def edges(points: DataFrame, max_bits: int = MAX_BITS, shard_points: int = SHARD
             .groupBy("shard").applyInArrow(linked, "p long, q long").distinct())
 
 
-def components(pairs: DataFrame, checkpoint: Callable[[DataFrame, str], DataFrame] = _stored) -> DataFrame:
+def components(pairs: DataFrame, checkpoint: Callable[[DataFrame, str], DataFrame] = stored) -> DataFrame:
     """Smallest reachable vertex ``root`` for every vertex ``p`` of the links (p, q).
 
     Alternates "link each neighbour to the smallest one" over larger and over
-    smaller neighbours until the links are stars; each round is written to the
-    shared folder. Numbers compare as signed longs.
+    smaller neighbours until the links are stars, which they often are from the start;
+    each round is written to the shared folder. Numbers compare as signed longs.
     """
     larger = F.greatest("p", "q")
     smaller = F.least("p", "q")
     links_now = checkpoint(pairs.select(larger.alias("p"), smaller.alias("q")).filter("p != q").distinct(), "links")
-    while True:
+    while not _are_stars(links_now):
         # Large star: every vertex's larger neighbours go to its smallest neighbour or itself.
         both = links_now.select("p", "q").union(links_now.select(F.col("q").alias("p"), F.col("p").alias("q")))
         least = both.groupBy("p").agg(F.least("p", F.min("q")).alias("m"))
@@ -259,17 +250,23 @@ def components(pairs: DataFrame, checkpoint: Callable[[DataFrame, str], DataFram
         low = moved.groupBy("u").agg(F.min("m").alias("t"))
         small = (moved.join(low, "u").select(F.explode(F.array("u", "m")).alias("p"), F.col("t").alias("q"))
                  .filter("p != q").distinct())
-        after = checkpoint(small, "small")
-        if after.exceptAll(links_now).isEmpty() and links_now.exceptAll(after).isEmpty():
-            return after.select("p", F.col("q").alias("root"))
-        links_now = after
+        links_now = checkpoint(small, "small")
+    return links_now.select("p", F.col("q").alias("root"))
+
+
+def _are_stars(pairs: DataFrame) -> bool:
+    """Whether every p has one q, and no q is a p."""
+    ends = F.explode(F.array(F.struct(F.col("p").alias("v"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+                             F.struct(F.col("q").alias("v"), F.lit(0).alias("up"), F.lit(1).alias("down"))))
+    seen = pairs.select(ends.alias("e")).select("e.*").groupBy("v").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return seen.filter("up > 1 OR (up = 1 AND down = 1)").isEmpty()
 
 
 def classes(points: DataFrame, max_bits: int = MAX_BITS, shard_points: int = SHARD_POINTS,
             tree_sample: int = TREE_SAMPLE) -> DataFrame:
     """``points`` (p, least) with ``root``, a point that stands for p's component, and
     ``component``, the least value over it."""
-    roots = _stored(components(edges(points, max_bits, shard_points, tree_sample)), "roots")
+    roots = stored(components(edges(points, max_bits, shard_points, tree_sample)), "roots")
     members = roots.union(roots.select(F.col("root").alias("p"), "root").distinct())
     linked = members.join(points, "p").select("p", "root", "least")
     best = linked.groupBy("root").agg(F.min("least").alias("component"))
@@ -298,9 +295,9 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE, m
     """(id, p) and the ``further`` columns of every row, and (p, root, component) of every
     distinct fingerprint."""
     own = with_fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *further), "text", size, "p")
-    own = _stored(own.drop("text"), "fingerprints")
-    points = _stored(own.groupBy("p").agg(F.min("id").alias("least")), "points")
-    return own, _stored(classes(points, max_bits, shard_points, tree_sample), "classes")
+    own = stored(own.drop("text"), "fingerprints")
+    points = stored(own.groupBy("p").agg(F.min("id").alias("least")), "points")
+    return own, stored(classes(points, max_bits, shard_points, tree_sample), "classes")
 
 
 def _row_key(id_col: str, text_col: str) -> Column:
