@@ -80,10 +80,11 @@ def map_texts(
         *[c for c in df.columns if c in kept], *[f.name for f in added])
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to and read from the shared checkpoint folder: cuts the lineage."""
+def stored(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """``df`` written to and read from the shared checkpoint folder: cuts the lineage.
+    Columns in ``by`` become folders, so that filters on them read only their rows."""
     path = scratch_dir(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
