@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramline.llm import (
+    align,
     bpe,
     chat,
     compression,
@@ -97,6 +98,11 @@ def op10_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers' tokens in every document."""
+    return align.scored(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes of the trie over all rebuilt conversations."""
     return trie.prefix_trie(trie.rebuilt(read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")))
@@ -109,8 +115,8 @@ def op13_lattice_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, Query] = {f.__name__: f for f in (
     op1_secret_scan, op2_license_scan, op3_byte_bpe, op4_chat_format, op5_pii_pseudonyms, op6_url_filter,
-    op7_compression_bands, op8_nbsvm_quality, op9_suffix_decontam, op10_simhash_vptree, op12_prefix_trie,
-    op13_lattice_neardup)}
+    op7_compression_bands, op8_nbsvm_quality, op9_suffix_decontam, op10_simhash_vptree,
+    op11_token_alignment, op12_prefix_trie, op13_lattice_neardup)}
 
 #: op6's rules by length and host for DuckDB; op4's template unfolded for its three roles;
 #: op9's windows as rows. The other operators have brute-force tests in tests/llm.
