@@ -24,8 +24,10 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
+from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -40,17 +42,21 @@ BYTE_VOCABULARY = "byte_bpe_50k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
 # The tokenizers' files travel to every executor; larger ones are refused.
 MAX_MODEL_BYTES = 64 << 20
-# Text pieces remembered per Python worker, in each of two generations (about 500 bytes
+# Text pieces remembered per Python worker, in each of two generations (about 400 bytes
 # each), and how long they may be. A speed-up alone: results don't depend on it.
-MEMO_ENTRIES = 1 << 17
+MEMO_ENTRIES = 1 << 18
 MEMO_CHARS = 48
 # Characters of text aligned at once; a longer text is aligned by itself.
 FRAME_CHARS = 1 << 20
+# Pairs of a group that are listed one by one; those of larger groups are counted by ids.
+MAX_GROUP_PAIRS = 4096
 # Id pairs whose counts may be broadcast (about 60 bytes each in an executor); more are joined by shuffle.
 MAX_BROADCAST_PAIRS = 4_000_000
 
 #: A single space between characters that neither Python nor a tokenizer takes for a blank.
 _CUT = re.compile(r"(?<=[^\s\u180e]) (?=[^\s\u180e])")
+# The end of the Latin, Greek and Cyrillic blocks, whose letters have long been settled.
+LAST_PLAIN = "\u052f"
 _PAIR = np.dtype([("id", "<i4"), ("end", "<i4")])
 
 
@@ -76,9 +82,12 @@ class Sides:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model)
         letters = byte_alphabet()
-        self.a_bytes: dict[int, bytes] = {i: _letters(t, letters) for t, i in self.a.get_vocab().items()}
-        self.b_bytes = {i: self._piece(i) for i in range(self.b.get_piece_size())}
-        self.cuts = self._cuttable(json.loads(vocabulary))
+        vocab = {i: _letters(t, letters) for t, i in self.a.get_vocab().items()}
+        self.a_bytes = [vocab.get(i, b"") for i in range(max(vocab) + 1)]
+        self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
+        made = json.loads(vocabulary)
+        self.cuts = self._cuttable(made)
+        self.ranked = self._ranked(made) if self.cuts else None
         self.memo: dict[str, tuple] = {}
         self.older: dict[str, tuple] = {}
 
@@ -92,6 +101,18 @@ class Sides:
         words = made["normalizer"] is None and split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
         return bool(words) and not any(re.search("[^▁]▁", self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))
 
+    def _ranked(self, made: dict):
+        """The byte-level vocabulary for merging by id; None if its ids don't follow its merges."""
+        import tiktoken
+
+        ids, merges = made["model"]["vocab"], made["model"]["merges"]
+        first = len(byte_alphabet())
+        joined = ("".join(m if isinstance(m, list) else m.split(" ")) for m in merges)
+        if len(ids) != first + len(merges) or any(ids.get(t) != first + k for k, t in enumerate(joined)):
+            return None
+        return tiktoken.Encoding("byte-level", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                                 mergeable_ranks={self.a_bytes[i]: i for i in ids.values()})
+
     def pieces(self, text: str) -> list[str]:
         return _CUT.split(text) if self.cuts else [text]
 
@@ -100,43 +121,60 @@ class Sides:
 
         Bytes count the space before the piece.
         """
-        memo, older = self.memo, self.older
-        new = []
-        for p in set(pieces):
-            if p not in memo:
-                if p in older:
-                    memo[p] = older[p]
-                else:
-                    new.append(p)
-        fresh = dict(zip(new, self._encoded(new), strict=True))
-        out = [memo.get(p) or fresh[p] for p in pieces]
-        if len(memo) > MEMO_ENTRIES:
-            self.older, self.memo = memo, {}
-        self.memo.update((p, e) for p, e in fresh.items() if len(p) <= MEMO_CHARS)
+        out = list(map(self.memo.get, pieces))
+        open_ = [i for i, e in enumerate(out) if e is None]
+        if open_:
+            asked = {pieces[i] for i in open_}
+            found = {p: self.older[p] for p in asked if p in self.older}
+            new = [p for p in asked if p not in found]
+            found.update(zip(new, self._encoded(new), strict=True))
+            for i in open_:
+                out[i] = found[pieces[i]]
+            if len(self.memo) > MEMO_ENTRIES:
+                self.older, self.memo = self.memo, {}
+            self.memo.update((p, e) for p, e in found.items() if len(p) <= MEMO_CHARS)
         return out
 
     def _encoded(self, pieces: list[str]) -> Iterator[tuple]:
         for k in range(0, len(pieces), 4096):
             some = pieces[k:k + 4096]
-            of_a = self.a.encode_batch([" " + p for p in some], add_special_tokens=False)
-            of_b = self.b.encode(some, num_threads=1)
-            for p, x, b in zip(some, of_a, of_b, strict=True):
-                data = b" " + p.encode()
-                a = x.ids
-                left, right = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-                ok = b"".join(left) == data and b"".join(right) == data
-                yield (_packed(a, left), _packed(b, right), len(a), len(b), len(data), ok)
+            data = [b" " + p.encode() for p in some]
+            of_a = self._byte_level(some)
+            left, right = _packed(of_a, self.a_bytes, data), _packed(self.b.encode(some, num_threads=1), self.b_bytes, data)
+            for d, (a, n_a, a_ok), (b, n_b, b_ok) in zip(data, left, right, strict=True):
+                yield a, b, n_a, n_b, len(d), a_ok and b_ok
+
+
+    def _byte_level(self, pieces: list[str]) -> list[list[int]]:
+        """A's ids. Where the vocabulary's ids are in the order of its merges, merging by id is
+        merging by rule, and tiktoken does that in a quarter of the time; pieces with letters
+        that the libraries' Unicode tables might disagree on go to the vocabulary's own library."""
+        plain = [self.ranked is not None and max(p, default="") <= LAST_PLAIN for p in pieces]
+        rest = [" " + p for p, fast in zip(pieces, plain, strict=True) if not fast]
+        slow = (x.ids for x in self.a.encode_batch(rest, add_special_tokens=False))
+        return [self.ranked.encode_ordinary(" " + p) if fast else next(slow) for p, fast in zip(pieces, plain, strict=True)]
 
 
 def _letters(token: str, letters: dict[str, int]) -> bytes:
     return bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
 
 
-def _packed(ids: list[int], data: list[bytes]) -> bytes:
-    out = np.empty(len(ids), _PAIR)
-    out["id"] = ids
-    out["end"] = np.cumsum(np.fromiter(map(len, data), np.int32, len(data)))
-    return out.tobytes()
+def _packed(ids: list[list[int]], table: list[bytes], data: list[bytes]) -> list[tuple[bytes, int, bool]]:
+    """(ids and ends as bytes, number of ids, whether they spell the data) per list of ids."""
+    counts = list(map(len, ids))
+    flat = list(chain.from_iterable(ids))
+    spelled = list(map(table.__getitem__, flat))
+    stops = np.cumsum(counts)
+    starts = stops - counts
+    total = np.concatenate(([0], np.cumsum(np.array(list(map(len, spelled)), np.int64))))
+    out = np.empty(len(flat), _PAIR)
+    out["id"] = flat
+    out["end"] = total[1:] - np.repeat(total[starts], counts)
+    # All lists at once; one by one only where something differs.
+    same = b"".join(spelled) == b"".join(data) and np.array_equal(total[stops] - total[starts], list(map(len, data)))
+    whole, width = out.tobytes(), _PAIR.itemsize
+    return [(whole[width * i:width * j], j - i, same or b"".join(spelled[i:j]) == d)
+            for i, j, d in zip(starts.tolist(), stops.tolist(), data, strict=True)]
 
 
 def read_models(byte_path: str | None = None, piece_path: str | None = None) -> tuple[bytes, bytes]:
@@ -157,13 +195,13 @@ def sides(models: tuple[bytes, bytes]) -> Sides:
     return Sides(*models)
 
 
-def side_frame(entries: list[tuple], side: int, docs: np.ndarray, offsets: np.ndarray) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
+def side_frame(packed: Sequence[bytes], counts: Sequence[int], docs: np.ndarray,
+               offsets: np.ndarray) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
     """One side's tokens as a frame (doc, start, token), with their ends and ids.
 
     ``docs`` has the document of each piece, ``offsets`` the place of its first byte among all.
     """
-    flat = np.frombuffer(b"".join([e[side] for e in entries]), _PAIR)
-    counts = np.fromiter((e[2 + side] for e in entries), np.int64, len(entries))
+    flat = np.frombuffer(b"".join(packed), _PAIR)
     doc = np.repeat(docs, counts)
     end = np.repeat(offsets, counts) + flat["end"]
     # Pieces follow each other without gaps, and so do tokens.
@@ -184,65 +222,70 @@ def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
             np.concatenate([onto_b["token_b"].to_numpy(np.int64), later["token_b"].to_numpy()]))
 
 
-def apart(group_a: np.ndarray, group_b: np.ndarray, n_groups: int, ids_a: np.ndarray, ids_b: np.ndarray,
-          known: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+def apart(group_a: np.ndarray, group_b: np.ndarray, n_groups: int, range_a: np.ndarray,
+          range_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[int]]:
     """Links of groups with two tokens or more on both sides that ``overlaps`` doesn't have.
 
-    Yields (ids of A, ids of B, times, group). A group's pairs are counted by ids at once:
-    all pairs of its distinct ids, less the overlapping ones.
+    ``range_a`` and ``range_b`` have the tokens' starts and ends. Groups of more than
+    ``MAX_GROUP_PAIRS`` pairs are returned by number instead.
     """
     n_a, n_b = np.bincount(group_a, minlength=n_groups), np.bincount(group_b, minlength=n_groups)
-    many = np.flatnonzero((n_a > 1) & (n_b > 1))
-    if not len(many):
-        return
-    first_a, first_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
-    of_group = group_a[known[0]]
-    at = np.argsort(of_group, kind="stable")
-    cuts = np.searchsorted(of_group[at], np.stack([many, many + 1]))
-    for k, g in enumerate(many.tolist()):
-        xs, nx = np.unique(ids_a[first_a[g]:first_a[g] + n_a[g]], return_counts=True)
-        ys, ny = np.unique(ids_b[first_b[g]:first_b[g] + n_b[g]], return_counts=True)
-        times = np.outer(nx, ny)
-        pairs = at[cuts[0, k]:cuts[1, k]]
-        np.subtract.at(times, (np.searchsorted(xs, ids_a[known[0][pairs]]), np.searchsorted(ys, ids_b[known[1][pairs]])), 1)
-        i, j = np.nonzero(times)
-        if len(i):
-            yield xs[i], ys[j], times[i, j], g
+    many = (n_a > 1) & (n_b > 1)
+    large = n_a * n_b > MAX_GROUP_PAIRS
+    some = np.flatnonzero(many & ~large)
+    first_a, first_b = (np.cumsum(n_a) - n_a)[some], (np.cumsum(n_b) - n_b)[some]
+    width, pairs = n_b[some], n_a[some] * n_b[some]
+    at = np.arange(pairs.sum()) - np.repeat(np.cumsum(pairs) - pairs, pairs)
+    i = np.repeat(first_a, pairs) + at // np.repeat(width, pairs)
+    j = np.repeat(first_b, pairs) + at % np.repeat(width, pairs)
+    off = (range_a[0][i] >= range_b[1][j]) | (range_b[0][j] >= range_a[1][i])
+    return i[off], j[off], np.flatnonzero(many & large).tolist()
+
+
+def _large_group(ids_a: np.ndarray, ids_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All pairs of a group's tokens, counted by ids: (ids of A, ids of B, times)."""
+    xs, nx = np.unique(ids_a, return_counts=True)
+    ys, ny = np.unique(ids_b, return_counts=True)
+    return np.repeat(xs, len(ys)), np.tile(ys, len(xs)), np.outer(nx, ny).ravel()
 
 
 def align_texts(texts: list[str], tools: Sides) -> list[tuple]:
     """(n_a, n_b, n_groups, n_links, groups, id pairs, times) per text; pairs are a * size of B + b."""
     size_b = len(tools.b_bytes)
     split = [tools.pieces(t) if t else [] for t in texts]
-    encoded = tools.encode([p for x in split for p in x])
-    docs, entries, at = [], [], 0
-    for d, x in enumerate(split):
-        own = encoded[at:at + len(x)]
-        at += len(x)
-        if all(e[5] for e in own):
-            entries += own
-            docs += [d] * len(own)
+    encoded = tools.encode(list(chain.from_iterable(split)))
+    of_piece = np.repeat(np.arange(len(texts)), list(map(len, split)))
+    if not all(map(itemgetter(5), encoded)):
+        # Documents that a side doesn't spell have no tokens.
+        bad = np.zeros(len(texts), bool)
+        bad[of_piece[[not e[5] for e in encoded]]] = True
+        keep = ~bad[of_piece]
+        encoded, of_piece = [e for e, k in zip(encoded, keep.tolist(), strict=True) if k], of_piece[keep]
     none = (0, 0, 0, 0, "", [], [])
-    if not entries:
+    if not encoded:
         return [none] * len(texts)
-    of_piece = np.array(docs)
-    sizes = np.fromiter((e[4] for e in entries), np.int64, len(entries))
+    columns = list(zip(*encoded, strict=True))
+    sizes = np.array(columns[4], np.int64)
     offsets = np.cumsum(sizes) - sizes
-    a, end_a, ids_a = side_frame(entries, 0, of_piece, offsets)
-    b, end_b, ids_b = side_frame(entries, 1, of_piece, offsets)
+    a, end_a, ids_a = side_frame(columns[0], columns[2], of_piece, offsets)
+    b, end_b, ids_b = side_frame(columns[1], columns[3], of_piece, offsets)
     pair_a, pair_b = overlaps(a, b)
     ends = np.intersect1d(end_a, end_b, assume_unique=True)
     group_a, group_b = np.searchsorted(ends, end_a), np.searchsorted(ends, end_b)
     doc_a, doc_b = a["doc"].to_numpy(), b["doc"].to_numpy()
     group_doc = np.empty(len(ends), np.int64)
     group_doc[group_a] = doc_a
-    span = (max(tools.a_bytes) + 1) * size_b
-    keys, times = [doc_a[pair_a] * span + ids_a[pair_a] * size_b + ids_b[pair_b]], [np.ones(len(pair_a), np.int64)]
-    for x, y, n, g in apart(group_a, group_b, len(ends), ids_a, ids_b, (pair_a, pair_b)):
-        keys.append(group_doc[g] * span + x * size_b + y)
-        times.append(n)
-    distinct, where = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(where, np.concatenate(times), len(distinct)).astype(np.int64)
+    span = len(tools.a_bytes) * size_b
+    off_a, off_b, large = apart(group_a, group_b, len(ends), np.stack([a["start"].to_numpy(), end_a]), np.stack([b["start"].to_numpy(), end_b]))
+    if large:  # their overlapping pairs are among all their pairs
+        small = ~np.isin(group_a[pair_a], large)
+        pair_a, pair_b = pair_a[small], pair_b[small]
+    keys = [doc_a[i] * span + ids_a[i] * size_b + ids_b[j] for i, j in ((pair_a, pair_b), (off_a, off_b))]
+    distinct, total = np.unique(np.concatenate(keys), return_counts=True)
+    for g in large:
+        x, y, times = _large_group(ids_a[group_a == g], ids_b[group_b == g])
+        distinct, where = np.unique(np.concatenate([distinct, group_doc[g] * span + x * size_b + y]), return_inverse=True)
+        total = np.bincount(where, np.concatenate([total, times]), len(distinct)).astype(np.int64)
     n = len(texts)
     n_a, n_b, n_g = (np.bincount(x, minlength=n).tolist() for x in (doc_a, doc_b, group_doc))
     bounds = np.searchsorted(distinct, np.arange(n + 1) * span).tolist()
