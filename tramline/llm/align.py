@@ -21,6 +21,7 @@ rows are documents of their own.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
@@ -88,6 +89,7 @@ class Sides:
         made = json.loads(vocabulary)
         self.cuts = self._cuttable(made)
         self.ranked = self._ranked(made) if self.cuts else None
+        self.line_end = self.a_bytes.index(b"\n")
         self.memo: dict[str, tuple] = {}
         self.older: dict[str, tuple] = {}
 
@@ -149,10 +151,25 @@ class Sides:
         """A's ids. Where the vocabulary's ids are in the order of its merges, merging by id is
         merging by rule, and tiktoken does that in a quarter of the time; pieces with letters
         that the libraries' Unicode tables might disagree on go to the vocabulary's own library."""
-        plain = [self.ranked is not None and max(p, default="") <= LAST_PLAIN for p in pieces]
-        rest = [" " + p for p, fast in zip(pieces, plain, strict=True) if not fast]
-        slow = (x.ids for x in self.a.encode_batch(rest, add_special_tokens=False))
-        return [self.ranked.encode_ordinary(" " + p) if fast else next(slow) for p, fast in zip(pieces, plain, strict=True)]
+        if self.ranked is None:
+            return [x.ids for x in self.a.encode_batch([" " + p for p in pieces], add_special_tokens=False)]
+        out: list = [None] * len(pieces)
+        plain = [i for i, p in enumerate(pieces) if p and max(p) <= LAST_PLAIN]
+        # Pieces without blanks are encoded in one go: a line end between two is a token of its own.
+        solid = [i for i in plain if pieces[i].split() == [pieces[i]]]
+        ids = self.ranked.encode_ordinary("".join([f" {pieces[i]}\n" for i in solid]))
+        at = 0
+        for i in solid:
+            end = ids.index(self.line_end, at)
+            out[i] = ids[at:end]
+            at = end + 1
+        for i in plain:
+            if out[i] is None:
+                out[i] = self.ranked.encode_ordinary(" " + pieces[i])
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(rest, self.a.encode_batch([" " + pieces[i] for i in rest], add_special_tokens=False), strict=True):
+            out[i] = x.ids
+        return out
 
 
 def _letters(token: str, letters: dict[str, int]) -> bytes:
@@ -216,10 +233,11 @@ def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     start together is found from both sides and taken once.
     """
     onto_b = pd.merge_asof(a, b, on="start", by="doc", suffixes=("_a", "_b"))
-    onto_a = pd.merge_asof(b, a.assign(at=a["start"]), on="start", by="doc", suffixes=("_b", "_a"))
-    later = onto_a[onto_a["at"] != onto_a["start"]]
-    return (np.concatenate([onto_b["token_a"].to_numpy(), later["token_a"].to_numpy(np.int64)]),
-            np.concatenate([onto_b["token_b"].to_numpy(np.int64), later["token_b"].to_numpy()]))
+    starts = a["start"].to_numpy()
+    at = np.minimum(np.searchsorted(starts, b["start"].to_numpy()), len(starts) - 1)
+    onto_a = pd.merge_asof(b[starts[at] != b["start"].to_numpy()], a, on="start", by="doc", suffixes=("_b", "_a"))
+    return (np.concatenate([onto_b["token_a"].to_numpy(), onto_a["token_a"].to_numpy(np.int64)]),
+            np.concatenate([onto_b["token_b"].to_numpy(np.int64), onto_a["token_b"].to_numpy()]))
 
 
 def apart(group_a: np.ndarray, group_b: np.ndarray, n_groups: int, range_a: np.ndarray,
@@ -250,6 +268,18 @@ def _large_group(ids_a: np.ndarray, ids_b: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def align_texts(texts: list[str], tools: Sides) -> list[tuple]:
+    """``_aligned`` without the collector of reference cycles, which would walk the memo's tuples
+    again and again; nothing here makes cycles."""
+    was_on = gc.isenabled()
+    gc.disable()
+    try:
+        return _aligned(texts, tools)
+    finally:
+        if was_on:
+            gc.enable()
+
+
+def _aligned(texts: list[str], tools: Sides) -> list[tuple]:
     """(n_a, n_b, n_groups, n_links, groups, id pairs, times) per text; pairs are a * size of B + b."""
     size_b = len(tools.b_bytes)
     split = [tools.pieces(t) if t else [] for t in texts]
@@ -310,13 +340,18 @@ def _spelled(ids_a: np.ndarray, ids_b: np.ndarray, group_a: np.ndarray, group_b:
     out = np.empty(len(ids_a) + len(ids_b), object)
     for ids, group, at, mark in ((ids_a, group_a, np.arange(len(ids_a)) + before_b[group_a], "|"),
                                  (ids_b, group_b, np.arange(len(ids_b)) + (before_a + n_a)[group_b], ";")):
-        distinct, where = np.unique(ids, return_inverse=True)
-        words = np.array([f"{i}{m}" for m in (",", mark) for i in distinct.tolist()], object)
+        size = 1 << int(ids.max()).bit_length()
         ends_group = np.concatenate((group[1:] != group[:-1], [True]))
-        out[at] = words[where + ends_group * len(distinct)]
+        out[at] = _marked(size, mark)[ids + ends_group * size]
     return out.tolist()
 
 
+@lru_cache(maxsize=64)
+def _marked(size: int, mark: str) -> np.ndarray:
+    """Numbers below ``size`` as text with a comma, then with the mark behind them."""
+    return np.array([f"{i}{m}" for m in (",", mark) for i in range(size)], object)
+
+
 def align(docs: DataFrame, text_col: str = "text", models: tuple[bytes, bytes] | None = None) -> DataFrame:
     """``docs`` with n_a, n_b, n_groups, n_links, groups_sha256, pairs and times.
 
