@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,6 +89,22 @@ def stored(df: DataFrame, name: str, *by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def merge_groups(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Join the groups of linked positions; ``label`` has each one's smallest member so far."""
+    while True:
+        a, b = label[i], label[j]
+        open_ = a != b
+        if not open_.any():
+            return
+        i, j, a, b = i[open_], j[open_], a[open_], b[open_]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while True:
+            up = label[label]
+            if np.array_equal(up, label):
+                break
+            label[:] = up
+
+
 def field(name: str, ddl: str) -> T.StructField:
     return T.StructField(name, T._parse_datatype_string(ddl) if ddl not in _SIMPLE else _SIMPLE[ddl])
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.common import stored
+from tramline.llm.common import merge_groups, stored
 from tramline.llm.simhash import components
 
 MIN_COSINE = 0.93
@@ -129,23 +129,6 @@ def margin(size: int) -> float:
     return 1.02 * np.sqrt(size) / _STEP + size * 1e-7
 
 
-def _merge(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
-    """Join the groups of linked positions; ``label`` holds each one's smallest member so far."""
-    while True:
-        a, b = label[i], label[j]
-        open_ = a != b
-        if not open_.any():
-            return
-        i, j = i[open_], j[open_]
-        a, b = a[open_], b[open_]
-        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
-        while True:
-            up = label[label]
-            if np.array_equal(up, label):
-                break
-            label[:] = up
-
-
 def compare_cell(q: np.ndarray, weight: np.ndarray, side: np.ndarray | None, lattice: Lattice, table: int, code: int,
                  min_cosine: float, bound: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Links among the rows of one cell, or between two blocks of it.
@@ -175,7 +158,7 @@ def compare_cell(q: np.ndarray, weight: np.ndarray, side: np.ndarray | None, lat
                 i, j, sure = i[later], j[later], sure[later]
             if not len(i):
                 continue
-            _merge(label, i[sure], j[sure])
+            merge_groups(label, i[sure], j[sure])
             cells = lattice.cells(q) if cells is None else cells
             first = _first_meeting(cells, i, j, table, code)
             unsure.append((i[first & ~sure], j[first & ~sure]))

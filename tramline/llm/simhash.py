@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.common import carried, field, map_texts, restored, stored
+from tramline.llm.common import carried, field, map_texts, merge_groups, restored, stored
 
 SHINGLE = 3
 SEED = 42
@@ -35,6 +35,9 @@ MAX_SHARDS = 16_384
 # Fingerprints a shard should hold, and below which a group is compared pair by pair.
 SHARD_POINTS = 4_000
 LEAF_POINTS = 512
+# Points that no vantage point divides and that one task still compares; larger groups
+# are cut into blocks of this size, whose pairs go to tasks of their own.
+DENSE_POINTS = 8_192
 # Shingle hashes whose bits are counted at once.
 BLOCK = 1 << 16
 
@@ -151,32 +154,17 @@ def deal(points: np.ndarray, root: Node, max_bits: int) -> Iterator[tuple[int, n
         todo += [(node.near, near), (node.far, far)]
 
 
-class _Forest:
-    """Union-find over positions of an array."""
-
-    def __init__(self, n: int) -> None:
-        self.up = list(range(n))
-
-    def root(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = i = self.up[self.up[i]]
-        return i
-
-    def join(self, i: int, j: int) -> None:
-        i, j = self.root(i), self.root(j)
-        if i != j:
-            self.up[max(i, j)] = min(i, j)
-
-
-def links(points: np.ndarray, max_bits: int = MAX_BITS, leaf: int = LEAF_POINTS) -> tuple[np.ndarray, np.ndarray]:
-    """(point, smallest point of its group) for linked points of one shard.
+def links(points: np.ndarray, max_bits: int = MAX_BITS, leaf: int = LEAF_POINTS,
+          dense: int = DENSE_POINTS) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(point, smallest point of its group) for linked points of one shard, and what is left.
 
     Groups are the components of the links among ``points``; single points are left
-    out, so no list of all pairs arises. Groups that no vantage point divides are
-    compared in blocks.
+    out, so no list of all pairs arises. A group of more than ``dense`` points that no vantage
+    point divides isn't compared here but returned whole, to be dealt to other tasks.
     """
     points = np.unique(points)
-    forest = _Forest(len(points))
+    label = np.arange(len(points))
+    left = []
     rng = np.random.default_rng(2)
     todo = [np.arange(len(points))]
     while todo:
@@ -186,23 +174,35 @@ def links(points: np.ndarray, max_bits: int = MAX_BITS, leaf: int = LEAF_POINTS)
         if split is not None:
             _, radius, d = split
             todo += list(_sides(at, d, radius, max_bits))
-            continue
-        for a in range(0, len(at), leaf):
-            block = own[a:a + leaf, None]
-            for b in range(a, len(at), 8 * leaf):
-                near = np.bitwise_count(block ^ own[None, b:b + 8 * leaf]) <= max_bits
-                rows, cols = np.nonzero(near)
-                rows, cols = rows + a, cols + b
-                later = cols > rows
-                for i, j in zip(at[rows[later]].tolist(), at[cols[later]].tolist(), strict=True):
-                    forest.join(i, j)
-    roots = np.array([forest.root(i) for i in range(len(points))], np.int64)
-    linked = roots != np.arange(len(points))
-    return points[linked], points[roots[linked]]
+        elif len(at) > dense:
+            left.append(own)
+        else:
+            _compare(points, at, at, label, max_bits)
+    linked = label != np.arange(len(points))
+    return points[linked], points[label[linked]], left
+
+
+def _compare(points: np.ndarray, one: np.ndarray, two: np.ndarray, label: np.ndarray, max_bits: int) -> None:
+    """Join the groups of all linked pairs between two lists of positions, in blocks."""
+    for a in range(0, len(one), LEAF_POINTS):
+        block = points[one[a:a + LEAF_POINTS], None]
+        for b in range(a if two is one else 0, len(two), 8 * LEAF_POINTS):
+            i, j = np.nonzero(np.bitwise_count(block ^ points[None, two[b:b + 8 * LEAF_POINTS]]) <= max_bits)
+            merge_groups(label, one[i + a], two[j + b])
+
+
+def block_links(low: np.ndarray, high: np.ndarray | None, max_bits: int = MAX_BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Linked points within one block, or between two, as (point, smallest point of its group)."""
+    points = np.unique(low) if high is None else np.unique(np.concatenate([low, high]))
+    label = np.arange(len(points))
+    one = np.searchsorted(points, np.unique(low))
+    _compare(points, one, one if high is None else np.searchsorted(points, np.unique(high)), label, max_bits)
+    linked = label != np.arange(len(points))
+    return points[linked], points[label[linked]]
 
 
 def edges(points: DataFrame, max_bits: int = MAX_BITS, shard_points: int = SHARD_POINTS,
-          tree_sample: int = TREE_SAMPLE, max_shards: int = MAX_SHARDS) -> DataFrame:
+          tree_sample: int = TREE_SAMPLE, max_shards: int = MAX_SHARDS, dense_points: int = DENSE_POINTS) -> DataFrame:
     """Links between distinct fingerprints (column ``p``) as (p, q), q < p unsigned.
 
     The links' components are those of all pairs within ``max_bits``.
@@ -222,11 +222,34 @@ def edges(points: DataFrame, max_bits: int = MAX_BITS, shard_points: int = SHARD
                     [pa.array(np.full(len(some), shard, np.int32)), pa.array(some.view(np.int64))], names=["shard", "p"])
 
     def linked(table: pa.Table) -> pa.Table:
-        some, to = links(table.column("p").to_numpy().view(np.uint64), max_bits)
+        some, to, left = links(table.column("p").to_numpy().view(np.uint64), max_bits, dense=dense_points)
+        whole = np.concatenate([some, *left]).view(np.int64)
+        ball = np.repeat(np.arange(len(left) + 1), [len(some), *map(len, left)]) - 1
+        none = np.concatenate([np.zeros(len(some), bool), *[np.ones(len(x), bool) for x in left]])
+        goal = np.concatenate([to.view(np.int64), np.zeros(len(whole) - len(some), np.int64)])
+        shard = table.column("shard")[0].as_py() if len(table) else 0
+        return pa.table({"p": whole, "q": pa.array(goal, mask=none), "shard": np.full(len(whole), shard, np.int32),
+                         "ball": pa.array(ball, pa.int32())})
+
+    def blocked(table: pa.Table) -> pa.Table:
+        p, side = table.column("p").to_numpy().view(np.uint64), table.column("side").to_numpy()
+        same = table.column("lo")[0] == table.column("hi")[0]
+        some, to = block_links(p if same else p[side == 0], None if same else p[side == 1], max_bits)
         return pa.table({"p": some.view(np.int64), "q": to.view(np.int64)})
 
-    return (points.select("p").mapInArrow(dealt, "shard int, p long")
-            .groupBy("shard").applyInArrow(linked, "p long, q long").distinct())
+    made = stored(points.select("p").mapInArrow(dealt, "shard int, p long")
+                  .groupBy("shard").applyInArrow(linked, "p long, q long, shard int, ball int"), "shard-links")
+    found = made.filter("ball < 0").select("p", "q")
+    # Balls: a point of block b meets every block c in task (min, max), on its own side.
+    balls = made.filter("ball >= 0").select("shard", "ball", "p")
+    sizes = balls.groupBy("shard", "ball").agg(F.ceil(F.count(F.lit(1)) / dense_points).cast("int").alias("blocks"))
+    if not sizes.isEmpty():
+        pairs = (balls.join(sizes, ["shard", "ball"]).withColumn("b", F.pmod(F.xxhash64("p"), F.col("blocks")).cast("int"))
+                 .withColumn("c", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                 .select("shard", "ball", F.least("b", "c").alias("lo"), F.greatest("b", "c").alias("hi"),
+                         (F.col("b") > F.col("c")).cast("int").alias("side"), "p"))
+        found = found.union(pairs.groupBy("shard", "ball", "lo", "hi").applyInArrow(blocked, "p long, q long"))
+    return found.distinct()
 
 
 def components(pairs: DataFrame, checkpoint: Callable[[DataFrame, str], DataFrame] = stored) -> DataFrame:
