@@ -1,7 +1,7 @@
 """Benchmark decontamination with a generalised suffix automaton.
 
 The test items' normalised words form one suffix automaton per bounded shard of
-items. Documents stream through it word by word; the automaton's state keeps the
+items, each built in a task. Documents stream through it word by word; the automaton's state keeps the
 longest suffix read so far that occurs in some item. Where that length reaches
 the window (13 words) an item window ends; an item shorter than a window must
 occur whole. Words inside any such occurrence are hit.
@@ -16,15 +16,18 @@ items without words match nothing. Repeated items (same item id) count once.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.common import carried, field, keep_columns, map_texts, restored
+from tramline.llm.common import carried, field, keep_columns, map_texts, restored, stored
 
 WINDOW = 13
 # A document is contaminated if its hit words are at least 1/20 of its words.
@@ -165,26 +168,38 @@ class Automaton:
                     found |= items
 
 
-def shards(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW,
-           shard_words: int = SHARD_WORDS) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """The items, cut into groups of about ``shard_words`` words, one at a time.
+def automata(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW,
+             shard_words: int = SHARD_WORDS) -> tuple[DataFrame, int]:
+    """(shard, automaton) rows, and the number of shards.
 
-    An item longer than that is cut into pieces that overlap by window - 1 words,
-    so that every window stays whole. Null ids are named "null".
+    Items are dealt to shards of about ``shard_words`` words by a hash, and every automaton is
+    built in a task of its own, pickled and stored. An item longer than a shard is cut into pieces that
+    overlap by window - 1 words, so that every window stays whole. Null ids are named "null".
     """
-    items = benchmark.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text"))
-    group: list[tuple[str, list[bytes]]] = []
-    room = shard_words
-    for row in items.orderBy("item", "text").toLocalIterator():
-        words = words_of(row["text"])
-        for a in range(0, max(1, len(words) - window + 1), shard_words):
-            piece = words[a:a + shard_words + window - 1]
-            if group and room < len(piece):
-                yield group
-                group, room = [], shard_words
-            room -= len(piece)
-            group.append((row["item"] if row["item"] is not None else "null", piece))
-    yield group
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                words = words_of(text)
+                for a in range(0, len(words) - window + 1 if len(words) > window else min(1, len(words)), shard_words):
+                    piece = words[a:a + shard_words + window - 1]
+                    rows.append((item, a, b" ".join(piece), len(piece)))
+            columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                columns, (pa.string(), pa.int64(), pa.binary(), pa.int64()), strict=True)], names=["item", "at", "words", "n"])
+
+    def build(table: pa.Table) -> pa.Table:
+        items = [(i, w.split()) for i, w in zip(table.column("item").to_pylist(), table.column("words").to_pylist(), strict=True)]
+        made = pickle.dumps(Automaton(sorted(items), window), pickle.HIGHEST_PROTOCOL)
+        return pa.table({"shard": pa.array([table.column("shard")[0].as_py()], pa.int32()), "automaton": pa.array([made], pa.binary())})
+
+    items = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("item"), F.col(text_col).alias("text"))
+    pieces = stored(items.mapInArrow(cut, "item string, at long, words binary, n long"), "benchmark-pieces")
+    total = pieces.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    n = max(1, -(-total // shard_words))
+    shard = F.pmod(F.xxhash64("item", "at"), F.lit(n)).cast("int")
+    built = pieces.select(shard.alias("shard"), "item", "words").groupBy("shard").applyInArrow(build, "shard int, automaton binary")
+    return stored(built, "automata"), n
 
 
 def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -209,38 +224,70 @@ def match(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window:
           shard_words: int = SHARD_WORDS, item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """``docs`` with n_words, hit_starts, hit_stops (merged word ranges) and item_ids.
 
-    The automata are broadcast one by one and each is bounded by ``shard_words``.
-    A further shard reads the text again and merges its ranges into those so far,
-    row by row, so no shuffle is needed and no row is matched up with another.
+    One automaton, bounded by ``shard_words``, is broadcast per pass over the documents, and is
+    all that a task holds. With one shard that is the whole job, and the result is lazy. With more,
+    the rows are stored once, every pass stores the rows that its shard hits, and these few
+    are merged by row.
     """
-    out = docs.drop(*[c for c in docs.columns if c.lower() in _ADDED])
-    for group in shards(benchmark, item_id, item_text, window, shard_words):
-        out = _match_shard(out, Automaton(group, window), text_col)
-    return out.select(*keep_columns(docs, list(_ADDED)), *_ADDED)
+    kept = keep_columns(docs, list(_ADDED))
+    built, n = automata(benchmark, item_id, item_text, window, shard_words)
+    if n == 1:
+        return _match_shard(docs.select(*kept), _automaton(built, 0, window), text_col).select(*kept, *_ADDED)
+    rows = stored(carried(docs.select(*kept), text_col).withColumn("__at__", F.monotonically_increasing_id()), "decontaminate-rows")
+    spark, passes = docs.sparkSession, []
+    for k in range(n):
+        shared = spark.sparkContext.broadcast(_automaton(built, k, window))
+        hits = _match_shard(rows.select("__at__", text_col), shared, text_col).filter(F.size("item_ids") > 0)
+        passes.append(stored(hits.select("__at__", F.arrays_zip("hit_starts", "hit_stops").alias("spans"), "item_ids"), f"hits-{k}"))
+        shared.unpersist()
+    spans = F.array_sort(F.flatten(F.collect_list("spans")))  # one list per shard and row
+    every = reduce(DataFrame.union, passes).groupBy("__at__").agg(
+        spans.alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"))
+    whole = _with_counts(rows, text_col).join(_merged(every), "__at__", "left")
+    none = {"hit_starts": "array<int>", "hit_stops": "array<int>", "item_ids": "array<string>"}
+    found = [F.coalesce(c, F.array().cast(t)).alias(c) for c, t in none.items()]
+    return whole.select(*[F.col(c) if c == text_col else F.col("__row__")[c].alias(c) for c in kept], "n_words", *found)
 
 
 _ADDED = ("n_words", "hit_starts", "hit_stops", "item_ids")
 
 
-def _match_shard(docs: DataFrame, automaton: Automaton, text_col: str) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(automaton)
-    again = "hit_starts" in docs.columns
-    column = text_col
-    if again:
-        column = "__found__"
-        docs = docs.withColumn(column, F.struct(F.col(text_col).alias("text"), "hit_starts", "hit_stops", "item_ids"))
+def _automaton(built: DataFrame, shard: int, window: int) -> bytes:
+    """A shard's pickled automaton; an empty one where the hash left the shard without items."""
+    row = built.filter(F.col("shard") == shard).select("automaton").first()
+    return bytes(row[0]) if row else pickle.dumps(Automaton([], window))
 
+
+def _with_counts(rows: DataFrame, text_col: str) -> DataFrame:
     def start():
-        scan = shared.value.scan
+        return lambda texts: [pa.array([len(words_of(t)) for t in texts.to_pylist()], pa.int64())]
+
+    return map_texts(rows, text_col, [field("n_words", "long")], start)
+
+
+def _merged(rows: DataFrame) -> DataFrame:
+    """Spans in order (array of struct) as merged ranges."""
+    def start():
+        def batch(lists: pa.Array) -> list[pa.Array]:
+            merged = [merge_spans([(s["hit_starts"], s["hit_stops"]) for s in x]) for x in lists.to_pylist()]
+            return [_lists([[a for a, _ in x] for x in merged], pa.int32()), _lists([[b for _, b in x] for x in merged], pa.int32())]
+
+        return batch
+
+    return map_texts(rows, "spans", [field("hit_starts", "array<int>"), field("hit_stops", "array<int>")], start).drop("spans")
+
+
+def _match_shard(docs: DataFrame, automaton: bytes | Broadcast, text_col: str) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(automaton) if isinstance(automaton, bytes) else automaton
+
+    def start():
+        scan = pickle.loads(shared.value).scan
 
         def batch(values: pa.Array) -> list[pa.Array]:
             counts, starts, stops, items = [], [], [], []
-            for x in values.to_pylist():
-                words = words_of(x["text"] if again else x)
+            for text in values.to_pylist():
+                words = words_of(text)
                 spans, found = scan(words)
-                if again:
-                    spans += zip(x["hit_starts"], x["hit_stops"], strict=True)
-                    found |= set(x["item_ids"])
                 spans = merge_spans(spans)
                 counts.append(len(words))
                 starts.append([a for a, _ in spans])
@@ -253,7 +300,7 @@ def _match_shard(docs: DataFrame, automaton: Automaton, text_col: str) -> DataFr
 
     added = [field("n_words", "long"), field("hit_starts", "array<int>"), field("hit_stops", "array<int>"),
              field("item_ids", "array<string>")]
-    return map_texts(docs, column, added, start).drop("__found__")
+    return map_texts(docs, text_col, added, start)
 
 
 def judged(matched: DataFrame, coverage: tuple[int, int] = COVERAGE) -> DataFrame:
