@@ -1,7 +1,7 @@
 """Quality classifier: naive Bayes features for a linear support vector machine.
 
-Features are indicators of hashed n-grams (3 and 4 bytes, and repeated pairs of words),
-scaled by the log ratio of their smoothed class counts. A linear hinge-loss model
+Features are indicators of hashed n-grams: of 3 and 4 bytes, and of the lengths of 4 and 6
+words in a row, which have buckets of their own. Each counts once per text, scaled by the log ratio of their smoothed class counts. A linear hinge-loss model
 over them is fitted by dual coordinate descent on a bounded, hash-ordered sample
 of labelled rows, and its margin becomes a score between 0 and 1 by a logistic
 curve fitted on rows that the model hasn't seen.
@@ -12,7 +12,6 @@ Nulls and empty texts have no features and get the score of the intercept.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -21,20 +20,22 @@ from pyspark.sql import functions as F
 
 from tramline.llm.common import field, map_texts
 
+# Buckets of each of the two kinds of n-grams: bytes, then word lengths.
 BUCKETS = 1 << 18
-# The model is fitted on at most this many labelled rows, the first by a hash of the id.
+# The model is fitted on at most this many labelled rows, the first by a hash of the id. A row's
+# features come to the driver as at most 2 * BUCKETS numbers of 4 bytes, 2 MB; a text of
+# n bytes and w words has at most 2n + 2w.
 SAMPLE_ROWS = 4_000
-# Buckets that the level of word repeats fills, so that it weighs against hundreds of others.
-REPEAT_GRAMS = 32
+# Numbers of words whose lengths are one n-gram, and the length from which words count alike.
+LENGTH_GRAMS = (4, 6)
+LONG_WORD = 15
 THRESHOLD = 0.7
 
 
 def features(text: str | None, seen: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
     """Distinct buckets of a text's n-grams.
 
-    N-grams are 3 and 4 bytes long, and pairs of words reduced to whether the second
-    repeats the first: one bucket for each power of two of such repeats' share.
-    ``seen`` is scratch of ``buckets`` numbers: each n-gram writes its position and
+    ``seen`` is scratch of 2 * ``buckets`` numbers: each n-gram writes its position and
     the last one to write stands for its bucket.
     """
     raw = (text or "").encode()
@@ -47,10 +48,13 @@ def features(text: str | None, seen: np.ndarray, buckets: int = BUCKETS) -> np.n
     if len(data) > 3:
         four = three[:-1] | data[3:] << np.uint32(24)
         grams.append(four * np.uint32(0x85EBCA77) >> np.uint32(9) & mask)
-    words = raw.split()
-    repeats = sum(map(eq, words, words[1:]))
-    level = min(6, int(np.log2(len(words) / repeats))) if repeats else 7
-    grams.append(np.arange(REPEAT_GRAMS, dtype=np.uint32) + np.uint32(REPEAT_GRAMS * level))
+    lengths = np.minimum(list(map(len, raw.split())) or [0], LONG_WORD).astype(np.uint32)
+    for n in LENGTH_GRAMS:
+        if len(lengths) >= n:
+            joined = np.zeros(len(lengths) - n + 1, np.uint32)
+            for k in range(n):
+                joined = joined * np.uint32(LONG_WORD + 1) + lengths[k:len(lengths) - n + 1 + k]
+            grams.append((joined * np.uint32(0x9E3779B1) >> np.uint32(8) & mask) + np.uint32(buckets))
     ids = np.concatenate(grams).astype(np.int64)
     at = np.arange(len(ids), dtype=np.int32)
     seen[ids] = at
@@ -129,7 +133,7 @@ def _curve(margins: np.ndarray, good: np.ndarray) -> tuple[float, float]:
     return float(max(theta[0], 1e-3)), float(theta[1])
 
 
-def train(rows: list[np.ndarray], good: list[int], buckets: int = BUCKETS) -> Model:
+def train(rows: list[np.ndarray], good: list[int], buckets: int = 2 * BUCKETS) -> Model:
     """Fit on the rows' features; the curve comes from three-fold held-out margins.
 
     Without rows of both classes the score is the share of label 1 everywhere.
@@ -180,7 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             .join(F.broadcast(picked), "__id__"))
 
     def start():
-        seen = np.zeros(BUCKETS, np.int32)
+        seen = np.zeros(2 * BUCKETS, np.int32)
 
         def batch(texts: pa.Array) -> list[pa.Array]:
             return [pa.array([np.sort(features(t, seen)).astype("<i4").tobytes() for t in texts.to_pylist()],
@@ -188,7 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
         return batch
 
-    # Features, at most BUCKETS numbers a row, come to the driver, not texts.
+    # Features come to the driver, not texts.
     got = (map_texts(rows, "__text__", [field("__ids__", "binary")], start).groupBy("__id__")
            .agg(F.min("__ids__").alias("__ids__"), F.min("__label__").alias("__label__"))
            .orderBy(F.xxhash64("__id__"), "__id__").select("__ids__", "__label__").collect())
@@ -204,7 +208,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", threshold: floa
         seen = np.zeros(len(model.weight), np.int32)
 
         def batch(texts: pa.Array) -> list[pa.Array]:
-            scores = [model.score(model.margin(features(t, seen, len(model.weight)))) for t in texts.to_pylist()]
+            scores = [model.score(model.margin(features(t, seen, len(model.weight) // 2))) for t in texts.to_pylist()]
             return [pa.array(scores, pa.float64()), pa.array([int(x >= threshold) for x in scores], pa.int32())]
 
         return batch
