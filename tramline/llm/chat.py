@@ -111,18 +111,24 @@ def _check(template: Template) -> None:
                     raise ValueError(f"marks {m!r} and {other!r} can overlap")
 
 
-def _walk(roles: Column, template: Template) -> Column:
-    """struct<state, bad>: where the machine ends and the first turn it refuses (-1: none)."""
+def _walk(rows: Column, template: Template) -> Column:
+    """struct<state, bad>: where the machine ends and the first turn it refuses (-1: none).
+
+    It refuses a role that its state has no move for, a turn without a number, and one with
+    the number of the turn before it.
+    """
+    turns = F.transform(rows, lambda r, i: F.struct(r["role"].alias("role"), (r["turn"].isNotNull() & ~F.coalesce(
+        F.get(rows, i - 1)["turn"] == r["turn"], F.lit(False))).alias("numbered")))
     moves = F.create_map(*[F.lit(x) for s, to in template.moves.items() for r, t in to.items() for x in (f"{s} {r}", t)])
 
-    def step(now: Column, role: Column) -> Column:
-        to = F.element_at(moves, F.concat(now["state"], F.lit(" "), role))
+    def step(now: Column, turn: Column) -> Column:
+        to = F.when(turn["numbered"], F.element_at(moves, F.concat(now["state"], F.lit(" "), turn["role"])))
         return F.when((now["bad"] >= 0) | to.isNull(), F.struct(
             now["state"].alias("state"), now["at"].alias("at"),
             F.when(now["bad"] >= 0, now["bad"]).otherwise(now["at"]).alias("bad"))).otherwise(F.struct(
                 to.alias("state"), (now["at"] + 1).alias("at"), now["bad"].alias("bad")))
 
-    return F.aggregate(roles, F.struct(F.lit(template.start).alias("state"), F.lit(0).alias("at"), F.lit(-1).alias("bad")),
+    return F.aggregate(turns, F.struct(F.lit(template.start).alias("state"), F.lit(0).alias("at"), F.lit(-1).alias("bad")),
                        step)
 
 
@@ -131,7 +137,7 @@ def format_chats(turns: DataFrame, template: Template = INSTRUCT, conv_col: str
     """One row per conversation: conv_col, formatted, segments, valid, error_turn.
 
     segments: array of struct(text, loss) that concatenate to ``formatted``. A
-    conversation is valid if the machine accepts its roles; error_turn is the
+    conversation is valid if the machine accepts its roles and turn numbers; error_turn is the
     position of the first turn it refuses, or the number of turns if they end in
     a state that isn't final. Invalid conversations are formatted all the same.
     Columns beyond the four named are not read.
@@ -154,7 +160,7 @@ def format_chats(turns: DataFrame, template: Template = INSTRUCT, conv_col: str
         F.struct(r["marks"]["opening"].alias("text"), F.lit(False).alias("loss")),
         F.struct(r["text"].alias("text"), r["marks"]["loss"].alias("loss")),
         F.struct(r["marks"]["closing"].alias("text"), F.lit(False).alias("loss")))))
-    end = _walk(F.transform("rows", lambda r: r["role"]), template)
+    end = _walk(F.col("rows"), template)
     made = grouped.select("conv", segments.alias("segments"), end.alias("end"), F.size("rows").alias("n"))
     error = F.when(F.col("end.bad") >= 0, F.col("end.bad")).when(~F.col("end.state").isin(*template.final), F.col("n"))
     return made.select(
