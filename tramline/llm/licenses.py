@@ -5,17 +5,23 @@ but letters and digits become one space) and looked up among known licence
 sentences. The identifiers in order of appearance form the text's sequence,
 against which the licence rules are matched in their order: a rule whose
 identifiers occur as a run of the sequence yields its licence and uses them up.
-Identifiers that no rule uses yield nothing but stay in the sequence.
+Identifiers that no rule uses yield nothing but stay in the sequence, and so do sentences
+that speak of licensing but aren't known: no run reaches across one. These are counted.
+"All rights reserved", which stands in permissive notices too, counts only where no
+rule matched.
 
-Null and empty texts have no sentences, so no licences. Sentences that speak of
-licensing but aren't known are counted.
+Null and empty texts have no sentences, so no licences.
 
 References ("This project is licensed under the MIT License", "SPDX-License-Identifier:
-MIT") are known by the name behind their lead, whatever the lead.
+MIT") are known by the name behind their lead, whatever the lead. A reference may be an
+expression: names joined by "or" and "and", each with an exception; all of its names count, and if
+one isn't known the sentence isn't.
 """
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -145,12 +151,32 @@ NAMES: dict[str, tuple[str, ...]] = {
 #: What stands in front of a name and behind it in a normalised reference.
 LEAD = (r"^(?:(?:this|the|our) (?:[a-z0-9]+ )?(?:project|software|code|work|repository|repo|package|library|program|module|file|"
         r"files|tool|plugin|document|documentation|content|text|site|website|dataset|data|app|application|framework) (?:is|are) )?"
-        r"(?:(?:licen[sc]ed|released|distributed|published|provided|available|made available) under |covered by |"
+        r"(?:dual(?:ly)? )?(?:(?:licen[sc]ed|released|distributed|published|provided|available|made available) under |covered by |"
         r"spdx license identifier |licen[sc]e )(?:the terms of )?(?:the )?")
 TAIL = r" (?:please )?see (?:the )?(?:accompanying )?(?:file )?(?:licen[sc]e|copying)(?: [a-z0-9]+){0,8}$"
 for _name, _forms in NAMES.items():
     SENTENCES[_name] = SENTENCES.get(_name, ()) + tuple(f"licensed under {x}" for x in _forms)
 
+#: Fixed: the titles that licence texts begin with, normalised.
+TITLES: dict[str, tuple[str, ...]] = {
+    "apache2_title": ("apache license version 2 0 january 2004", "apache license version 2 0 january 2004 http www apache org licenses",
+                      "apache license version 2 0 january 2004 https www apache org licenses"),
+    "mit_title": ("mit license", "the mit license", "the mit license mit", "mit license mit"),
+    "bsd3_title": ("bsd 3 clause license", "the 3 clause bsd license", "bsd 3 clause new or revised license"),
+    "bsd2_title": ("bsd 2 clause license", "the 2 clause bsd license", "bsd 2 clause simplified license"),
+    "isc_title": ("isc license", "the isc license"),
+    "boost_title": ("boost software license version 1 0 august 17th 2003",),
+    "gpl3_title": ("gnu general public license version 3 29 june 2007",),
+    "gpl2_title": ("gnu general public license version 2 june 1991",),
+    "lgpl3_title": ("gnu lesser general public license version 3 29 june 2007",),
+    "lgpl21_title": ("gnu lesser general public license version 2 1 february 1999",),
+    "agpl3_title": ("gnu affero general public license version 3 19 november 2007",),
+    "mpl2_title": ("mozilla public license version 2 0",),
+    "epl2_title": ("eclipse public license v 2 0",),
+    "cc0_title": ("creative commons legal code cc0 1 0 universal", "cc0 1 0 universal"),
+}
+SENTENCES |= TITLES
+
 #: Rules in order: licence, class, the run of identifiers that proves it.
 RULES: tuple[tuple[str, str, tuple[str, ...]], ...] = (
     ("Apache-2.0", "permissive", ("apache2_ref", "apache2_comply", "apache2_copy", "apache2_asis", "apache2_see")),
@@ -200,8 +226,23 @@ RULES: tuple[tuple[str, str, tuple[str, ...]], ...] = (
     ("CC-BY-SA-4.0", "copyleft", ("ccbysa4_ref",)),
     ("CC-BY-4.0", "permissive", ("ccby4_ref",)),
     ("CC0-1.0", "permissive", ("cc0_ref",)),
-    ("All-rights-reserved", "restricted", ("reserved",)),
+    ("Apache-2.0", "permissive", ("apache2_title",)),
+    ("MIT", "permissive", ("mit_title",)),
+    ("BSD-3-Clause", "permissive", ("bsd3_title",)),
+    ("BSD-2-Clause", "permissive", ("bsd2_title",)),
+    ("ISC", "permissive", ("isc_title",)),
+    ("BSL-1.0", "permissive", ("boost_title",)),
+    ("GPL-3.0", "copyleft", ("gpl3_title",)),
+    ("GPL-2.0", "copyleft", ("gpl2_title",)),
+    ("LGPL-3.0", "copyleft", ("lgpl3_title",)),
+    ("LGPL-2.1", "copyleft", ("lgpl21_title",)),
+    ("AGPL-3.0", "copyleft", ("agpl3_title",)),
+    ("MPL-2.0", "copyleft", ("mpl2_title",)),
+    ("EPL-2.0", "copyleft", ("epl2_title",)),
+    ("CC0-1.0", "permissive", ("cc0_title",)),
 )
+# Said beside most licences, so it counts only where no rule matched.
+RESERVED = ("All-rights-reserved", "restricted", "reserved")
 
 #: Every known sentence has one of these words, so texts without them need no cutting.
 KEYWORDS = r"(?i)licen[sc]e|copyright|permission|warrant|redistribut|public domain|rights reserved"
@@ -211,6 +252,28 @@ SENTENCE_END = r"(?<=[.!?])(?!(?<=\b[vV]\.)\s+[0-9])\s+|(?<=[:;])[\x20\t]*\n\s*|
 COMMENT = r"(?m)^[\x20\t]*(?:#+|//+|\*+|--+|;+)[\x20\t]*"
 
 
+# Between the names of one expression, and the exceptions that may follow a name.
+CHOICE = r" (?:or(?! later)|and) (?:the )?"
+EXCEPTION = r" with (?:the )?[a-z0-9 ]{1,60}?exception(?: [0-9]+)*(?= (?:or|and) |$)"
+# The known sentences lie in so many maps, by their CRC, as a map is searched entry by entry.
+LOOKUP_MAPS = 128
+
+
+def _known_forms() -> dict[str, str]:
+    return {form: name for name, forms in SENTENCES.items() for form in forms}
+
+
+def _lookup(sentence: Column) -> Column:
+    """The identifier of a normalised sentence, null if it isn't known."""
+    maps: list[list[Column]] = [[] for _ in range(LOOKUP_MAPS)]
+    for form, name in _known_forms().items():
+        maps[zlib.crc32(form.encode()) % LOOKUP_MAPS] += [F.lit(form), F.lit(name)]
+    empty = F.create_map(F.lit(""), F.lit(None).cast("string"))
+    table = F.array(*[F.create_map(*x) if x else empty for x in maps])
+    at = (F.crc32(sentence.cast("binary")) % LOOKUP_MAPS).cast("int")
+    return F.element_at(F.get(table, at), sentence)
+
+
 def normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
 
@@ -218,15 +281,16 @@ def normalised(sentence: Column) -> Column:
 def sentence_ids(text: Column) -> Column:
     """Identifiers of the known sentences of a text, in order; "?" for sentences that
     speak of licensing but aren't known."""
-    known = F.create_map(*[F.lit(x) for name, forms in SENTENCES.items() for form in dict.fromkeys(forms) for x in (form, name)])
-
     def named(sentence: Column) -> Column:
-        return F.when(sentence.rlike(LEAD), F.element_at(
-            known, F.regexp_replace(F.regexp_replace(sentence, LEAD, "licensed under "), TAIL, "")))
+        # An expression's names, each known behind "licensed under"; all of them must be.
+        rest = F.regexp_replace(F.regexp_replace(F.regexp_replace(sentence, LEAD, ""), TAIL, ""), EXCEPTION, "")
+        ids = F.transform(F.split(rest, CHOICE, -1), lambda x: _lookup(F.concat(F.lit("licensed under "), x)))
+        return F.when(sentence.rlike(LEAD), F.element_at(F.transform(F.array(ids), lambda x: F.when(
+            F.forall(x, lambda i: i.isNotNull()), F.array_join(F.array_distinct(x), ","))), 1))
 
     def look(sentence: Column) -> Column:
         return F.coalesce(F.element_at(F.transform(F.array(normalised(sentence)), lambda x: F.coalesce(
-                              F.element_at(known, x), named(x))), 1),
+                              _lookup(x), named(x))), 1),
                           F.when(sentence.rlike(KEYWORDS), F.lit("?")).otherwise(F.lit("")))
 
     def by_line(sentence: Column) -> Column:
@@ -236,11 +300,14 @@ def sentence_ids(text: Column) -> Column:
 
     sentences = F.filter(F.split(F.regexp_replace(text, COMMENT, ""), SENTENCE_END, -1), lambda s: s.rlike(KEYWORDS))
     found = F.filter(F.flatten(F.transform(sentences, by_line)), lambda x: x != "")
+    found = F.split(F.array_join(found, ","), ",", -1)  # an expression has several
+    found = F.filter(found, lambda x: x != "")
     return F.when(text.rlike(KEYWORDS), found).otherwise(F.array().cast("array<string>"))
 
 
 def matched_licences(ids: Column) -> Column:
-    """Licences of the rules that match, in rule order; each uses up what it matched."""
+    """Licences of the rules that match, in rule order; each uses up what it matched, and an
+    unknown sentence ("?") ends every run. If none matches, reserved rights count."""
     rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(f",{','.join(run)},").alias("run")) for name, _, run in RULES])
 
     def apply(now: Column, rule: Column) -> Column:
@@ -254,7 +321,8 @@ def matched_licences(ids: Column) -> Column:
                      F.array().cast("array<string>").alias("found"))
     rules = F.transform(rules, lambda r: F.struct(r["name"].alias("name"), F.replace(r["run"], F.lit(","), F.lit(",,")).alias("run")))
     rules = F.transform(rules, lambda r: F.struct(r["name"].alias("name"), F.substring(r["run"], F.lit(2), F.length(r["run"]) - 2).alias("run")))
-    return F.aggregate(rules, start, apply, lambda done: done["found"])
+    return F.aggregate(rules, start, apply, lambda done: F.when(
+        (F.size(done["found"]) == 0) & F.array_contains(ids, RESERVED[2]), F.array(F.lit(RESERVED[0]))).otherwise(done["found"]))
 
 
 def scan_licences(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -267,10 +335,10 @@ def scan_licences(docs: DataFrame, text_col: str = "text") -> DataFrame:
     kept = keep_columns(docs, added)
     ids = docs.select(*kept, sentence_ids(F.coalesce(F.col(text_col), F.lit(""))).alias("__ids__"))
     some = F.filter("__ids__", lambda x: x != "?")
-    found = ids.select(*kept, F.when(F.size(some) > 0, matched_licences(some)).otherwise(
+    found = ids.select(*kept, F.when(F.size(some) > 0, matched_licences(F.col("__ids__"))).otherwise(
         F.array().cast("array<string>")).alias("licences"), some.alias("sentence_ids"),
         F.size(F.filter("__ids__", lambda x: x == "?")).cast("long").alias("n_unknown"))
     kind = F.lit("none")
     for name in ("permissive", "copyleft", "restricted"):
-        kind = F.when(F.arrays_overlap("licences", F.array(*[F.lit(n) for n, k, _ in RULES if k == name])), name).otherwise(kind)
+        kind = F.when(F.arrays_overlap("licences", F.array(*[F.lit(n) for n, k, _ in (*RULES, RESERVED) if k == name])), name).otherwise(kind)
     return found.withColumn("licence_class", kind).select(*kept, *added)
