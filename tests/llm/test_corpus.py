@@ -53,6 +53,18 @@ def test_decontamination_rows(spark, shard_words):
     assert kept[6] == "y " * 900 + " tail"
 
 
+def test_automata_are_built_by_shards_and_hold_every_window(spark):
+    words = [f"w{i}" for i in range(500)]
+    items = [(1, " ".join(words)), (2, "a b c"), (3, None), (None, "w3 w4 w5")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    built, n = decontaminate.automata(bench, shard_words=40)
+    assert n > 10 and built.select("shard").distinct().count() == built.count() > 5
+    docs = spark.createDataFrame([(k, " ".join(words[a:a + 13])) for k, a in enumerate(range(0, 488))], "doc_id long, text string")
+    found = decontaminate.match(docs, bench, shard_words=40)
+    assert found.filter("size(hit_starts) = 1 AND hit_starts[0] = 0 AND hit_stops[0] = 13 AND array_contains(item_ids, '1')").count() == 488
+    assert decontaminate.match(docs, bench.limit(0)).filter("size(item_ids) = 0 AND n_words = 13").count() == 488
+
+
 def test_decontamination_takes_odd_rows(spark):
     bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
     docs = odd_documents(spark)
@@ -104,8 +116,10 @@ def crowded(rng, n):
 
 def test_links_in_a_shard_lose_nothing():
     points = crowded(np.random.default_rng(4), 300)
-    got = dict(zip(*[x.tolist() for x in simhash.links(points, 2, leaf=16)], strict=True))
+    some, to, left = simhash.links(points, 2, leaf=16)
+    got = dict(zip(some.tolist(), to.tolist(), strict=True))
     want = plain_components(points.tolist(), 2)
+    assert not left
     assert {p: got.get(p, p) for p in points.tolist()} == want
 
 
@@ -134,6 +148,22 @@ def test_classes_over_shards(spark):
     assert got == {p: least[roots[q]] for (p, _), q in zip(rows, points.tolist(), strict=True)}
 
 
+@pytest.mark.parametrize("dense", [700, 90])
+def test_a_dense_ball_is_dealt_in_pairs_of_blocks(spark, dense):
+    ball = np.unique([12345 ^ (1 << a) ^ (1 << b) for a in range(64) for b in range(a)]).astype(np.uint64)[:1500]
+    far = np.random.default_rng(8).integers(0, 1 << 63, 200, dtype=np.uint64)
+    points = np.unique(np.concatenate([ball, far]))
+    assert len(simhash.links(points, 2, dense=dense)[2]) >= 1
+    table = spark.createDataFrame([(int(p),) for p in points.view(np.int64)], "p long")
+    pairs = simhash.edges(table, 2, tree_sample=50, dense_points=dense)
+    got = {r["p"]: r["root"] for r in simhash.components(pairs).collect()}
+    want = plain_components(points.tolist(), 2)
+    groups = {}
+    for p, q in zip(points.view(np.int64).tolist(), points.tolist(), strict=True):
+        groups.setdefault(want[q], set()).add(got.get(p, p))
+    assert all(len(x) == 1 for x in groups.values()) and len(set().union(*groups.values())) == len(groups)
+
+
 def test_long_chain_is_one_component(spark):
     pairs = spark.createDataFrame([(i + 1, i) for i in range(60)] + [(200, 100), (100, 150)], "p long, q long")
     got = {r["p"]: r["root"] for r in simhash.components(pairs).collect()}
@@ -204,6 +234,7 @@ def test_pipeline_equals_brute_force(spark):
     import tiktoken
 
     from tramline.llm import bpe, nbsvm, pii
+    from tramline.llm.queries import pseudonym_key
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet")
@@ -216,7 +247,7 @@ def test_pipeline_equals_brute_force(spark):
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     clean = {i: good[i] for i in first.values() if not plain_hits(good[i], items)[4]}
     whole = {i: t for i, t in clean.items() if not plain_hits(t, items)[1]}
-    hidden = pii.pseudonymise(spark.createDataFrame(list(whole.items()), "doc_id long, text string"))
+    hidden = pii.pseudonymise(spark.createDataFrame(list(whole.items()), "doc_id long, text string"), pseudonym_key(spark))
     theirs = tiktoken.Encoding("own", pat_str=bpe.public_tokenizers.PATTERN, special_tokens={},
                                mergeable_ranks=bpe.load_ranks(bpe.public_tokenizers.path(bpe.RANKS)))
     want = {r["doc_id"]: theirs.encode_ordinary(r["text"]) for r in hidden.collect()}

@@ -85,6 +85,18 @@ def test_chats_read_back(spark):
     assert chat.format_chats(turns.limit(0)).count() == 0
 
 
+def test_turn_numbers_are_checked(spark):
+    long = "word [INST] " * 20000
+    rows = [(1, None, "user", "a"), (1, 1, "assistant", "b"), (2, 0, "system", "s"), (2, 0, "user", "u"), (2, 1, "assistant", "a"),
+            (3, 4, "user", "u"), (3, 9, "assistant", "a"), (4, 0, "user", "u"), (4, 1, "assistant", "a"), (4, 1, "assistant", "a"),
+            (5, 0, "user", long), (5, 1, "assistant", long)]
+    made = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    got = {r["conv_id"]: (r["valid"], r["error_turn"]) for r in made.collect()}
+    assert got == {1: (False, 0), 2: (False, 1), 3: (True, None), 4: (False, 2), 5: (True, None)}
+    back = {r["conv_id"]: r["turns"] for r in chat.read_back(made).collect()}
+    assert [tuple(t) for t in back[5]] == [("user", long), ("assistant", long)]
+
+
 def test_marks_that_overlap_are_refused(spark):
     bad = chat.Template(roles={"user": chat.Role("<a>", "<b>")}, other=("<a><", "[:]", "[/x]"), moves={}, start="s", final=())
     turns = spark.createDataFrame(CHATS, "conv_id long, turn long, role string, text string")
@@ -163,6 +175,18 @@ def test_classifier_learns_and_holds_out(spark):
     assert nbsvm.classify(odd.limit(0), labels).count() == 0
 
 
+@pytest.mark.parametrize("text", [None, "", "ab", "abc", "the same the same the same the same", "é 日本 🙂 x y z " * 40])
+def test_features_are_distinct_ngrams(text):
+    seen = np.zeros(2 * nbsvm.BUCKETS, np.int32)
+    got = nbsvm.features(text, seen).tolist()
+    raw = (text or "").encode()
+    sizes = [min(len(w), nbsvm.LONG_WORD) for w in raw.split()]
+    grams = {raw[i:i + n] for n in (3, 4) for i in range(len(raw) - n + 1)} if len(raw) > 2 else set()
+    lengths = {tuple(sizes[i:i + n]) for n in nbsvm.LENGTH_GRAMS for i in range(len(sizes) - n + 1)} if len(raw) > 2 else set()
+    assert len(set(got)) == len(got) == len(grams) + len(lengths)  # no two of these n-grams share a bucket
+    assert sum(x >= nbsvm.BUCKETS for x in got) == len(lengths) and nbsvm.features(text, seen).tolist() == got
+
+
 def test_dual_descent_reaches_the_hinge_optimum():
     rng = np.random.default_rng(3)
     rows = [np.sort(rng.choice(40, 6, replace=False)) for _ in range(80)]

@@ -7,28 +7,48 @@ North American rules and the others are two formats. A valid value is numbered w
 format, the number is permuted by a keyed Feistel network whose halves span
 exactly the format's values, and the result is written in the same format with
 its check digits made anew. So pseudonyms are valid values of their kind, equal
-values get equal pseudonyms in every document whatever their punctuation, and the
+values get equal pseudonyms in every document however they are written, and the
 key's owner can invert them. The local part of an e-mail address is permuted
 likewise, letter by letter and digit by digit.
 
+One value in several forms: a day as ISO, dotted or slashed date; a North American number with
+any marks, bare or behind +1; a card or IBAN in groups or in one, an IBAN in either case; an
+IPv6 address in full or shortened. The value is permuted, and written in the form found,
+with two exceptions. An IPv6 address is always written in full. A day written 31/12/1999
+whose pseudonym could be read month first gets dots in place of the slashes. A bare run of ten
+digits is a telephone number only by the North American rules. E-mail addresses that differ in
+case, and numbers of other countries in other groupings of the same digits, keep their own
+letters and groups; the digits agree.
+
+The key is the caller's. Rounds are HMACs with SHA-256; the key reaches the executors as a
+column of a one-row table, so plans, their printouts and the event log don't show it.
+
 A null text stays null; texts without valid values stay as they are.
 """
 
 from __future__ import annotations
 
+import hashlib
+import hmac
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tramline.llm.common import keep_columns
 
 ROUNDS = 8
-KEY = "tramline-pseudonyms-1"
+# The column that has the key's two HMAC blocks while pseudonyms are made.
+KEY_COL = "__pseudonym_key__"
+MIN_KEY_BYTES = 16
 
 #: Patterns by kind, in the order in which they are tried at a place. Repeated groups are
 #: bounded (a host name has at most 127 labels of 63 characters), so no text exhausts the stack.
 PATTERNS: dict[str, str] = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,125}\.[A-Za-z]{2,24}(?![A-Za-z0-9])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])(?:[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)|"
+            r"[a-z]{2}[0-9]{2}(?:[a-z0-9]{11,30}|(?:\x20[a-z0-9]{4}){2,7}(?:\x20[a-z0-9]{1,3})?))(?![A-Za-z0-9])",
+    "ipv6": r"(?<![A-Za-z0-9:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[23][0-9A-Fa-f]{3}|[Ff][CDEcde][0-9A-Fa-f]{2})"
+            r"(?::[0-9A-Fa-f]{1,4}){0,5}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?)(?![A-Za-z0-9:]|\.[0-9])",
     "ipv4": r"(?<![A-Za-z0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![A-Za-z0-9]|\.[0-9])",
     "iso_date": r"(?<![A-Za-z0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![A-Za-z0-9]|-[0-9])",
     "day_date": r"(?<![A-Za-z0-9./])[0-9]{2}(?<dot>[./])[0-9]{2}\k<dot>[0-9]{4}(?![A-Za-z0-9]|[./][0-9])",
@@ -36,22 +56,58 @@ PATTERNS: dict[str, str] = {
     "card": r"(?<![A-Za-z0-9.-])(?:[0-9]{13,19}|[0-9]{4}(?<four>[\x20-])[0-9]{4}\k<four>[0-9]{4}\k<four>[0-9]{1,7}|"
             r"[0-9]{4}(?<six>[\x20-])[0-9]{6}\k<six>[0-9]{5})"
             r"(?![A-Za-z0-9]|[.-][0-9])",
-    "phone": r"(?<![A-Za-z0-9.+-])(?:\+?1[\x20.-]?)?(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![A-Za-z0-9]|[.-][0-9])",
+    "phone": r"(?<![A-Za-z0-9.+-])(?:(?:\+?1[\x20.-]?)?(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}|"
+             r"(?:\+?1)?[2-9][0-9]{2}[2-9][0-9]{6})(?![A-Za-z0-9]|[.-][0-9])",
     "intl_phone": r"(?<![A-Za-z0-9+])\+[1-9][0-9]{0,2}(?:[\x20.-]?\([0-9]{1,4}\))?(?:[\x20.-]?[0-9]{2,4}){2,4}(?![A-Za-z0-9])",
 }
 ANY = "|".join(PATTERNS.values())
-# No candidate is without one of these characters.
-GATE = "[0-9@]"
+# No candidate is without one of these.
+GATE = "[0-9@]|::"
+
+#: Fixed: lengths of IBANs by country. Lower-case ones, which look much like other
+#: identifiers, must have them.
+IBAN_LENGTHS = """
+AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27
+GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 MC27 MD24
+ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24
+TR26 UA29 VA22 VG24 XK20
+""".split()
 
 
 def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def key_blocks(key: bytes) -> tuple[bytes, bytes]:
+    """The key's blocks for the two hashes of an HMAC with SHA-256."""
+    if not isinstance(key, bytes) or len(key) < MIN_KEY_BYTES:
+        raise ValueError(f"a pseudonym key has {MIN_KEY_BYTES} bytes or more")
+    block = (hashlib.sha256(key).digest() if len(key) > 64 else key).ljust(64, b"\0")
+    return bytes(x ^ 0x36 for x in block), bytes(x ^ 0x5C for x in block)
+
+
+def with_key(df: DataFrame, key: bytes) -> DataFrame:
+    """``df`` with the key's blocks in ``KEY_COL``, from a one-row table by a scalar subquery."""
+    inner, outer = key_blocks(key)
+    table = df.sparkSession.createDataFrame([((inner, outer),)], "k struct<inner: binary, outer: binary>")
+    return df.withColumn(KEY_COL, table.select("k").scalar())
+
+
+def _hmac(message: Column) -> Column:
+    """HMAC-SHA-256 of a text, in hexadecimal."""
+    key = F.col(KEY_COL)
+    return F.sha2(F.concat(key["outer"], F.unhex(F.sha2(F.concat(key["inner"], message.cast("binary")), 256))), 256)
+
+
+def plain_hmac(key: bytes, message: str) -> str:
+    """What ``_hmac`` computes, for tests and for owners of a key."""
+    return hmac.new(key, message.encode(), "sha256").hexdigest()
+
+
 def _round(kind: Column | str, number: Column, other: Column) -> Column:
     """Keyed pseudo-random number under 2^60 for a round and the other half."""
     kind = F.lit(kind) if isinstance(kind, str) else kind
-    mixed = F.sha2(F.concat_ws("|", F.lit(KEY), kind, number.cast("string"), other.cast("string")), 256)
+    mixed = _hmac(F.concat_ws("|", kind, number.cast("string"), other.cast("string")))
     return F.conv(F.substring(mixed, 1, 15), 16, 10).cast("long")
 
 
@@ -132,9 +188,11 @@ def _iban(form: Column, inverse: bool) -> Column:
             F.lpad((98 - mod97(F.concat(new, F.substring(x, 1, 2), F.lit("00")))).cast("string"), 2, "0"),
             lambda check: _refilled(form, F.concat(check, _digits(new)))))
 
-    plain = F.replace(form, F.lit(" "), F.lit(""))
+    plain = F.upper(F.replace(form, F.lit(" "), F.lit("")))
+    known = F.array(*map(F.lit, IBAN_LENGTHS))
     return _let(plain, lambda x: F.when(
-        (mod97(F.concat(F.substring(x, F.lit(5), F.length(x)), F.substring(x, 1, 4))) == 1)
+        (~form.rlike("[a-z]") | F.array_contains(known, F.concat(F.substring(x, 1, 2), F.length(x).cast("string"))))
+        & (mod97(F.concat(F.substring(x, F.lit(5), F.length(x)), F.substring(x, 1, 4))) == 1)
         & F.length(_digits(F.substring(x, F.lit(5), F.length(x)))).between(2, 30), made(x)))
 
 
@@ -167,31 +225,37 @@ def _iso_date(form: Column, inverse: bool) -> Column:
     return _let(day, lambda d: F.when(d.isNotNull(), F.date_format(_date(d, inverse), "yyyy-MM-dd")))
 
 
-def _late_date(day: Column, inverse: bool) -> Column:
-    """Another day of the cycle after the 12th of a month: steps until one is reached.
-
-    Of all days three fifths are such, so 64 steps fail with a chance under 10^-25.
-    """
-    return F.aggregate(
-        F.sequence(F.lit(1), F.lit(64)), F.struct(day.alias("d"), F.lit(False).alias("done")),
-        lambda now, _: F.when(now["done"], now).otherwise(_let(
-            _date(now["d"], inverse), lambda d: F.struct(d.alias("d"), (F.dayofmonth(d) > 12).alias("done")))),
-        lambda done: done["d"])
-
-
 def _day_date(form: Column, inverse: bool) -> Column:
-    """With dots day first; with slashes month first, unless the first number can only
-    be a day: such dates become dates that can only be read day first too."""
+    """With dots day first; with slashes month first, unless the first number can only be a
+    day: then day first too, with dots if the pseudonym's day could be a month."""
     a, b, year = F.substring(form, 1, 2), F.substring(form, 4, 2), F.substring(form, 7, 4)
     within = year.cast("int").between(1601, 9599)
-    day_first = F.when(within, F.concat_ws("-", year, b, a).try_cast("date"))
-    month_first = F.when(within, F.concat_ws("-", year, a, b).try_cast("date"))
     dots = F.substring(form, 3, 1) == "."
-    return F.when(dots, _let(day_first, lambda d: F.when(
-        d.isNotNull(), F.date_format(_date(d, inverse), "dd.MM.yyyy")))).when(
-        a.cast("int") > 12, _let(day_first, lambda d: F.when(
-            d.isNotNull(), F.date_format(_late_date(d, inverse), "dd/MM/yyyy")))).otherwise(
-        _let(month_first, lambda d: F.when(d.isNotNull(), F.date_format(_date(d, inverse), "MM/dd/yyyy"))))
+    day_first = dots | (a.cast("int") > 12)
+    day = F.when(within, F.when(day_first, F.concat_ws("-", year, b, a)).otherwise(F.concat_ws("-", year, a, b)).try_cast("date"))
+    return _let(day, lambda d: F.when(d.isNotNull(), _let(_date(d, inverse), lambda new: F.when(
+        ~day_first, F.date_format(new, "MM/dd/yyyy")).when(
+        dots | (F.dayofmonth(new) <= 12), F.date_format(new, "dd.MM.yyyy")).otherwise(F.date_format(new, "dd/MM/yyyy")))))
+
+
+def _ipv6(form: Column, inverse: bool) -> Column:
+    """The first 32 bits, the network's allocation, stay; the other 96 are permuted."""
+    def expanded(text: Column) -> Column:
+        sides = F.split(text, "::", -1)
+        head = F.filter(F.split(F.get(sides, 0), ":", -1), lambda g: g != "")
+        tail = F.filter(F.split(F.coalesce(F.get(sides, 1), F.lit("")), ":", -1), lambda g: g != "")
+        gap = F.array_repeat(F.lit("0"), F.greatest(8 - F.size(head) - F.size(tail), F.lit(0)))
+        return F.transform(F.concat(head, gap, tail), lambda g: F.conv(g, 16, 10).cast("long"))
+
+    def half(g: Column, i: int) -> Column:
+        return (F.get(g, i) * 65536 + F.get(g, i + 1)) * 65536 + F.get(g, i + 2)
+
+    def made(g: Column) -> Column:
+        new = permuted(half(g, 2), half(g, 5), F.lit(1 << 48), F.lit(1 << 48), "ipv6", inverse)
+        return _let(new, lambda n: F.concat_ws(":", *[F.lower(F.conv(x.cast("string"), 10, 16)) for x in (
+            F.get(g, 0), F.get(g, 1), *[F.shiftright(n[h], k).bitwiseAND(65535) for h in ("l", "r") for k in (32, 16, 0)])]))
+
+    return _let(expanded(form), lambda g: F.when(F.size(g) == 8, made(g)))
 
 
 def _ssn(form: Column, inverse: bool) -> Column:
@@ -238,9 +302,11 @@ def _phone(form: Column, inverse: bool) -> Column:
 
 
 def _intl_phone(form: Column, inverse: bool) -> Column:
-    """Other international numbers of 8 to 15 digits: the first two digits stay."""
-    return _let(_digits(form), lambda d: F.when(F.length(d).between(8, 15), _refilled(form, F.concat(
-        F.substring(d, 1, 2), permuted_digits(F.substring(d, F.lit(3), F.length(d)), "intl_phone", inverse)))))
+    """Other international numbers of 8 to 15 digits: the first two digits stay. Those behind +1
+    with ten more digits are the same numbers as without it."""
+    return _let(_digits(form), lambda d: F.when(d.rlike("^1[0-9]{10}$"), _phone(form, inverse)).when(
+        F.length(d).between(8, 15), _refilled(form, F.concat(
+            F.substring(d, 1, 2), permuted_digits(F.substring(d, F.lit(3), F.length(d)), "intl_phone", inverse)))))
 
 
 _SETS = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789")
@@ -253,10 +319,10 @@ def _email(form: Column, inverse: bool) -> Column:
     characters of one half by numbers drawn from the other.
     """
     def shifted(chars: Column, other: Column, i: Column) -> Column:
-        seed = F.concat_ws("|", F.lit(KEY), F.lit("email"), i.cast("string"), F.array_join(other, ""))
+        seed = F.concat_ws("|", F.lit("email"), i.cast("string"), F.array_join(other, ""))
 
         def shift(c: Column, k: Column) -> Column:
-            draw = F.conv(F.substring(F.sha2(F.concat_ws("|", seed, k.cast("string")), 256), 1, 8), 16, 10).cast("long")
+            draw = F.conv(F.substring(_hmac(F.concat_ws("|", seed, k.cast("string"))), 1, 8), 16, 10).cast("long")
             out = c
             for some in _SETS:
                 at = F.instr(F.lit(some), c) - 1
@@ -279,7 +345,7 @@ def _email(form: Column, inverse: bool) -> Column:
     return F.concat(_let(F.split(F.substring(form, F.lit(1), at - 1), "", -1), mixed), F.substring(form, at, F.length(form)))
 
 
-MAKERS = {"email": _email, "iban": _iban, "ipv4": _ipv4, "iso_date": _iso_date, "day_date": _day_date, "ssn": _ssn,
+MAKERS = {"email": _email, "iban": _iban, "ipv6": _ipv6, "ipv4": _ipv4, "iso_date": _iso_date, "day_date": _day_date, "ssn": _ssn,
           "card": _card, "phone": _phone, "intl_phone": _intl_phone}
 
 
@@ -301,13 +367,14 @@ def _pseudonym(hit: Column, inverse: bool) -> Column:
     return _let(_kind(hit), made)
 
 
-def pseudonymise(docs: DataFrame, text_col: str = "text", inverse: bool = False) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text", inverse: bool = False) -> DataFrame:
     """``docs`` with the text's valid values replaced, n_pii and pii_kinds.
 
-    ``inverse`` takes pseudonyms back to the values. pii_kinds is a map from kind to
+    ``key`` is secret, of 16 bytes or more. ``inverse`` takes pseudonyms back to the values. pii_kinds is a map from kind to
     count. Columns with the added names are replaced; others pass through.
     """
     kept = keep_columns(docs, ["n_pii", "pii_kinds"])
+    docs = with_key(docs, key)
     text = F.col(text_col)
     # Most texts have no candidate; those pass by on one search.
     some = text.rlike(GATE) & text.rlike(ANY)

@@ -61,10 +61,16 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.contract_rows(chat.format_chats(turns.unionByName(extra)))
 
 
+def pseudonym_key(spark: SparkSession) -> bytes:
+    """The session's ``spark.tramline.pseudonymKey``; without one, a key that is no secret, which
+    the queries over synthetic texts take. A job on real texts sets its own."""
+    return spark.conf.get("spark.tramline.pseudonymKey", "no secret: synthetic texts").encode()
+
+
 def op5_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal numbers, dates and addresses replaced."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.pseudonymise(docs).drop("pii_kinds")
+    return pii.pseudonymise(docs, pseudonym_key(spark)).drop("pii_kinds")
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
