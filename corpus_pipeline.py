@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tramline.llm import bpe, decontaminate, nbsvm, pii, simhash
 from tramline.llm.common import carried, keep_columns, read_table, restored
+from tramline.llm.queries import pseudonym_key
 from tramline.session import scratch_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -37,7 +38,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal numbers, dates and addresses replaced by pseudonyms."""
-    return _sized(restored(pii.pseudonymise(carried(docs, "text")), docs, "text"))
+    return _sized(restored(pii.pseudonymise(carried(docs, "text"), pseudonym_key(spark)), docs, "text"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
