@@ -71,37 +71,6 @@ def test_weather_json(spark, tmp_path):
     assert r.fetched_at == T("2024-06-01 08:03:00")
 
 
-def test_cli_flatten_and_fold(spark, tmp_path):
-    import fixtures as fx
-    from tramline.__main__ import _flatten, _fold
-    from tramline.operators.sinks import read_landed
-
-    feed = spark.createDataFrame([(T("2024-06-01 08:00:00"), [
-        ("e1", (("V1", "L1", None, None), ("T1", "R1", "08:00", "20240601"), (45.0, 7.6, 90.0), 100)),
-    ])], schemas.VEHICLE_FEED)
-    src, dst = tmp_path / "src", tmp_path / "dst"
-    feed.write.parquet(str(src))
-
-    class A:
-        pass
-    a = A()
-    a.kind, a.src, a.dst = "positions", str(src), str(dst)
-    assert _flatten(a, spark) == 0
-    landed = read_landed(spark, str(dst))
-    assert landed.count() == 1 and "fetch_date" in landed.columns
-
-    batch, state = tmp_path / "batch", tmp_path / "state"
-    fx.alerts(spark).write.parquet(str(batch))
-    b = A()
-    b.batch, b.state, b.batch_id, b.compact = str(batch), str(state), 1, False
-    assert _fold(b, spark) == 0 and _fold(b, spark) == 0  # a retry counts once
-    b.batch_id, b.compact = 2, True
-    assert _fold(b, spark) == 0  # the same rows in a second batch
-    from tramline.operators.sinks import alert_fold_table
-    folded = {r.id: r.times_seen for r in alert_fold_table(spark, str(state)).read().collect()}
-    assert len(folded) == 11 and folded[1] == 6
-
-
 def test_row_ids_never_collide_or_overflow(spark):
     times = [T("2024-06-01 08:00:00"), T("2024-06-01 08:00:00.000001"), T("2199-12-31 23:59:59"), T("1950-01-01 00:00:00")]
     df = spark.createDataFrame([(t, e, s) for t in times for e in (0, 1, 2**31 - 1) for s in (0, 4999, 5000, 2**31 - 1)],

@@ -130,3 +130,10 @@ def test_blank_helpers(spark):
     assert [tuple(r) for r in got] == [(None, False), (None, False), ("x", True), ("1.5", True)]
     assert [r[0] for r in df.select(text.text_to_double(F.when(F.col("s") != "x", F.col("s"))))
             .collect()] == [None, None, None, 1.5]
+
+
+def test_intervals_as_text(spark):
+    from tramline.functions.time import interval_text
+    df = spark.sql("SELECT * FROM VALUES (INTERVAL '1 02:03:04' DAY TO SECOND), (INTERVAL '-0 00:00:09' DAY TO SECOND), "
+                   "(INTERVAL '0 00:00:00' DAY TO SECOND), (CAST(NULL AS INTERVAL DAY TO SECOND)), (INTERVAL '400 23:59:59.9' DAY TO SECOND) AS t(i)")
+    assert [r[0] for r in df.select(interval_text("i")).collect()] == ["1 02:03:04", "-0 00:00:09", "0 00:00:00", None, "400 23:59:59"]

@@ -92,6 +92,26 @@ def test_run_models_and_tests_gate(spark, tmp_path):
         run_models_and_tests(catalog(), str(tmp_path / "b"))
 
 
+def test_a_failing_run_leaves_readers_on_the_old_version(spark, tmp_path):
+    from tramline.plans.catalog import ModelCatalog, default_models, read_model, run_models_and_tests
+
+    def catalog(alerts):
+        return ModelCatalog(spark, {
+            "raw_vehicle_positions": fx.positions(spark), "raw_weather": fx.weather(spark),
+            "raw_trip_updates": fx.trip_updates(spark), "raw_alerts": alerts, "gtfs_routes": fx.routes(spark),
+            "gtfs_stops": fx.stops(spark), "gtfs_trips": fx.trips(spark)}, default_models(as_of="2024-06-01 12:00:00"))
+    root = str(tmp_path)
+    with pytest.raises(FileNotFoundError):
+        read_model(spark, root, "stg_alerts")
+    run_models_and_tests(catalog(fx.alerts(spark)), root, fail=False)
+    before = read_model(spark, root, "stg_alerts").count()
+    with pytest.raises(AssertionError):  # an unmatched trip fails the suite
+        run_models_and_tests(catalog(fx.alerts(spark).limit(1)), root)
+    assert read_model(spark, root, "stg_alerts").count() == before
+    run_models_and_tests(catalog(fx.alerts(spark).limit(1)), root, fail=False)
+    assert read_model(spark, root, "stg_alerts").count() == 1 and read_model(spark, root, "_checks").count() == 39
+
+
 def test_size_for_input(spark):
     from tramline.session import size_for_input
     old = spark.conf.get("spark.sql.shuffle.partitions")
@@ -101,26 +121,3 @@ def test_size_for_input(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", old)
-
-
-def test_cli_run(spark, tmp_path):
-    from tramline.__main__ import _run
-    from tramline.sources import gtfs
-
-    raw, feed, out = tmp_path / "raw", tmp_path / "gtfs", tmp_path / "out"
-    for name, df in {"raw_vehicle_positions": fx.positions(spark), "raw_trip_updates": fx.trip_updates(spark),
-                     "raw_alerts": fx.alerts(spark), "raw_weather": fx.weather(spark)}.items():
-        df.write.parquet(str(raw / name))
-    gtfs.write_csv(fx.routes(spark).drop("loaded_at"), str(feed / "routes.txt"))
-    gtfs.write_csv(fx.stops(spark).drop("loaded_at"), str(feed / "stops.txt"))
-    gtfs.write_csv(fx.trips(spark), str(feed / "trips.txt"))
-
-    class A:
-        pass
-    args = A()
-    args.raw, args.gtfs, args.out, args.as_of, args.no_fail = str(raw), str(feed), str(out), "2024-06-01 12:00:00", True
-    args.store = None
-    assert _run(args, spark) == 0
-    checks = spark.read.parquet(str(out / "_checks"))
-    assert checks.count() == 39
-    assert spark.read.parquet(str(out / "fct_route_performance")).count() == 3

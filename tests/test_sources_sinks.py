@@ -72,25 +72,6 @@ def test_fold_counts_rows_and_keeps_first(spark):
     assert (out.inserted, out.refreshed) == (1, 1)
 
 
-def test_fold_log_survives_retries_and_compaction(spark):
-    path = scratch_dir(spark, "fold-test")
-    store = sinks.alert_fold_table(spark, path)
-    a = fx.alerts(spark)
-    again = a.where(F.col("id") == 1).withColumn("times_seen", F.lit(1))
-    for batch_id, batch in enumerate([a.where(F.col("id") <= 5), a.where(F.col("id") > 5), again], 1):
-        store.append(batch, batch_id)
-        store.append(batch, batch_id)  # a retry overwrites its own folder
-    want = rows(store.read())
-    got = {r.id: r for r in store.read().collect()}
-    assert len(got) == 11 and got[1].times_seen == 4
-    store.compact(2)
-    assert rows(store.read()) == want
-    store.append(a.where(F.col("id") <= 5), 1)  # a late retry of a compacted batch
-    store.compact(2)
-    assert rows(store.read()) == want
-    assert rows(sinks.alert_fold_table(spark, path).read()) == want
-
-
 def test_alerts_without_a_fingerprint_stay_apart(spark):
     a = fx.alerts(spark).withColumn("content_hash", F.lit(None).cast("string")).withColumn("alert_id", F.lit("same"))
     two = a.where(F.col("id").isin(1, 3)).withColumn("header_text", F.concat(F.lit("h"), F.col("id").cast("string")))
@@ -169,3 +150,21 @@ def test_timetable_refresh_job(spark, tmp_path):
     stored = gtfs.stored_feed(spark, store)
     assert list(stored) == ["gtfs_stops"]
     assert rows(stored["gtfs_stops"], "stop_id", "stop_name") == [("3", "C")]
+
+
+def test_landed_columns_come_from_the_record(spark):
+    path = scratch_dir(spark, "record-test")
+    old = fx.alerts(spark).drop("content_hash", "times_seen")
+    sinks.append_snapshot(old, path)
+    sinks.append_snapshot(old, path)
+    sinks.append_snapshot(fx.alerts(spark), path)
+    sinks.append_snapshot(old, path)
+    assert spark.read.parquet(f"{path}/_schema").count() == 2  # a row per change
+    back = sinks.read_landed(spark, path)
+    assert set(back.columns) == {*fx.alerts(spark).columns, "fetch_date"}
+    n = old.count()
+    assert back.count() == 4 * n and back.where("times_seen IS NULL").count() >= 3 * n
+    plain = scratch_dir(spark, "record-none")
+    old.withColumn("fetch_date", F.to_date("fetched_at")).write.partitionBy("fetch_date").parquet(plain)
+    fx.alerts(spark).withColumn("fetch_date", F.to_date("fetched_at")).write.mode("append").partitionBy("fetch_date").parquet(plain)
+    assert "times_seen" in sinks.read_landed(spark, plain).columns

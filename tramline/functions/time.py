@@ -57,10 +57,6 @@ def day_name(ts) -> Column:
     return F.element_at(names, F.dayofweek(_c(ts)))
 
 
-def is_weekend(ts) -> Column:
-    return day_of_week(ts).isin(0, 6)
-
-
 def hour_bucket(ts) -> Column:
     """``date_trunc('hour', ts)`` kept as NTZ (FN-6)."""
     return F.date_trunc("hour", _c(ts)).cast("timestamp_ntz")
@@ -80,6 +76,15 @@ def interval_between(end, start) -> Column:
     return _c(end) - _c(start)
 
 
+def interval_text(interval) -> Column:
+    """A day-time interval as text, ``[-]days hh:mm:ss`` (FN-7), for outputs whose readers don't
+    know the type; null stays null."""
+    parts = [F.abs(F.extract(F.lit(p), _c(interval))) for p in ("DAY", "HOUR", "MINUTE", "SECOND")]
+    sign = F.when(_c(interval) < F.expr("INTERVAL '0' SECOND"), F.lit("-")).otherwise(F.lit(""))
+    return F.concat(sign, F.format_string("%d %02d:%02d:%02d", *[p.cast("long") for p in parts]),
+                    F.when(_c(interval).isNull(), F.lit(None).cast("string")).otherwise(F.lit("")))
+
+
 def within(now, start, end) -> Column:
     """``now BETWEEN start AND end`` (FN-8); null if a bound is null."""
     return _c(now).between(_c(start), _c(end))

@@ -8,16 +8,20 @@ visible at job commit.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Callable
+import hashlib
+import json
+import time
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tramline.operators.upsert import KEY_NAMES, fold_alerts
+from tramline.operators.foldlog import FoldLog, alert_fold_table
+from tramline.operators.upsert import KEY_NAMES
 
 PARTITION_COL = "fetch_date"
-BATCH_COL = "batch_id"
 
 
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
@@ -42,28 +46,32 @@ def published(spark: SparkSession, path: str) -> int | None:
     return None if pointer is None else pointer.agg(F.max("version")).first()[0]
 
 
-# Files that a batch leaves in each date's folder at most.
-FILES_PER_DATE = 8
-
-
 def append_snapshot(df: DataFrame, path: str, partition_col: str = PARTITION_COL) -> None:
-    """Append one snapshot batch, partitioned by fetch date (SRC-8); rows are dealt by
-    date first, so a batch leaves a few files per date, not one per task and date."""
-    (df.withColumn(partition_col, F.to_date("fetched_at"))
-       .repartition(partition_col, F.pmod(F.xxhash64(*df.columns[:1]), F.lit(FILES_PER_DATE)))
+    """Append one snapshot batch, partitioned by fetch date (SRC-8).
+
+    Rows are dealt by date with a rebalance, which adaptive execution sizes: a small
+    batch leaves a file per date, and a date of any size is split over many tasks.
+    """
+    spark = df.sparkSession
+    record_schema(spark, path, df.schema)
+    (df.withColumn(partition_col, F.to_date("fetched_at")).hint("rebalance", partition_col)
        .write.mode("append").partitionBy(partition_col).parquet(path))
 
 
-def read_landed(spark: SparkSession, path: str, merge_schema: bool = False,
-                since=None, until=None) -> DataFrame:
-    """Read an appended table. ``merge_schema`` reads every file's footer, so that columns
-    which only some files have read as null in the others (SRC-10).
+def read_landed(spark: SparkSession, path: str, since=None, until=None) -> DataFrame:
+    """Read an appended table. Its record has the columns of all batches, so no footer is
+    read to find them, and a column that only some files have is null in the others
+    (SRC-10). Without a record (files of another job) every footer is read.
 
     ``since`` / ``until`` (inclusive dates) filter the ``fetch_date`` partition
     column, so only those date folders are listed and scanned (partition
     pruning) — e.g. a job over the last days of a multi-year table.
     """
-    df = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+    known = recorded_schema(spark, path)
+    if known is None:
+        df = spark.read.option("mergeSchema", "true").parquet(path)
+    else:
+        df = spark.read.schema(T.StructType([*known, T.StructField(PARTITION_COL, T.DateType())])).parquet(path)
     if since is not None:
         df = df.where(F.col(PARTITION_COL) >= F.lit(since).cast("date"))
     if until is not None:
@@ -108,6 +116,56 @@ def read_current(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/version={version}")
 
 
+def publish_keyed(df: DataFrame, path: str, key: str, version: int, buckets: int | None = None) -> int:
+    """Store and publish a version of a keyed table, bucketed and sorted by ``key``: joins on the
+    key need not deal it again. See ``read_keyed``. A retried load overwrites its own folder."""
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folder, name = f"{path}/version={version}", f"tramline_load_{uuid.uuid4().hex}"
+    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+     .option("path", folder).saveAsTable(name))
+    spark.sql(f"DROP TABLE {name}")  # the folder stays
+    spark.range(1).select(F.lit(key).alias("key"), F.lit(buckets).alias("buckets")).coalesce(1).write.mode("overwrite").parquet(
+        f"{path}/layout/version={version}")
+    publish(spark, path, version)
+    return version
+
+
+def read_keyed(spark: SparkSession, path: str, version: int) -> DataFrame:
+    """A version stored by ``publish_keyed``, whose bucketing the session gets to know."""
+    layout = spark.read.parquet(f"{path}/layout/version={version}").first()
+    folder = f"{path}/version={version}"
+    name = f"tramline_keyed_{hashlib.sha256(folder.encode()).hexdigest()[:24]}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(folder).schema)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY (`{layout['key']}`) "
+              f"SORTED BY (`{layout['key']}`) INTO {layout['buckets']} BUCKETS LOCATION '{folder}'")
+    return spark.table(name)
+
+
+def record_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Add a landed table's columns to its record (SRC-10), if it doesn't have them yet: one
+    small file per change, beside the rows."""
+    known = recorded_schema(spark, path)
+    new = [f for f in schema if known is None or f.name not in known.names]
+    if new:
+        merged = T.StructType([*(known or T.StructType()), *(T.StructField(f.name, f.dataType) for f in new)])
+        spark.range(1).select(F.lit(time.time_ns()).alias("at"), F.lit(merged.json()).alias("schema")).coalesce(1).write.mode(
+            "append").parquet(f"{path}/_schema")
+
+
+def recorded_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The columns of all batches of a landed table, from its record; two batches that added
+    columns at the same time are both in it."""
+    record = read_if_present(spark, f"{path}/_schema")
+    if record is None:
+        return None
+    fields: dict[str, T.StructField] = {}
+    for row in record.orderBy("at").collect():  # one row per change of the layout
+        for f in T.StructType.fromJson(json.loads(row["schema"])):
+            fields.setdefault(f.name, f)
+    return T.StructType(list(fields.values()))
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per table: (table_name, row_count) (SRC-14, SET-1)."""
     parts = [df.agg(F.count(F.lit(1)).alias("row_count"))
@@ -132,65 +190,8 @@ def write_keyed_layout(df: DataFrame, table_name: str, path: str, key: str,
     return df.sparkSession.table(table_name)
 
 
-class FoldLog:
-    """Keyed state as a log of partial folds (SRC-12, STR-2..4).
-
-    ``fold`` maps rows, or rows it made before, to one row per key and may be
-    applied in any order and again to its own output. Each batch is folded by itself
-    and written to ``log/batch_id=<n>``; a batch that is retried overwrites its own
-    folder, so nothing counts twice and no state is read or rewritten. Reading folds
-    what the log holds. ``compact`` folds the log up to a batch into ``base/<n>`` and
-    publishes that; batches up to it are then read from there. Batch ids must grow.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, fold: Callable[[DataFrame], DataFrame]):
-        self.spark, self.path, self.fold = spark, path, fold
-
-    def append(self, batch: DataFrame, batch_id: int) -> None:
-        self.append_folded(self.fold(batch), batch_id)
-
-    def append_folded(self, folded: DataFrame, batch_id: int) -> None:
-        done = published(self.spark, self.path)
-        if done is not None and batch_id <= done:
-            return  # a retry of a batch that the base holds
-        folded.write.mode("overwrite").parquet(f"{self.path}/log/{BATCH_COL}={batch_id}")
-
-    def partials(self, upto: int | None = None) -> DataFrame:
-        """The base and the batches after it."""
-        done = published(self.spark, self.path)
-        log = read_if_present(self.spark, f"{self.path}/log")
-        if log is not None:
-            if done is not None:
-                log = log.where(F.col(BATCH_COL) > done)
-            if upto is not None:
-                log = log.where(F.col(BATCH_COL) <= upto)
-            log = log.drop(BATCH_COL)
-        if done is None:
-            if log is None:
-                raise FileNotFoundError(f"no batch under {self.path}")
-            return log
-        base = self.spark.read.parquet(f"{self.path}/base/{done}")
-        return base if log is None else base.unionByName(log)
-
-    def read(self) -> DataFrame:
-        return self.fold(self.partials())
-
-    def compact(self, upto: int) -> None:
-        """Fold everything up to batch ``upto`` into a new base. Log folders up to it may be
-        expired afterwards."""
-        done = published(self.spark, self.path)
-        if done is not None and upto <= done:
-            return
-        self.fold(self.partials(upto)).write.mode("overwrite").parquet(f"{self.path}/base/{upto}")
-        publish(self.spark, self.path, upto)
-
-
-def alert_fold_table(spark: SparkSession, path: str) -> FoldLog:
-    """Alert sightings folded per conflict key (SRC-12)."""
-    return FoldLog(spark, path, lambda rows: fold_alerts(None, rows))
-
-
 __all__ = [
-    "FoldLog", "KEY_NAMES", "alert_fold_table", "append_snapshot", "evolve", "full_refresh", "publish", "published",
-    "read_current", "read_if_present", "read_landed", "row_counts", "union_evolving", "write_keyed_layout",
+    "FoldLog", "KEY_NAMES", "alert_fold_table", "append_snapshot", "evolve", "full_refresh", "publish", "publish_keyed", "published",
+    "read_current", "read_if_present", "read_keyed", "read_landed", "record_schema", "recorded_schema", "row_counts",
+    "union_evolving", "write_keyed_layout",
 ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramline.functions.numeric import pct, round_half_away, round_half_even, round_numeric
@@ -180,16 +180,17 @@ def fct_hourly_service(
 def fct_alert_impact(stg_alerts: DataFrame, stg_routes: DataFrame) -> DataFrame:
     """Route-level alerts with route labels and stops affected (MOD-9).
 
-    Stops are counted per alert, shared by all its routes (G-21), in one pass over the
-    rolled-up alerts: within an alert the rows are ranked by stop, and the greatest dense
-    rank of a named stop is the number of stops. Alerts on unknown routes drop (inner
+    Stops are counted per alert, shared by all its routes (G-21): distinct (alert, stop) pairs
+    first, then a count per alert, both reduced before they are dealt, and a left join that
+    gives alerts without a named stop a zero (JOIN-4). An alert with much of the rows
+    is spread by adaptive skew splitting. Alerts on unknown routes drop (inner
     join, G-27); ``planned_duration`` here is on local clocks (G-20).
     """
-    alert = Window.partitionBy("alert_id")
-    place = F.dense_rank().over(alert.orderBy(F.col("stop_id").asc_nulls_last()))
-    ranked = stg_alerts.select("*", F.when(F.col("stop_id").isNotNull(), place).alias("_place"))
-    counted = ranked.select("*", F.coalesce(F.max("_place").over(alert), F.lit(0)).cast("long").alias("stops_affected"))
-    on_routes = counted.where(F.col("route_id").isNotNull())
+    stops = stg_alerts.where(F.col("stop_id").isNotNull()).select("alert_id", "stop_id").distinct()
+    counts = stops.groupBy(F.col("alert_id").alias("_alert")).agg(F.count(F.lit(1)).alias("_stops"))
+    routed = stg_alerts.where(F.col("route_id").isNotNull())
+    on_routes = (routed.join(counts, routed["alert_id"] == counts["_alert"], "left")
+                 .withColumn("stops_affected", F.coalesce("_stops", F.lit(0).cast("long"))))
     labels = stg_routes.select("route_id", *ROUTE_LABELS[:-1])
     return join_dimension(on_routes, labels, on="route_id").select(
         "route_id", *ROUTE_LABELS[:-1], "alert_id", "effect", "cause", "severity_level", "header_text", "stops_affected",

@@ -32,3 +32,4 @@ ORACLE["alert_unmatched_routes"] = o.with_ctes(o.EXTRA["alert_unmatched_routes"]
 
 for _name in ("backfill_job", "fn_time_parts", "win_event_history", "win_event_history_split", "agg_event_stats", "fn_codes"):
     ORACLE[_name] = o.extra_sql(_name)
+ORACLE["trip_history_slices"] = o.model_sql("stg_trip_updates")

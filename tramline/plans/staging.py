@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramline.functions import codes
@@ -20,6 +20,7 @@ from tramline.functions.time import (
     to_local,
     within,
 )
+from tramline.operators.history import HistorySlices
 from tramline.operators.joins import join_dimension
 from tramline.operators.windows import keep_latest, observation_history
 
@@ -85,6 +86,35 @@ def stg_weather(raw: DataFrame, tz: str = LOCAL_TZ, method: str = "aggregate") -
     )
 
 
+def trip_observations(raw: DataFrame) -> DataFrame:
+    """Stop-level observations before their history: rows with a trip and a stop number."""
+    _utc(raw)
+    extra = ["fetch_date"] if "fetch_date" in raw.columns else []
+    return raw.where(F.col("trip_id").isNotNull() & F.col("stop_sequence").isNotNull()).select(
+        "id", "trip_id", "trip_start_time", "trip_start_date", "vehicle_id", "vehicle_label",
+        "license_plate",
+        codes.feed_accessibility("wheelchair_accessible").alias("is_wheelchair_accessible"),
+        "stop_sequence", "arrival_delay_seconds", "departure_delay_seconds",
+        epoch_to_utc("gps_timestamp").alias("gps_reported_at"),
+        "fetched_at", *extra,
+    )
+
+
+def trip_history(spark: SparkSession, path: str, split_keys: bool = False, grain: str = "day") -> HistorySlices:
+    """Slices of the prediction history by fetch date, for ``stg_trip_updates_from``."""
+    return HistorySlices(spark, path, HISTORY_KEYS, ("fetched_at", "id"), "arrival_delay_seconds", split=split_keys, grain=grain)
+
+
+def stg_trip_updates_from(history: HistorySlices, trips: DataFrame, tz: str = LOCAL_TZ, dates=None) -> DataFrame:
+    """``stg_trip_updates`` from stored slices: only the dates of new raw rows were windowed.
+
+    The trip table is joined to the finished history, so a row per trip is assumed
+    (a check of the suite); duplicate trip rows fan out here without counting twice.
+    """
+    dim = trips.select("trip_id", "route_id", "direction_id", "trip_headsign")
+    return _trip_columns(join_dimension(history.read(dates), dim, on="trip_id", how="left"), tz)
+
+
 def stg_trip_updates(
     raw: DataFrame,
     trips: DataFrame,
@@ -102,19 +132,14 @@ def stg_trip_updates(
     blank trip with unset stops, G-9, holds much of the rows) at the cost of a stored
     copy; the result is the same without.
     """
-    _utc(raw)
-    base = raw.where(F.col("trip_id").isNotNull() & F.col("stop_sequence").isNotNull()).select(
-        "id", "trip_id", "trip_start_time", "trip_start_date", "vehicle_id", "vehicle_label",
-        "license_plate",
-        codes.feed_accessibility("wheelchair_accessible").alias("is_wheelchair_accessible"),
-        "stop_sequence", "arrival_delay_seconds", "departure_delay_seconds",
-        epoch_to_utc("gps_timestamp").alias("gps_reported_at"),
-        "fetched_at",
-    )
     dim = trips.select("trip_id", "route_id", "direction_id", "trip_headsign")
-    joined = join_dimension(base, dim, on="trip_id", how="left")
+    joined = join_dimension(trip_observations(raw).drop("fetch_date"), dim, on="trip_id", how="left")
     hist = observation_history(joined, keys=list(keys), order=list(order),
                                value="arrival_delay_seconds", split=split_keys)
+    return _trip_columns(hist, tz)
+
+
+def _trip_columns(hist: DataFrame, tz: str) -> DataFrame:
     delay = F.col("arrival_delay_seconds")
     return hist.select(
         "trip_id", "route_id", "direction_id", "trip_headsign", "trip_start_time",
