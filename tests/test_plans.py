@@ -83,7 +83,7 @@ def test_joins_follow_the_size(spark):
 
 
 WRITES = ("stream_", "csv_", "append_", "evolve_", "full_refresh", "alert_upsert", "keyed_layout", "flatten_weather",
-          "dq_suite", "win_event_history_split", "backfill_job")
+          "dq_suite", "win_event_history_split", "backfill_job", "trip_history_slices")
 
 
 def test_building_a_query_starts_no_job(spark):
