@@ -81,9 +81,9 @@ def test_digest_of_many_ids(spark):
 
 
 def test_one_long_conversation(spark):
-    rows = [(1000, t, "user", f"turn {t}") for t in range(1500)] + [(1020, t, "user", f"turn {t}") for t in range(700)]
+    rows = [(1000, t, "user", f"turn {t}") for t in range(300)] + [(1020, t, "user", f"turn {t}") for t in range(140)]
     got = run(spark, rows)
-    assert len(got) == 1501 and got == listed_line(1500, 700)
+    assert len(got) == 301 and got == listed_line(300, 140)
 
 
 def listed_line(n, m):
