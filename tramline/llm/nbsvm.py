@@ -79,12 +79,11 @@ class Model:
 
 def log_count_ratios(rows: list[np.ndarray], good: np.ndarray, buckets: int, alpha: float = 1.0) -> np.ndarray:
     """log((share of the bucket in class 1) / (share in class 0)), smoothed."""
-    total = []
-    for label in (1, 0):
-        own = [x for x, y in zip(rows, good, strict=True) if y == label]
-        counts = alpha + (np.bincount(np.concatenate(own), minlength=buckets) if own else np.zeros(buckets))
-        total.append(counts / counts.sum())
-    return np.log(total[0] / total[1])
+    counts = np.full((2, buckets), alpha)
+    for x, y in zip(rows, good, strict=True):
+        counts[int(y == 1), x] += 1  # a row's buckets are distinct
+    shares = counts / counts.sum(1)[:, None]
+    return np.log(shares[1] / shares[0])
 
 
 def dual_coordinate_descent(rows: list[np.ndarray], good: np.ndarray, ratio: np.ndarray, cost: float = 1.0,
@@ -98,7 +97,7 @@ def dual_coordinate_descent(rows: list[np.ndarray], good: np.ndarray, ratio: np.
     rng = np.random.default_rng(7)
     n = len(rows)
     y = np.where(good == 1, 1.0, -1.0)
-    values = [ratio[x] / np.sqrt(max(1, len(x))) for x in rows]
+    values = [(ratio[x] / np.sqrt(max(1, len(x)))).astype(np.float32) for x in rows]
     square = np.array([float(v @ v) for v in values]) + 1.0
     w, bias, a = np.zeros(len(ratio)), 0.0, np.zeros(n)
     for _ in range(epochs):
@@ -196,7 +195,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     got = (map_texts(rows, "__text__", [field("__ids__", "binary")], start).groupBy("__id__")
            .agg(F.min("__ids__").alias("__ids__"), F.min("__label__").alias("__label__"))
            .orderBy(F.xxhash64("__id__"), "__id__").select("__ids__", "__label__").collect())
-    return train([np.frombuffer(r[0], "<i4").astype(np.int64) for r in got], [int(r[1] == 1) for r in got])
+    # The rows stay the 4-byte numbers that came; nothing in the fit is larger than they are.
+    return train([np.frombuffer(r[0], "<i4") for r in got], [int(r[1] == 1) for r in got])
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
