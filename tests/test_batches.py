@@ -116,6 +116,25 @@ def test_landing_work_does_not_grow_with_the_number_of_batches(spark):
     assert landing.known_keys(spark, sink, [dt.date(2030, 1, 1)]) is None
 
 
+def test_a_batch_of_many_dates_writes_each_date_once(spark):
+    sink = scratch_dir(spark, "t-dates")
+    day = F.expr("timestamp_ntz'2024-01-01 08:00:00' + make_dt_interval(cast(id % 60 AS INT))")
+    # the 60th day's rows have no time
+    pos = spark.range(0, 2400, 1, 8).select("id", F.when(F.col("id") % 60 < 59, day).alias("fetched_at"))
+    for n in range(6):
+        landing.land_new_rows(pos.where(f"id < {400 * (n + 1)}"), sink, "q", n, merge_entries=2)
+        if n in (2, 3):
+            landing.land_new_rows(pos.where(f"id < {400 * (n + 1)}"), sink, "q", n, merge_entries=2)  # a retry
+    assert sorted(r.id for r in landing.read_rows(spark, sink).collect()) == list(range(2400))
+    files = spark.read.parquet(f"{sink}/rows").select("fetch_date", "batch_id", F.input_file_name().alias("f")).distinct()
+    assert files.groupBy("fetch_date", "batch_id").count().agg(F.max("count")).first()[0] == 1
+    dates = [None] + [dt.date(2024, 1, 1) + dt.timedelta(days=n) for n in range(59)]
+    assert landing.known_keys(spark, sink, dates).distinct().count() == 2400
+    for d in ("2024-01-01", "2024-02-28", "__HIVE_DEFAULT_PARTITION__"):
+        names = [f.name for f in storage.folders(spark, f"{sink}/keys/fetch_date={d}/source=q")]
+        assert any(x.endswith("-merged") for x in names) and "entry=000000000000-batch" not in names
+
+
 def test_a_retry_after_a_failure_replaces_its_own_rows(spark):
     sink = scratch_dir(spark, "t-torn-rows")
     pos = fx.positions(spark)

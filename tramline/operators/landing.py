@@ -4,7 +4,9 @@ Rows lie in ``rows/fetch_date=<d>/source=<s>/batch_id=<n>``, their keys in ``key
 source=<s>/entry=<e>``. A batch reads the keys of its own dates only. Each source merges its
 entries of a date into one sorted file when there are many, so the work of a batch
 follows its own rows and the keys of its dates, not the number of batches so far. Merged
-entries are deleted one merge later; a key that is listed twice does no harm.
+entries are deleted one merge later; a key that is listed twice does no harm. A batch may have
+thousands of dates (a backfill): each is written by the task that holds it, and the folders
+of all are listed, read and merged at once.
 
 A batch that fails or is retried replaces its own rows and keys. Two queries may land into
 one folder one after the other; at the very same time each sees only what the other has
@@ -14,12 +16,13 @@ finished.
 from __future__ import annotations
 
 import datetime as dt
+from collections import defaultdict
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.operators.storage import BATCH_COL, SOURCE_COL, delete, folders
+from tramline.operators.storage import BATCH_COL, SOURCE_COL, delete, matching
 
 PARTITION_COL = "fetch_date"
 ENTRY_COL = "entry"
@@ -37,6 +40,11 @@ def _date_folder(date: dt.date | None) -> str:
     return f"{PARTITION_COL}={_NO_DATE if date is None else date.isoformat()}"
 
 
+def _date_folders(dates: Sequence[dt.date | None]) -> str:
+    """A pattern for the folders of these dates."""
+    return "{" + ",".join(sorted(_date_folder(d) for d in dates)) + "}"
+
+
 def land_new_rows(batch: DataFrame, sink: str, source: str, batch_id: int, keys: Sequence[str] = ("id",),
                   event_time: str = "fetched_at", merge_entries: int = MERGE_ENTRIES) -> None:
     """Land the rows of ``batch`` whose ``keys`` were not landed before, however late they come.
@@ -46,7 +54,7 @@ def land_new_rows(batch: DataFrame, sink: str, source: str, batch_id: int, keys:
     """
     spark, keys = batch.sparkSession, list(keys)
     fresh = batch.dropDuplicates(keys).withColumn(PARTITION_COL, F.to_date(event_time))
-    # The dates of one batch: a handful, read from its own rows.
+    # The dates of one batch, read from its own rows.
     dates = [r[0] for r in batch.select(F.to_date(event_time).alias("d")).distinct().collect()]
     known = known_keys(spark, sink, dates, (source, batch_id))
     if known is not None:
@@ -54,37 +62,31 @@ def land_new_rows(batch: DataFrame, sink: str, source: str, batch_id: int, keys:
         for k in keys:
             same &= fresh[k].eqNullSafe(known[k])
         fresh = fresh.join(known, same, "left_anti")
-    own = [f"{sink}/{{}}/{_date_folder(d)}/{SOURCE_COL}={source}/" for d in dates]
-    for place in own:  # an earlier attempt of this batch
-        delete(spark, place.format("rows") + f"{BATCH_COL}={batch_id}")
-        delete(spark, place.format("keys") + f"{ENTRY_COL}={_entry(batch_id)}")
-    (fresh.withColumns({SOURCE_COL: F.lit(source), BATCH_COL: F.lit(batch_id)}).write.mode("append")
-     .partitionBy(PARTITION_COL, SOURCE_COL, BATCH_COL).parquet(f"{sink}/rows"))
+    own = f"{_date_folders(dates)}/{SOURCE_COL}={source}"
+    own_rows, own_keys = f"{sink}/rows/{own}/{BATCH_COL}={batch_id}", f"{sink}/keys/{own}/{ENTRY_COL}={_entry(batch_id)}"
+    for place in [*matching(spark, own_rows), *matching(spark, own_keys)]:  # an earlier attempt of this batch
+        delete(spark, place)
+    # Dealt by date: else every task writes a file of every date.
+    (fresh.withColumns({SOURCE_COL: F.lit(source), BATCH_COL: F.lit(batch_id)}).hint("rebalance", PARTITION_COL)
+     .write.mode("append").partitionBy(PARTITION_COL, SOURCE_COL, BATCH_COL).parquet(f"{sink}/rows"))
     # The keys come last, from the rows as they were landed.
-    landed = [p for p in (x.format("rows") + f"{BATCH_COL}={batch_id}" for x in own) if _exists(spark, p)]
+    landed = matching(spark, own_rows)
     if not landed:
         return
     (spark.read.option("basePath", f"{sink}/rows").parquet(*landed)
      .select(*keys, _date(), F.lit(source).alias(SOURCE_COL), F.lit(_entry(batch_id)).alias(ENTRY_COL))
      .write.mode("append").partitionBy(PARTITION_COL, SOURCE_COL, ENTRY_COL).parquet(f"{sink}/keys"))
-    for date in dates:
-        _merge_entries(spark, f"{sink}/keys/{_date_folder(date)}/{SOURCE_COL}={source}", batch_id, keys, merge_entries)
+    _merge_entries(spark, sink, own, source, batch_id, keys, merge_entries)
 
 
 def _entry(batch_id: int, kind: str = "batch") -> str:
     return f"{batch_id:012d}-{kind}"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    parent, name = path.rsplit("/", 1)
-    return any(f.name == name for f in folders(spark, parent))
-
-
 def known_keys(spark: SparkSession, sink: str, dates: Sequence[dt.date | None],
                without: tuple[str, int] | None = None) -> DataFrame | None:
     """Keys landed for the given dates, but for those of the batch named; None if there are none."""
-    paths = [f"{sink}/keys/{_date_folder(d)}" for d in dates]
-    paths = [p for p in paths if folders(spark, p)]
+    paths = matching(spark, f"{sink}/keys/{_date_folders(dates)}/{SOURCE_COL}=*")
     if not paths:
         return None
     found = spark.read.option("basePath", f"{sink}/keys").parquet(*paths)
@@ -93,25 +95,35 @@ def known_keys(spark: SparkSession, sink: str, dates: Sequence[dt.date | None],
     return found.withColumn(PARTITION_COL, _date()).drop(SOURCE_COL, ENTRY_COL)
 
 
-def _merge_entries(spark: SparkSession, path: str, batch_id: int, keys: Sequence[str], most: int) -> None:
-    """Merge a source's entries of one date, but for the batch at hand, which may be retried.
+def _merge_entries(spark: SparkSession, sink: str, own: str, source: str, batch_id: int, keys: Sequence[str], most: int) -> None:
+    """Merge a source's entries of the dates that have many, but for the batch at hand, which may be
+    retried; all these dates in one job.
 
     What the last merge took is deleted now: readers that began before that are done.
     """
-    entries = [f.name.removeprefix(f"{ENTRY_COL}=") for f in folders(spark, path)]
-    merged = [e for e in entries if e.endswith("-merged")]
-    last = merged[-1] if merged else ""
-    open_ = [e for e in entries if last < e < _entry(batch_id) and e.endswith("-batch")]
-    if len(open_) < most:
+    by_date = defaultdict(list)
+    for path in matching(spark, f"{sink}/keys/{own}/{ENTRY_COL}=*"):
+        place, entry = path.rsplit(f"/{ENTRY_COL}=", 1)
+        by_date[place].append(entry)
+    parts, done = [], []
+    for place, entries in by_date.items():
+        merged = sorted(e for e in entries if e.endswith("-merged"))
+        last = merged[-1] if merged else ""
+        open_ = [e for e in entries if last < e < _entry(batch_id) and e.endswith("-batch")]
+        if len(open_) < most:
+            continue
+        parts += [f"{place}/{ENTRY_COL}={e}" for e in [*([last] if last else []), *open_]]
+        done += [f"{place}/{ENTRY_COL}={e}" for e in entries if e < last]
+    if not parts:
         return
-    parts = [*([last] if last else []), *open_]
     # Named for the first batch it doesn't hold, which sorts behind it.
     name = _entry(batch_id, "a-merged")
-    (spark.read.parquet(*[f"{path}/{ENTRY_COL}={e}" for e in parts]).select(*keys).distinct()
-     .hint("rebalance").sortWithinPartitions(*keys).write.mode("overwrite").parquet(f"{path}/{ENTRY_COL}={name}"))
-    for e in entries:
-        if last and (e < last):
-            delete(spark, f"{path}/{ENTRY_COL}={e}")
+    (spark.read.option("basePath", f"{sink}/keys").parquet(*parts).select(*keys, _date()).distinct()
+     .withColumns({SOURCE_COL: F.lit(source), ENTRY_COL: F.lit(name)}).hint("rebalance", PARTITION_COL)
+     .sortWithinPartitions(PARTITION_COL, SOURCE_COL, ENTRY_COL, *keys)
+     .write.mode("append").partitionBy(PARTITION_COL, SOURCE_COL, ENTRY_COL).parquet(f"{sink}/keys"))
+    for path in done:
+        delete(spark, path)
 
 
 def read_rows(spark: SparkSession, sink: str) -> DataFrame:

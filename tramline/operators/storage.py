@@ -39,6 +39,13 @@ def folders(spark: SparkSession, path: str) -> list[Folder]:
     return sorted(found, key=lambda f: f.name)
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that fit a pattern (``*``, ``{a,b}``), in order."""
+    fs, where = _file_system(spark, pattern)
+    found = fs.globStatus(where)
+    return [] if found is None else [p.toString() for p in spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(found)]
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether the job that wrote the folder was committed."""
     fs, _ = _file_system(spark, path)
@@ -68,4 +75,4 @@ def older_than(folder: Folder, seconds: float) -> bool:
     return time.time() - folder.modified >= seconds
 
 
-__all__ = ["BATCH_COL", "SOURCE_COL", "Folder", "delete", "file_source", "folders", "is_complete", "older_than", "query_source"]
+__all__ = ["BATCH_COL", "SOURCE_COL", "Folder", "delete", "file_source", "folders", "is_complete", "matching", "older_than", "query_source"]
