@@ -200,6 +200,25 @@ def test_only_new_dates_are_read(spark):
     assert got.columns == want.columns and rows(got) == rows(want)
 
 
+def test_stored_rows_are_dealt_once(spark):
+    """Rows and records of all slices share one exchange, which the join with the trips uses too."""
+    path = scratch_dir(spark, "t-dealt")
+    raw = fx.trip_updates(spark).withColumn("fetch_date", F.to_date("fetched_at"))
+    dates = [r[0] for r in raw.select("fetch_date").distinct().collect()]
+    history = staging.trip_history(spark, path)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "-1")  # as for tables beyond the bound
+        history.update(staging.trip_observations(raw), dates)
+        got = staging.stg_trip_updates_from(history, fx.trips(spark))
+        text = got._jdf.queryExecution().executedPlan().toString()
+        assert text.count("Exchange hashpartitioning") == 2  # one of them of the trips
+        assert rows(got) == rows(staging.stg_trip_updates(fx.trip_updates(spark), fx.trips(spark)))
+    finally:
+        spark.conf.set(key, old)
+
+
 @pytest.fixture
 def feed(spark, tmp_path):
     from tramline.sources import gtfs

@@ -112,7 +112,7 @@ def stg_trip_updates_from(history: HistorySlices, trips: DataFrame, tz: str = LO
     (a check of the suite); duplicate trip rows fan out here without counting twice.
     """
     dim = trips.select("trip_id", "route_id", "direction_id", "trip_headsign")
-    return _trip_columns(join_dimension(history.read(dates), dim, on="trip_id", how="left"), tz)
+    return _trip_columns(join_dimension(history.read(dates, by=["trip_id"]), dim, on="trip_id", how="left"), tz)
 
 
 def stg_trip_updates(
