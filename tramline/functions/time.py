@@ -45,6 +45,11 @@ def day_of_week(ts) -> Column:
     return F.dayofweek(_c(ts)) - F.lit(1)
 
 
+def is_weekend(ts) -> Column:
+    """Saturday or Sunday."""
+    return day_of_week(ts).isin(0, 6)
+
+
 # FIXED VALUES: English day names, Sunday first, blank-padded to 9 characters
 # as the reference's to_char(ts, 'Day') prints them.
 DAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]

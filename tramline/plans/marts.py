@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramline.functions.numeric import pct, round_half_away, round_half_even, round_numeric
-from tramline.functions.time import day_name, day_of_week, hour_bucket, hour_of, seconds_between
+from tramline.functions.time import day_name, day_of_week, hour_bucket, hour_of, is_weekend, seconds_between
 from tramline.operators.joins import join_dimension
 
 # Punctuality band (seconds) and the sparse-hour threshold (position reports).
@@ -165,7 +165,7 @@ def fct_hourly_service(
             hour_of(hb).alias("local_hour"),
             day_name(hb).alias("local_day_name"),
             day_of_week(hb).alias("local_day_of_week"),
-            day_of_week(hb).isin(0, 6).alias("is_weekend"),
+            is_weekend(hb).alias("is_weekend"),
             "active_vehicles", "active_routes", "vehicles_on_a_trip", "position_reports",
             "delay_observations", "trips_observed", "avg_delay_seconds", "median_delay_seconds",
             "pct_late",
